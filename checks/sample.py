@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from parcelspark import Tables
 from parcelspark.fixed_values import HUBS_OF_REGION
@@ -202,9 +202,17 @@ def read(spark: SparkSession, sf_dir: str, name: str):
 def tables(spark: SparkSession, sf_dir: str, mix: Mix) -> Tables:
     """The derived tables as lazy DataFrames."""
 
+    given: dict[str, DataFrame] = {}
+
     def opener(sql: str):
-        used = {n: read(spark, sf_dir, n) for n in GIVEN if f"{{{n}}}" in sql}
-        return lambda: spark.sql(sql, **used)
+        def open_table() -> DataFrame:
+            used = [n for n in GIVEN if f"{{{n}}}" in sql]
+            for n in used:
+                if n not in given:
+                    given[n] = read(spark, sf_dir, n)
+            return spark.sql(sql, **{n: given[n] for n in used})
+
+        return open_table
 
     return Tables({name: opener(sql) for name, sql in derived(Dialect(True), mix).items()})
 

@@ -18,27 +18,30 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     return F.broadcast(df) if few else df
 
 
-def keyed(
-    df: DataFrame, keys: DataFrame, on: str = "shipment_id", max_rows: int = MAX_BROADCAST_ROWS
+def as_keys(
+    spark: SparkSession,
+    keys: DataFrame | Iterable,
+    on: str = "shipment_id",
+    max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Rows of `df` whose key is listed in `keys`. Repeated keys do not repeat rows."""
-    return df.join(bounded_broadcast(keys.select(on), max_rows), on, "left_semi")
+    """A key list, given as a DataFrame or as plain values, ready for `keyed`."""
+    if not isinstance(keys, DataFrame):
+        keys = spark.createDataFrame([(k,) for k in keys], f"{on} string")
+    return bounded_broadcast(keys.select(on), max_rows)
 
 
-def as_keys(spark: SparkSession, keys: DataFrame | Iterable, on: str = "shipment_id") -> DataFrame:
-    """A key list given as a DataFrame or as plain values."""
-    if isinstance(keys, DataFrame):
-        return keys.select(on)
-    return spark.createDataFrame([(k,) for k in keys], f"{on} string")
+def keyed(df: DataFrame, keys: DataFrame, on: str = "shipment_id") -> DataFrame:
+    """Rows of `df` whose key is listed in `keys`. Repeated keys do not repeat rows."""
+    return df.join(keys, on, "left_semi")
 
 
 def inline_table(spark: SparkSession, schema: str, rows: Sequence[tuple]) -> DataFrame:
     """Fixed rows as a table of literals: Spark knows its size when it plans."""
     fields = T.StructType.fromDDL(schema).fields
-    structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    casts = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in fields)
+    quoted = lambda v: "NULL" if v is None else repr(v)
+    values = ", ".join("(" + ", ".join(quoted(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({', '.join(f.name for f in fields)})")
 
 
 def lookup_rules(df: DataFrame, rules: DataFrame, on: Mapping[str, Column], out: Mapping[str, str]) -> DataFrame:

@@ -203,8 +203,9 @@ def long_path_orders(
         .filter(F.col("pickup_rc_station_name").isin(*stations))
         .drop("_station_id")
     )
+    keys = as_keys(spark, received)
     handed_over = has(F.col("status"), V.HANDED_OVER)
-    later = keyed(ctx.log.filter(handed_over | (ctime >= begin)), received)
+    later = keyed(ctx.log.filter(handed_over | (ctime >= begin)), keys)
     picked = milestones(
         later, {"final": last(None, "status", "ctime"), "over": first(handed_over, "ctime", "operator", "content")}
     ).select(
@@ -216,7 +217,7 @@ def long_path_orders(
     )
 
     destinations = (
-        keyed(tables["fleet_order"], received)
+        keyed(tables["fleet_order"], keys)
         .select("shipment_id", "pickup_station_id", "station_id")
         .join(tables["shipment_info"].select("shipment_id", "buyer_region_name"), "shipment_id", "left")
         .join(station_dim(station, "_dest", "station_id"), "station_id", "left")

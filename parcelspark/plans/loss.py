@@ -11,7 +11,7 @@ from parcelspark.functions.jsontext import json_text
 from parcelspark.functions.text import first_list_item, last_list_item, station_code
 from parcelspark.operators.dims import station_dim, status_dim, status_names
 from parcelspark.operators.events import first, first_event, last, latest_event, milestones, neighbours, with_tie_break
-from parcelspark.operators.lookup import keyed, role
+from parcelspark.operators.lookup import as_keys, keyed, role
 from parcelspark.operators.reuse import keep
 from parcelspark.operators.rules import responsible_team
 from parcelspark.plans.base import Context, has
@@ -44,9 +44,10 @@ def loss_damage_attribution(
         .withColumnRenamed("ctime", "_lost_at")
     )
 
+    keys = as_keys(spark, lost)
     status = F.col("status")
     history = milestones(
-        keyed(ctx.events(*V.CREATED, *V.PICKED_UP, *V.TRIP), lost),
+        keyed(ctx.events(*V.CREATED, *V.PICKED_UP, *V.TRIP), keys),
         {
             "created": first(has(status, V.CREATED)),
             "pickup": first(has(status, V.PICKED_UP)),
@@ -62,7 +63,7 @@ def loss_damage_attribution(
 
     before = (
         neighbours(
-            keyed(ctx.log.select("shipment_id", "status", "station_id", "operator", "ctime", "event_id"), lost),
+            keyed(ctx.log.select("shipment_id", "status", "station_id", "operator", "ctime", "event_id"), keys),
             before=("status", "station_id", "ctime", "operator"),
         )
         .filter(status.isin(*before_events))
@@ -79,7 +80,7 @@ def loss_damage_attribution(
     )
 
     failed = latest_event(
-        keyed(with_tie_break(tables["failed_op_log"]), lost), cols=("station_name", "error_msg", "ctime")
+        keyed(with_tie_break(tables["failed_op_log"]), keys), cols=("station_name", "error_msg", "ctime")
     ).select(
         "shipment_id",
         "error_msg",
@@ -89,14 +90,14 @@ def loss_damage_attribution(
     remarks = with_tie_break(
         tables["abnormal_log"].filter(F.col("new_status").isin(*losses)).withColumnRenamed("order_id", "shipment_id")
     )
-    remark = first_event(keyed(remarks, lost), cols=("remark",))
+    remark = first_event(keyed(remarks, keys), cols=("remark",))
 
     owner = {c: tables.owner(c, "shipment_info", "fleet_order_dwd") for c in _ATTRIBUTES if c != "cogs"}
     owner["cogs"] = "fleet_order_dwd"
     of = lambda name: [c for c, t in owner.items() if t == name]
-    info = keyed(tables["shipment_info"], lost).select("shipment_id", "cod_amount", *of("shipment_info"))
-    master = keyed(tables["fleet_order_dwd"], lost).select("shipment_id", *of("fleet_order_dwd"))
-    seller = keyed(tables["seller_order"], lost).select("shipment_id", "seller_name")
+    info = keyed(tables["shipment_info"], keys).select("shipment_id", "cod_amount", *of("shipment_info"))
+    master = keyed(tables["fleet_order_dwd"], keys).select("shipment_id", *of("fleet_order_dwd"))
+    seller = keyed(tables["seller_order"], keys).select("shipment_id", "seller_name")
 
     return (
         lost.join(status_names(tables["status_src"]), "status", "left")

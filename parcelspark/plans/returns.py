@@ -11,7 +11,7 @@ from parcelspark.functions.clock import business_day, late, on_time, zero_as_mis
 from parcelspark.functions.text import district_code
 from parcelspark.operators.dims import station_dim
 from parcelspark.operators.events import first, latest_event, milestones
-from parcelspark.operators.lookup import keyed
+from parcelspark.operators.lookup import as_keys, keyed
 from parcelspark.operators.metrics import ratio
 from parcelspark.operators.reuse import keep
 from parcelspark.operators.rules import operator_group, return_type
@@ -22,6 +22,7 @@ _BY_TYPE = ("SCOM", "GBKK", "UPC")
 
 
 def return_receipts(
+    spark: SparkSession,
     tables,
     as_of: date,
     *,
@@ -66,9 +67,10 @@ def return_receipts(
             ctx.ts("left.ctime").alias("lhtransporting_time"),
         )
     )
+    keys = as_keys(spark, picked)
     lost = (
         latest_event(
-            keyed(ctx.log.filter(F.col("ctime") >= ctx.begin(first_days)), picked),
+            keyed(ctx.log.filter(F.col("ctime") >= ctx.begin(first_days)), keys),
             cols=("status", "ctime"),
             then=F.col("status").isin(*V.DAMAGED_OR_LOST),
         )
@@ -78,7 +80,7 @@ def return_receipts(
         F.min("gbkk_upc_ops_region").alias("_region")
     )
     masters = (
-        keyed(tables["fleet_order_dwd"], picked)
+        keyed(tables["fleet_order_dwd"], keys)
         .select("shipment_id", "return_station_id", "order_type", "returned_time")
         .join(station_dim(tables["station"], "_return_station", "return_station_id"), "return_station_id", "left")
         .withColumn("_district", district_code(F.col("_return_station")))
@@ -133,6 +135,7 @@ def return_performance(
 ) -> DataFrame:
     """Return receipts per business day and order type: on-time, in-full and handover figures."""
     rows = return_receipts(
+        spark,
         tables,
         as_of,
         first_days=first_days,

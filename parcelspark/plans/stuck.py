@@ -13,7 +13,7 @@ from parcelspark.functions.text import district_code, part_before, station_code
 from parcelspark.operators import rules as R
 from parcelspark.operators.dims import hub_regions, station_dim, status_dim
 from parcelspark.operators.events import first, last, latest_event, milestones, with_tie_break
-from parcelspark.operators.lookup import bounded_broadcast, inline_table, keyed, lookup_rules
+from parcelspark.operators.lookup import as_keys, bounded_broadcast, inline_table, keyed, lookup_rules
 from parcelspark.operators.reuse import keep
 from parcelspark.plans.base import Context, has
 from parcelspark.settings import Settings
@@ -76,9 +76,10 @@ def stuck_shipments(
         )
     )
     stuck = keep(stuck)
+    keys = as_keys(spark, stuck)
 
     older = milestones(
-        keyed(ctx.events(*V.RETURN_STARTED, *V.LEFT_STATION), stuck),
+        keyed(ctx.events(*V.RETURN_STARTED, *V.LEFT_STATION), keys),
         {"ret": first(has(status, V.RETURN_STARTED)), "lh": last(has(status, V.LEFT_STATION), "operator")},
     ).select(
         "shipment_id",
@@ -86,13 +87,13 @@ def stuck_shipments(
         F.col("lh.operator").alias("_lh_operator"),
     )
     failed = latest_event(
-        keyed(with_tie_break(tables["failed_op_log"]), stuck), cols=("station_name", "ctime")
+        keyed(with_tie_break(tables["failed_op_log"]), keys), cols=("station_name", "ctime")
     ).select(
         "shipment_id", station_code(F.col("station_name")).alias("_failed_hub"), ctx.ts().alias("_failed_at")
     )
     station = tables["station"]
     hubs = (
-        keyed(tables["fleet_order_dwd"], stuck)
+        keyed(tables["fleet_order_dwd"], keys)
         .select("shipment_id", F.col("station_id").alias("_lm_id"), F.col("return_station_id").alias("_ret_id"))
         .join(station_dim(station, "_lm_station", "_lm_id"), "_lm_id", "left")
         .join(station_dim(station, "_ret_station", "_ret_id"), "_ret_id", "left")
