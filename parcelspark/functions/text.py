@@ -21,12 +21,12 @@ def station_code(name: Column) -> Column:
 
 
 def first_list_item(text: Column) -> Column:
-    """First element of '[a,b,c]' held as text."""
+    """First element of '[a,b,c]' held as text; only the opening bracket is dropped."""
     return F.trim(F.replace(part_before(text, ","), F.lit("["), F.lit("")))
 
 
 def last_list_item(text: Column) -> Column:
-    """Last element of '[a,b,c]' held as text."""
+    """Last element of '[a,b,c]' held as text; only the closing bracket is dropped."""
     last = F.element_at(F.split(text, ","), -1)
     return F.trim(F.replace(last, F.lit("]"), F.lit("")))
 

@@ -9,18 +9,25 @@ from parcelspark.operators.lookup import bounded_broadcast, inline_table
 from parcelspark.operators.reuse import keep
 
 
+def _status_pairs(status_src: DataFrame) -> DataFrame:
+    """The (status, name) pairs that occur in a much larger table, reduced once and kept."""
+    return keep(status_src.select("status", "status_name").distinct())
+
+
 def status_dim(status_src: DataFrame) -> DataFrame:
-    """The (status, name) pairs that occur in a much larger table. They are reduced once and
-    kept, then broadcast if few: a status column has few values and is skewed, so joining the
-    log to it by shuffle would be the worst plan."""
-    return bounded_broadcast(keep(status_src.select("status", "status_name").distinct()))
+    """Names of statuses; a status with two names repeats the rows it is joined to.
+
+    Broadcast if few: a status column has few values and is skewed, so joining the log to it by
+    shuffle would be the worst plan.
+    """
+    return bounded_broadcast(_status_pairs(status_src))
 
 
 def status_names(status_src: DataFrame) -> DataFrame:
     """One name per status (the first in alphabet, should a status have several): for reports
     that number events after the name is joined, and so never repeat one."""
-    names = status_src.groupBy("status").agg(F.min("status_name").alias("status_name"))
-    return bounded_broadcast(keep(names))
+    names = _status_pairs(status_src).groupBy("status").agg(F.min("status_name").alias("status_name"))
+    return bounded_broadcast(names)
 
 
 def station_dim(station: DataFrame, name: str = "station_name", on: str = "station_id", key: str = "station_id") -> DataFrame:

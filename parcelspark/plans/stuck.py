@@ -104,7 +104,7 @@ def stuck_shipments(
         spark, "operator string, station string", [(None, None)]
     )
     places = bounded_broadcast(
-        places.select(F.col("operator").alias("_operator"), F.col("station").alias("_override"))
+        places.select(F.col("operator").alias("_operator"), F.col("station").alias("_override")).dropDuplicates(["_operator"])
     )
     found = (
         stuck.join(older, "shipment_id", "left")
