@@ -841,7 +841,7 @@ def _(spark, sf):
 def _(spark, sf):
     wanted = events(spark, sf).filter("event_type = 'purchase'").select(F.col("user_id").alias("o_custkey"))
     keys = L.as_keys(spark, wanted, "o_custkey")
-    return L.keyed(read(spark, sf, "orders"), keys, "o_custkey").select("o_orderkey", "o_totalprice")
+    return L.keyed(read(spark, sf, "orders"), keys).select("o_orderkey", "o_totalprice")
 
 
 @query(

@@ -9,11 +9,12 @@ Events are ordered by (time, event id); the id breaks ties, so results are repea
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from parcelspark.operators.lookup import Keys, keyed
 KEY = "shipment_id"
 TIME = "ctime"
 TIE = "event_id"
@@ -57,53 +58,62 @@ def _aggregate(pick: Pick, order: Sequence[str]) -> Column:
     return by(F.struct(*pick.cols), F.when(wanted, F.struct(*order)))
 
 
+def _for_keys(df: DataFrame, only: Keys | None, reduce: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`reduce(df)` for the listed keys. After a shuffled join the rows of a key are in one task
+    already and would be aggregated there, so many keys are matched after the aggregate."""
+    if only is None:
+        return reduce(df)
+    return reduce(keyed(df, only)) if only.few else keyed(reduce(df), only)
+
+
 def milestones(
     df: DataFrame,
     picks: Mapping[str, Pick],
-    key: str | Sequence[str] = KEY,
+    key: str = KEY,
     order: Sequence[str] = (TIME, TIE),
+    only: Keys | None = None,
 ) -> DataFrame:
     """One row per key and one struct column per pick, from a single pass over `df`.
     A pick without an event is NULL."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*keys).agg(*[_aggregate(p, order).alias(n) for n, p in picks.items()])
+    columns = [_aggregate(p, order).alias(n) for n, p in picks.items()]
+    return _for_keys(df, only, lambda rows: rows.groupBy(key).agg(*columns))
 
 
-def _one_event(df, key, cols, order, where, is_last) -> DataFrame:
-    keys = [key] if isinstance(key, str) else list(key)
-    names = tuple(c for c in (cols or df.columns) if c not in keys)
+def _one_event(df, key, cols, order, where, only, is_last) -> DataFrame:
+    names = tuple(c for c in (cols or df.columns) if c != key)
     rows = df if where is None else df.filter(where)
     picked = (F.max_by if is_last else F.min_by)(
         F.struct(*names), F.when(F.col(order[0]).isNotNull(), F.struct(*order))
     )
-    return (
-        rows.groupBy(*keys).agg(picked.alias("_row")).filter("_row IS NOT NULL").select(*keys, "_row.*")
-    )
+    reduced = _for_keys(rows, only, lambda r: r.groupBy(key).agg(picked.alias("_row")))
+    return reduced.filter("_row IS NOT NULL").select(key, "_row.*")
 
 
 def first_event(
     df: DataFrame,
-    key: str | Sequence[str] = KEY,
+    key: str = KEY,
     cols: Sequence[str] | None = None,
     order: Sequence[str] = (TIME, TIE),
     where: Column | None = None,
     then: Column | None = None,
+    only: Keys | None = None,
 ) -> DataFrame:
     """The earliest row per key. `where` selects rows before the pick, `then` after it."""
-    picked = _one_event(df, key, cols, order, where, False)
+    picked = _one_event(df, key, cols, order, where, only, False)
     return picked if then is None else picked.filter(then)
 
 
 def latest_event(
     df: DataFrame,
-    key: str | Sequence[str] = KEY,
+    key: str = KEY,
     cols: Sequence[str] | None = None,
     order: Sequence[str] = (TIME, TIE),
     where: Column | None = None,
     then: Column | None = None,
+    only: Keys | None = None,
 ) -> DataFrame:
     """The latest row per key. `where` selects rows before the pick, `then` after it."""
-    picked = _one_event(df, key, cols, order, where, True)
+    picked = _one_event(df, key, cols, order, where, only, True)
     return picked if then is None else picked.filter(then)
 
 
@@ -124,10 +134,13 @@ MAX_ROWS_PER_KEY = 5_000_000
 MAX_LISTED_KEYS = 1_000
 
 
-def _slice(df: DataFrame, key: str, time: str, max_rows: int, slice_seconds: int) -> Column | None:
+def _slice(
+    df: DataFrame, key: str, time: str, only: Keys | None, max_rows: int, slice_seconds: int
+) -> Column | None:
     """NULL when no key is large, else the slice number: time slices for large keys, 0 for the
     others. Rows are counted per key; at most MAX_LISTED_KEYS + 1 keys reach the driver."""
-    large = df.groupBy(key).count().filter(F.col("count") > max_rows).select(key)
+    counts = _for_keys(df, only, lambda rows: rows.groupBy(key).count())
+    large = counts.filter(F.col("count") > max_rows).select(key)
     listed = [r[0] for r in large.limit(MAX_LISTED_KEYS + 1).collect()]
     if not listed:
         return None
@@ -144,6 +157,7 @@ def neighbours(
     after: Sequence[str] = (),
     key: str = KEY,
     order: Sequence[str] = (TIME, TIE),
+    only: Keys | None = None,
     max_rows_per_key: int = MAX_ROWS_PER_KEY,
     slice_seconds: int = 3600,
 ) -> DataFrame:
@@ -154,9 +168,14 @@ def neighbours(
     the rows at the slice edges take their neighbour from the nearest slice that has rows: the
     result is the same, and no task holds more than one key's slice.
     """
-    part = _slice(df, key, order[0], max_rows_per_key, slice_seconds)
-    rows = df.withColumn("_slice", F.lit(0).cast("long") if part is None else part)
-    w = Window.partitionBy(key, "_slice") if part is not None else Window.partitionBy(key)
+    part = _slice(df, key, order[0], only, max_rows_per_key, slice_seconds)
+    rows = df if only is None else keyed(df, only)
+    if part is None:
+        w = Window.partitionBy(key)
+    else:
+        # Stated, because rows already placed by key alone would otherwise stay where they are.
+        rows = rows.withColumn("_slice", part).repartition(key, "_slice")
+        w = Window.partitionBy(key, "_slice")
     w = w.orderBy(*[F.col(c).asc_nulls_last() for c in order])
     out = rows
     if before:
@@ -164,7 +183,7 @@ def neighbours(
     if after:
         out = out.withColumn("next", F.lead(F.struct(*after)).over(w))
     if part is None:
-        return out.drop("_slice")
+        return out
 
     at = F.when(F.col(order[0]).isNotNull(), F.struct(*order))
     ends = []

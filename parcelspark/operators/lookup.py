@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -11,11 +12,24 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 MAX_BROADCAST_ROWS = 500_000
 
 
+def _few(df: DataFrame, max_rows: int) -> bool:
+    return df.count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """`df` with a broadcast hint if it is counted to be within `max_rows`, else `df` as it is:
-    Spark then joins by shuffle. The count stops at the bound."""
-    few = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df
+    Spark then joins by shuffle. Counting reads no columns and passes one number per task."""
+    return F.broadcast(df) if _few(df, max_rows) else df
+
+
+@dataclass(frozen=True)
+class Keys:
+    """A key list. `few` ones are broadcast and filter a table before it is reduced; of many,
+    only the reduced table is filtered, so that a key with very many rows is shrunk first."""
+
+    df: DataFrame
+    on: str
+    few: bool
 
 
 def as_keys(
@@ -23,16 +37,18 @@ def as_keys(
     keys: DataFrame | Iterable,
     on: str = "shipment_id",
     max_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """A key list, given as a DataFrame or as plain values, ready for `keyed`."""
+) -> Keys:
+    """A key list out of a DataFrame or plain values."""
     if not isinstance(keys, DataFrame):
         keys = spark.createDataFrame([(k,) for k in keys], f"{on} string")
-    return bounded_broadcast(keys.select(on), max_rows)
+    keys = keys.select(on)
+    few = _few(keys, max_rows)
+    return Keys(F.broadcast(keys) if few else keys, on, few)
 
 
-def keyed(df: DataFrame, keys: DataFrame, on: str = "shipment_id") -> DataFrame:
-    """Rows of `df` whose key is listed in `keys`. Repeated keys do not repeat rows."""
-    return df.join(keys, on, "left_semi")
+def keyed(df: DataFrame, keys: Keys) -> DataFrame:
+    """Rows of `df` whose key is listed. Repeated keys do not repeat rows."""
+    return df.join(keys.df, keys.on, "left_semi")
 
 
 def inline_table(spark: SparkSession, schema: str, rows: Sequence[tuple]) -> DataFrame:

@@ -11,7 +11,7 @@ from parcelspark.functions.jsontext import json_text
 from parcelspark.functions.text import delivery_hub, delivery_hub_of_any
 from parcelspark.operators.dims import status_dim
 from parcelspark.operators.events import effective_station, latest_event
-from parcelspark.operators.lookup import as_keys, keyed
+from parcelspark.operators.lookup import as_keys
 from parcelspark.operators.metrics import pivot_counts
 from parcelspark.operators.reuse import keep
 from parcelspark.plans.base import Context
@@ -50,9 +50,9 @@ def hub_live_backlog(
         )
     )
     failed = current.filter(F.col("status").isin(*V.BACKLOG_AT_LAST_ATTEMPT))
-    attempts = latest_event(keyed(ctx.events(*V.LAST_ATTEMPT), as_keys(spark, failed)), cols=("station_id",)).withColumnRenamed(
-        "station_id", "_attempt_id"
-    )
+    attempts = latest_event(
+        ctx.events(*V.LAST_ATTEMPT), cols=("station_id",), only=as_keys(spark, failed)
+    ).withColumnRenamed("station_id", "_attempt_id")
     stations = tables["station"].select(
         F.col("station_id").cast("string").alias("_place"), F.col("station_name").alias("_named")
     )

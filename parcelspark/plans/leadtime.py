@@ -12,7 +12,7 @@ from parcelspark.functions.clock import business_day, elapsed
 from parcelspark.functions.jsontext import json_int, json_int_strict, json_text
 from parcelspark.operators.dims import station_dim, status_dim
 from parcelspark.operators.events import dwell_hours, first, milestones, neighbours
-from parcelspark.operators.lookup import as_keys, keyed
+from parcelspark.operators.lookup import as_keys
 from parcelspark.operators.metrics import pivot_sums
 from parcelspark.operators.rules import flow_by_mention, function_of_leg, type_by_code
 from parcelspark.plans.base import Context, has
@@ -39,11 +39,13 @@ def leadtime_by_function(
     ctx = Context(tables, settings)
     status = F.col("status")
     events = (
-        keyed(ctx.log.filter(~status.isin(*ignored)), as_keys(spark, keys))
+        ctx.log.filter(~status.isin(*ignored))
         .select("shipment_id", "status", "station_id", "ctime", "event_id", "content")
         .join(station_dim(tables["station"], "_station"), "station_id", "left")
     )
-    around = neighbours(events, before=("_station",), after=("ctime", "status", "_station"))
+    around = neighbours(
+        events, before=("_station",), after=("ctime", "status", "_station"), only=as_keys(spark, keys)
+    )
     partner = json_text("content", "station_name")
     named = (
         around.withColumns(

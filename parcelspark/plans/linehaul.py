@@ -30,8 +30,8 @@ def latest_linehaul_and_sack(
 ) -> DataFrame:
     """Last trip event of each requested shipment, with trip id and sack number."""
     ctx = Context(tables, settings)
-    events = keyed(ctx.events(*trip), as_keys(spark, keys))
-    return latest_event(events, cols=("status", "content")).select(
+    wanted = as_keys(spark, keys)
+    return latest_event(ctx.events(*trip), cols=("status", "content"), only=wanted).select(
         "shipment_id",
         "status",
         json_text("content", "linehaul_task_id").alias("latest_lh_task_id"),
@@ -205,9 +205,10 @@ def long_path_orders(
     )
     keys = as_keys(spark, received)
     handed_over = has(F.col("status"), V.HANDED_OVER)
-    later = keyed(ctx.log.filter(handed_over | (ctime >= begin)), keys)
     picked = milestones(
-        later, {"final": last(None, "status", "ctime"), "over": first(handed_over, "ctime", "operator", "content")}
+        ctx.log.filter(handed_over | (ctime >= begin)),
+        {"final": last(None, "status", "ctime"), "over": first(handed_over, "ctime", "operator", "content")},
+        only=keys,
     ).select(
         "shipment_id",
         F.col("final.status").alias("status"),

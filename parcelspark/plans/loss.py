@@ -47,12 +47,13 @@ def loss_damage_attribution(
     keys = as_keys(spark, lost)
     status = F.col("status")
     history = milestones(
-        keyed(ctx.events(*V.CREATED, *V.PICKED_UP, *V.TRIP), keys),
+        ctx.events(*V.CREATED, *V.PICKED_UP, *V.TRIP),
         {
             "created": first(has(status, V.CREATED)),
             "pickup": first(has(status, V.PICKED_UP)),
             "trip": last(has(status, V.TRIP), "content"),
         },
+        only=keys,
     ).select(
         "shipment_id",
         ctx.ts("created.ctime").alias("created_timestamp"),
@@ -63,8 +64,9 @@ def loss_damage_attribution(
 
     before = (
         neighbours(
-            keyed(ctx.log.select("shipment_id", "status", "station_id", "operator", "ctime", "event_id"), keys),
+            ctx.log.select("shipment_id", "status", "station_id", "operator", "ctime", "event_id"),
             before=("status", "station_id", "ctime", "operator"),
+            only=keys,
         )
         .filter(status.isin(*before_events))
         .select(
@@ -80,7 +82,7 @@ def loss_damage_attribution(
     )
 
     failed = latest_event(
-        keyed(with_tie_break(tables["failed_op_log"]), keys), cols=("station_name", "error_msg", "ctime")
+        with_tie_break(tables["failed_op_log"]), cols=("station_name", "error_msg", "ctime"), only=keys
     ).select(
         "shipment_id",
         "error_msg",
@@ -90,7 +92,7 @@ def loss_damage_attribution(
     remarks = with_tie_break(
         tables["abnormal_log"].filter(F.col("new_status").isin(*losses)).withColumnRenamed("order_id", "shipment_id")
     )
-    remark = first_event(keyed(remarks, keys), cols=("remark",))
+    remark = first_event(remarks, cols=("remark",), only=keys)
 
     owner = {c: tables.owner(c, "shipment_info", "fleet_order_dwd") for c in _ATTRIBUTES if c != "cogs"}
     owner["cogs"] = "fleet_order_dwd"

@@ -143,9 +143,8 @@ def created_and_pickup_dates(
     """
     ctx = Context(tables, settings)
     wanted = as_keys(spark, keys)
-    created, picked_up = keyed(ctx.events(*V.CREATED), wanted), keyed(ctx.events(39), wanted)
-    if dedupe:
-        created, picked_up = first_event(created, cols=("ctime",)), first_event(picked_up, cols=("ctime",))
+    pick = (lambda e: first_event(e, cols=("ctime",), only=wanted)) if dedupe else (lambda e: keyed(e, wanted))
+    created, picked_up = pick(ctx.events(*V.CREATED)), pick(ctx.events(39))
     types = keyed(tables["shipment_info"], wanted).select(
         "shipment_id",
         type_by_name(F.col("order_type_name"), {**ORDER_TYPES, **(order_types or {})}).alias("order_type"),

@@ -70,9 +70,10 @@ def return_receipts(
     keys = as_keys(spark, picked)
     lost = (
         latest_event(
-            keyed(ctx.log.filter(F.col("ctime") >= ctx.begin(first_days)), keys),
+            ctx.log.filter(F.col("ctime") >= ctx.begin(first_days)),
             cols=("status", "ctime"),
             then=F.col("status").isin(*V.DAMAGED_OR_LOST),
+            only=keys,
         )
         .select("shipment_id", F.lit(True).alias("damaged_lost"))
     )

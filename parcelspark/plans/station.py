@@ -79,7 +79,7 @@ def first_touch_by_operator(
         then=F.col("ctime") >= ctx.begin(1, 6),
     )
     return (
-        keyed(touched, as_keys(spark, operators, "operator"), "operator")
+        keyed(touched, as_keys(spark, operators, "operator"))
         .join(status_names(tables["status_src"]), "status", "left")
         .select(
             "shipment_id",

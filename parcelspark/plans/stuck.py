@@ -79,15 +79,16 @@ def stuck_shipments(
     keys = as_keys(spark, stuck)
 
     older = milestones(
-        keyed(ctx.events(*V.RETURN_STARTED, *V.LEFT_STATION), keys),
+        ctx.events(*V.RETURN_STARTED, *V.LEFT_STATION),
         {"ret": first(has(status, V.RETURN_STARTED)), "lh": last(has(status, V.LEFT_STATION), "operator")},
+        only=keys,
     ).select(
         "shipment_id",
         aging_days(ctx.ts("ret.ctime"), as_of).alias("aging_return"),
         F.col("lh.operator").alias("_lh_operator"),
     )
     failed = latest_event(
-        keyed(with_tie_break(tables["failed_op_log"]), keys), cols=("station_name", "ctime")
+        with_tie_break(tables["failed_op_log"]), cols=("station_name", "ctime"), only=keys
     ).select(
         "shipment_id", station_code(F.col("station_name")).alias("_failed_hub"), ctx.ts().alias("_failed_at")
     )

@@ -32,11 +32,12 @@ def shipment_tracker(
     wanted = as_keys(spark, keys)
     station = tables["station"]
     state = milestones(
-        keyed(ctx.log, wanted),
+        ctx.log,
         {
             "final": last(None, "status", "station_id", "operator", "ctime"),
             "trip": last(has(F.col("status"), trip), "content"),
         },
+        only=wanted,
     ).select(
         "shipment_id",
         F.col("final.status").alias("status"),
@@ -88,7 +89,7 @@ def shipment_tracker_contacts(
     wanted = as_keys(spark, keys)
     owner = {c: tables.owner(c, "shipment_info", "fleet_order") for c in _CONTACTS}
     of = lambda name: [c for c, t in owner.items() if t == name]
-    latest = latest_event(keyed(ctx.log, wanted), cols=("status", "ctime", "content")).select(
+    latest = latest_event(ctx.log, cols=("status", "ctime", "content"), only=wanted).select(
         "shipment_id", "status", ctx.ts().alias("latest_timestamp"),
         json_int_strict("content", "station_id").alias("station_id"),
     )

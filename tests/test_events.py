@@ -4,6 +4,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
 from parcelspark.operators import events as E
+from parcelspark.operators.lookup import as_keys
 from tests.fixtures import SCHEMAS, at, event, frame, make
 
 STATUSES = (0, 8, 11, 39)
@@ -131,3 +132,21 @@ def test_dwell(spark):
 
 def test_epoch_helper_matches_the_clock():
     assert at("1970-01-01 07:00") == 0
+
+
+def test_many_keys_are_matched_after_the_picks(spark):
+    """Beyond the broadcast bound the results stay the same."""
+    rows = [event(s, st_, f"2024-01-0{d} 0{d}:00", event_id=d) for s in "abc" for d, st_ in ((1, 8), (2, 11), (3, 39))]
+    df = log(spark, rows)
+    few, many = (as_keys(spark, ["a", "c", "c"], max_rows=n) for n in (10, 1))
+    assert few.few and not many.few
+    for run in (
+        lambda k: E.latest_event(df, cols=("status",), only=k),
+        lambda k: E.milestones(df, {"f": E.first(F.col("status") == 11, "event_id")}, only=k),
+        lambda k: E.neighbours(df, before=("status",), only=k, max_rows_per_key=1, slice_seconds=10),
+        lambda k: E.neighbours(df, after=("status",), only=k),
+    ):
+        got = [sorted(map(str, run(k).collect())) for k in (few, many)]
+        assert got[0] == got[1] and got[0]
+    aggregate = E.latest_event(df, cols=("status",), only=many)._jdf.queryExecution().optimizedPlan().toString()
+    assert aggregate.index("Join LeftSemi") < aggregate.index("Aggregate")
