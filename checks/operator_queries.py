@@ -700,18 +700,15 @@ _WHO = (
 def _(spark, sf):
     one_of = lambda values, i: F.element_at(F.array(*[F.lit(v) for v in values]), (i % len(values) + 1).cast("int"))
     e = events(spark, sf)
-    return e.select(
-        "event_id",
-        R.function_of_leg(
-            one_of((47, 15, 48, 36, 8), k()),
-            one_of((36, 8, 48, 15, None), F.col("event_id")),
-            F.when(F.col("event_type") == "error", "Kerry"),
-            F.when(F.col("value") < 200, one_of(_PLACES, k())),
-            F.when(F.col("value") > 50, one_of(_PLACES, F.col("event_id"))),
-            one_of(_PLACES, F.col("user_id")),
-            "Brand",
-        ).alias("fn"),
+    read_as = R.stations_of_leg(
+        one_of((47, 15, 48, 36, 8), k()),
+        one_of((36, 8, 48, 15, None), F.col("event_id")),
+        F.when(F.col("value") < 200, one_of(_PLACES, k())),
+        F.when(F.col("value") > 50, one_of(_PLACES, F.col("event_id"))),
+        one_of(_PLACES, F.col("user_id")),
     )
+    partner = F.when(F.col("event_type") == "error", "Kerry")
+    return e.withColumns(read_as).select("event_id", R.function_of_leg(partner, "Brand").alias("fn"))
 
 
 @query(

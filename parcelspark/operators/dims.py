@@ -31,8 +31,7 @@ def status_names(status_src: DataFrame) -> DataFrame:
 
 
 def station_dim(station: DataFrame, name: str = "station_name", on: str = "station_id", key: str = "station_id") -> DataFrame:
-    """Station names for one role. Without a hint: Spark broadcasts it while the stored table is
-    below its broadcast threshold and joins by shuffle beyond it."""
+    """Station names for one role. A size hint on `station` is kept."""
     return station.select(F.col(key).alias(on), F.col("station_name").alias(name))
 
 

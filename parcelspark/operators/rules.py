@@ -138,30 +138,36 @@ def station_function(station: Column, brand_prefix: str, more_sort_centre: Colum
     ]
 
 
-def function_of_leg(
-    status: Column,
-    next_status: Column,
-    partner: Column,
-    hub: Column,
-    next_station: Column,
-    named_station: Column,
-    brand_prefix: str,
-) -> Column:
-    """Function that a stretch between two events counts for. Three readings of the station are
-    tried in turn: where a departure leads to, where an arrival leads to, and the hub itself
-    or, without one, the station named in the event text."""
-    leaves = status.isin(*V.LEADTIME_DEPARTED)
-    strays = leaves & ~next_status.isin(*V.LEADTIME_ARRIVED)
-    after_departure = F.when(strays, next_station).otherwise(hub)
-    after_arrival = F.when(status.isin(*V.LEADTIME_ARRIVED), next_station).otherwise(hub)
-    own = F.coalesce(hub, named_station)
+def stations_of_leg(
+    status: Column, next_status: Column, hub: Column, next_station: Column, named_station: Column
+) -> dict[str, Column]:
+    """Three readings of the station that a stretch between two events counts for: where a
+    departure without arrival leads to, where an arrival leads to, and the hub itself or,
+    without one, the station named in the event text. `_on_road` marks departure to arrival.
+
+    To be computed in a projection of their own: each is tested by many rules, and nested into
+    them the generated code would grow too large to be compiled.
+    """
+    leaves, arrives = status.isin(*V.LEADTIME_DEPARTED), status.isin(*V.LEADTIME_ARRIVED)
+    arrives_next = next_status.isin(*V.LEADTIME_ARRIVED)
+    return {
+        "_after_departure": F.when(leaves & ~arrives_next, next_station).otherwise(hub),
+        "_after_arrival": F.when(arrives, next_station).otherwise(hub),
+        "_own": F.coalesce(hub, named_station),
+        "_on_road": leaves & arrives_next,
+    }
+
+
+def function_of_leg(partner: Column, brand_prefix: str) -> Column:
+    """Function that a stretch counts for: the readings of `stations_of_leg` are tried in turn."""
+    own = F.col("_own")
     own_is_sort_centre = own == "Sorting center"
     return apply_rules(
         [
             (partner.isin(*V.PARTNER_CARRIERS), "4PL"),
-            (leaves & next_status.isin(*V.LEADTIME_ARRIVED), "LH"),
-            *station_function(after_departure, brand_prefix),
-            *station_function(after_arrival, brand_prefix, own_is_sort_centre),
+            (F.col("_on_road"), "LH"),
+            *station_function(F.col("_after_departure"), brand_prefix),
+            *station_function(F.col("_after_arrival"), brand_prefix, own_is_sort_centre),
             *station_function(own, brand_prefix, own_is_sort_centre),
         ]
     )

@@ -53,11 +53,11 @@ def hub_live_backlog(
     attempts = latest_event(
         ctx.events(*V.LAST_ATTEMPT), cols=("station_id",), only=as_keys(spark, failed)
     ).withColumnRenamed("station_id", "_attempt_id")
-    stations = tables["station"].select(
+    stations = tables.dimension("station").select(
         F.col("station_id").cast("string").alias("_place"), F.col("station_name").alias("_named")
     )
     known_hubs = (
-        tables["station"]
+        tables.dimension("station")
         .select(delivery_hub(F.col("station_name")).alias("_known"))
         .filter(F.col("_known").startswith("H"))
         .distinct()

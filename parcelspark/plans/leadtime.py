@@ -12,9 +12,9 @@ from parcelspark.functions.clock import business_day, elapsed
 from parcelspark.functions.jsontext import json_int, json_int_strict, json_text
 from parcelspark.operators.dims import station_dim, status_dim
 from parcelspark.operators.events import dwell_hours, first, milestones, neighbours
-from parcelspark.operators.lookup import as_keys
+from parcelspark.operators.lookup import as_keys, keyed
 from parcelspark.operators.metrics import pivot_sums
-from parcelspark.operators.rules import flow_by_mention, function_of_leg, type_by_code
+from parcelspark.operators.rules import flow_by_mention, function_of_leg, stations_of_leg, type_by_code
 from parcelspark.plans.base import Context, has
 from parcelspark.settings import Settings
 
@@ -41,11 +41,10 @@ def leadtime_by_function(
     events = (
         ctx.log.filter(~status.isin(*ignored))
         .select("shipment_id", "status", "station_id", "ctime", "event_id", "content")
-        .join(station_dim(tables["station"], "_station"), "station_id", "left")
-    )
-    around = neighbours(
-        events, before=("_station",), after=("ctime", "status", "_station"), only=as_keys(spark, keys)
+        .join(station_dim(tables.dimension("station"), "_station"), "station_id", "left")
     )
+    wanted = as_keys(spark, keys)
+    around = neighbours(events, before=("_station",), after=("ctime", "status", "_station"), only=wanted)
     partner = json_text("content", "station_name")
     named = (
         around.withColumns(
@@ -57,30 +56,18 @@ def leadtime_by_function(
                 "_named_id": json_int_strict("content", "station_id"),
             }
         )
-        .join(station_dim(tables["station"], "_named", "_named_id"), "_named_id", "left")
+        .join(station_dim(tables.dimension("station"), "_named", "_named_id"), "_named_id", "left")
         .join(status_dim(tables["status_src"]), "status", "left")
-        .join(
-            tables["shipment_info"].select("shipment_id", "order_type_id", "delivered_sla_timestamp"),
-            "shipment_id",
-            "left",
+        .withColumns(
+            stations_of_leg(status, F.col("next.status"), F.col("_hub"), F.col("next._station"), F.col("_named"))
         )
         .select(
-            F.col("delivered_sla_timestamp").cast("date").alias("sla_date"),
             "shipment_id",
-            type_by_code(F.col("order_type_id")).alias("order_type"),
             flow_by_mention(F.col("status_name")).alias("_flow"),
             dwell_hours(ctx.ts(), ctx.ts("next.ctime"), status, terminal, F.lit(now).cast("timestamp_ntz")).alias(
                 "_hours"
             ),
-            function_of_leg(
-                status,
-                F.col("next.status"),
-                F.col("_partner"),
-                F.col("_hub"),
-                F.col("next._station"),
-                F.col("_named"),
-                settings.brand_prefix,
-            ).alias("_function"),
+            function_of_leg(F.col("_partner"), settings.brand_prefix).alias("_function"),
         )
     )
     columns = {}
@@ -89,7 +76,14 @@ def leadtime_by_function(
         columns[f"leadtime_{flow.lower()}"] = in_flow
         for function in FUNCTIONS:
             columns[f"leadtime_{function.lower()}_{flow.lower()}"] = in_flow & (F.col("_function") == function)
-    return pivot_sums(named, ["sla_date", "shipment_id", "order_type"], F.col("_hours"), columns)
+    # Attributes are joined to the sums, not to the events: one row per shipment is moved.
+    info = keyed(tables["shipment_info"], wanted).select(
+        "shipment_id",
+        F.col("delivered_sla_timestamp").cast("date").alias("sla_date"),
+        type_by_code(F.col("order_type_id")).alias("order_type"),
+    )
+    sums = pivot_sums(named, ["shipment_id"], F.col("_hours"), columns)
+    return sums.join(info, "shipment_id", "left").select("sla_date", "shipment_id", "order_type", *columns)
 
 
 def partner_leadtime_summary(
@@ -126,7 +120,7 @@ def partner_leadtime_summary(
             ctx.ts("delivered.ctime").alias("_delivered"),
             json_int("over.content", "station_id").alias("_over_id"),
         )
-        .join(station_dim(tables["station"], "soc_handover_station", "_over_id"), "_over_id")
+        .join(station_dim(tables.dimension("station"), "soc_handover_station", "_over_id"), "_over_id")
         .filter(F.col("soc_handover_station").isin(*stations))
     )
     received, over, delivered = F.col("_received"), F.col("_over"), F.col("_delivered")

@@ -61,7 +61,7 @@ def seller_address(tables) -> DataFrame:
 
 
 def _with_addresses(df: DataFrame, tables) -> DataFrame:
-    regions = tables["region_index"].select("province", "lh_region").distinct()
+    regions = tables.dimension("region_index").select("province", "lh_region").distinct()
     return (
         df.join(tables["buyer_info"].select("shipment_id", "buyer_addr_state"), "shipment_id", "left")
         .join(seller_address(tables), "shipment_id", "left")
@@ -111,7 +111,7 @@ def linehaul_path_performance(
         },
     ).filter((F.col("soc_in.ctime") >= ctx.begin(30, 6)) & (F.col("soc_in.ctime") < ctx.begin(0, 6)))
 
-    raw = tables["station_raw"]
+    raw = tables.dimension("station_raw")
     paths = (
         picked.select(
             "shipment_id",
@@ -190,7 +190,7 @@ def long_path_orders(
     handovers of any time, and for the latest status what happened from that day on.
     """
     ctx = Context(tables, settings, day)
-    station = tables["station"]
+    station = tables.dimension("station")
     ctime = F.col("ctime")
     begin, end = ctx.begin(0), ctx.begin(-1)
     received = keep(

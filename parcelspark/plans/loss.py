@@ -77,7 +77,7 @@ def loss_damage_attribution(
             F.col("prev.operator").alias("latest_operator"),
         )
         .join(role(status_dim(tables["status_src"]), "status", {"status_name": "latest_status_before_dl"}, "_status"), "_status", "left")
-        .join(station_dim(tables["station"], "latest_station_before_dl", "_station_id"), "_station_id", "left")
+        .join(station_dim(tables.dimension("station"), "latest_station_before_dl", "_station_id"), "_station_id", "left")
         .drop("_status", "_station_id")
     )
 
@@ -112,7 +112,7 @@ def loss_damage_attribution(
         .join(remark, "shipment_id", "left")
         .withColumn("_origin", last_list_item(F.col("origin_order_path")))
         .join(
-            station_dim(tables["station"], "origin_hub_destination", "_origin_id").withColumn(
+            station_dim(tables.dimension("station"), "origin_hub_destination", "_origin_id").withColumn(
                 "_origin", F.col("_origin_id").cast("string")
             ),
             "_origin",

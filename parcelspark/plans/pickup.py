@@ -50,7 +50,7 @@ def _direct_pickups(ctx: Context, first_days: int, last_days: int, sort_centres,
             F.col("sort").isNotNull().cast("int").alias("is_soc_rec"),
         )
     )
-    stations = tables["station_raw"].withColumn("id", F.col("id").cast("int"))
+    stations = tables.dimension("station_raw").withColumn("id", F.col("id").cast("int"))
     allocation = tables["pickup_alloc"].select(
         F.col("pickup_order_id").cast("string").alias("shipment_id"),
         "pickup_task_id",

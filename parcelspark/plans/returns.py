@@ -77,13 +77,13 @@ def return_receipts(
         )
         .select("shipment_id", F.lit(True).alias("damaged_lost"))
     )
-    zones = tables["region_index"].groupBy(F.col("district_code").alias("_district")).agg(
+    zones = tables.dimension("region_index").groupBy(F.col("district_code").alias("_district")).agg(
         F.min("gbkk_upc_ops_region").alias("_region")
     )
     masters = (
         keyed(tables["fleet_order_dwd"], keys)
         .select("shipment_id", "return_station_id", "order_type", "returned_time")
-        .join(station_dim(tables["station"], "_return_station", "return_station_id"), "return_station_id", "left")
+        .join(station_dim(tables.dimension("station"), "_return_station", "return_station_id"), "return_station_id", "left")
         .withColumn("_district", district_code(F.col("_return_station")))
         .join(zones, "_district", "left")
         .select(

@@ -71,8 +71,7 @@ def first_touch_by_operator(
     """Shipments first touched at the station on the business day before `as_of`, by one of the
     operators."""
     ctx = Context(tables, settings, as_of)
-    # One station's ids: Spark broadcasts them while the station table is small.
-    here = station_dim(tables["station"].filter(F.col("station_name") == station), "station_name")
+    here = station_dim(tables.dimension("station").filter(F.col("station_name") == station), "station_name")
     touched = first_event(
         ctx.log.filter(F.col("ctime") < ctx.begin(0, 6)).join(here, "station_id"),
         cols=("status", "operator", "ctime", "station_name"),

@@ -92,7 +92,7 @@ def stuck_shipments(
     ).select(
         "shipment_id", station_code(F.col("station_name")).alias("_failed_hub"), ctx.ts().alias("_failed_at")
     )
-    station = tables["station"]
+    station = tables.dimension("station")
     hubs = (
         keyed(tables["fleet_order_dwd"], keys)
         .select("shipment_id", F.col("station_id").alias("_lm_id"), F.col("return_station_id").alias("_ret_id"))
@@ -172,7 +172,7 @@ def stuck_shipments(
         F.col("_hub").isNotNull() & (F.col("current_station") != "SOCW") & (F.col("_failed_for") == "mm")
     )
 
-    zones = tables["region_index"].select(F.col("district_code").alias("_district"), "gbkk_upc_ops_region")
+    zones = tables.dimension("region_index").select(F.col("district_code").alias("_district"), "gbkk_upc_ops_region")
     at, pic, hub = F.col("current_station"), F.col("_pic"), F.col("_hub")
     ships_back = (F.col("status_flow") == "Return") & F.col("order_type").isin("CB", "WH")
     return (

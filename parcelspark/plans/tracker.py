@@ -30,7 +30,7 @@ def shipment_tracker(
     Starts from one row per shipment instead of joining the whole log to it."""
     ctx = Context(tables, settings)
     wanted = as_keys(spark, keys)
-    station = tables["station"]
+    station = tables.dimension("station")
     state = milestones(
         ctx.log,
         {
@@ -102,7 +102,7 @@ def shipment_tracker_contacts(
         out = out.join(orders, "shipment_id", "left")
     return (
         out.join(status_names(tables["status_src"]), "status", "left")
-        .join(station_dim(tables["station"]), "station_id", "left")
+        .join(station_dim(tables.dimension("station")), "station_id", "left")
         .select(
             "shipment_id",
             F.coalesce("order_type", F.lit("MKP")).alias("order_type"),

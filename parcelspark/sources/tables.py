@@ -6,6 +6,8 @@ from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from parcelspark.operators.lookup import bounded_broadcast
+
 # Columns each table must have. Attributes that may live on either of two shipment tables are
 # listed in FLOATING and looked for in both.
 COLUMNS: dict[str, tuple[str, ...]] = {
@@ -47,6 +49,7 @@ class Tables(Mapping[str, DataFrame]):
     def __init__(self, openers: Mapping[str, DataFrame | Callable[[], DataFrame]]):
         self._openers = dict(openers)
         self._open: dict[str, DataFrame] = {}
+        self._dimensions: dict[str, DataFrame] = {}
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, names: tuple[str, ...] = tuple(COLUMNS)) -> Tables:
@@ -77,6 +80,13 @@ class Tables(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(self._openers)
 
+    def dimension(self, name: str) -> DataFrame:
+        """A table joined to the log on a column with few, very uneven values. It is broadcast if
+        counted small (once per Tables), whatever Spark estimates its size to be."""
+        if name not in self._dimensions:
+            self._dimensions[name] = bounded_broadcast(self[name])
+        return self._dimensions[name]
+
     def owner(self, column: str, *candidates: str) -> str:
         """The first of the candidate tables that has the column."""
         for name in candidates:

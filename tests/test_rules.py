@@ -94,8 +94,8 @@ def test_function_of_leg(spark):
         "i int, s int, n int, partner string, hub string, nxt string, named string",
     )
     c = F.col
-    function = R.function_of_leg(c("s"), c("n"), c("partner"), c("hub"), c("nxt"), c("named"), "Brand")
-    got = {r.i: r.f for r in df.select("i", function.alias("f")).collect()}
+    df = df.withColumns(R.stations_of_leg(c("s"), c("n"), c("hub"), c("nxt"), c("named")))
+    got = {r.i: r.f for r in df.select("i", R.function_of_leg(c("partner"), "Brand").alias("f")).collect()}
     assert [(LEGS[i], f) for i, f in got.items() if f != LEGS[i][6]] == []
 
 
