@@ -147,6 +147,12 @@ def _(spark, sf):
     return _previous(spark, sf)
 
 
+@query("prev_event_in_slices", _PREVIOUS)
+def _(spark, sf):
+    """The same rows when every key is a large one; the width of the slices follows the counts."""
+    return _previous(spark, sf, max_rows_per_key=8)
+
+
 def _with_epoch(spark, sf):
     return events(spark, sf).withColumn("at", F.timestamp_diff("SECOND", F.expr(clock.EPOCH), F.col("ts")))
 
@@ -180,7 +186,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     df = E.neighbours(events(spark, sf), after=("ts",), key="user_id", order=BY_TIME)
-    now = F.lit(datetime(2024, 1, 31, 12)).cast("timestamp_ntz")
+    now = clock.moment(datetime(2024, 1, 31, 12))
     hours = E.dwell_hours(F.col("ts"), F.col("next.ts"), F.col("event_type"), ("purchase",), now)
     return df.select("event_id", "user_id", hours.alias("dwell_hours"))
 

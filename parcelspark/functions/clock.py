@@ -34,6 +34,11 @@ def day_lit(day: date) -> Column:
     return F.lit(date(day.year, day.month, day.day))
 
 
+def moment(at: datetime) -> Column:
+    """A wall-clock literal. Given as text: a Python datetime would pass through a time zone."""
+    return F.lit(at.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def days_before(as_of: date, n: int) -> date:
     return date(as_of.year, as_of.month, as_of.day) - timedelta(days=n)
 

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from parcelspark.functions.clock import EPOCH
 from parcelspark.operators.lookup import Keys, keyed
 KEY = "shipment_id"
 TIME = "ctime"
@@ -135,19 +136,34 @@ MAX_LISTED_KEYS = 1_000
 
 
 def _slice(
-    df: DataFrame, key: str, time: str, only: Keys | None, max_rows: int, slice_seconds: int
+    df: DataFrame, key: str, time: str, only: Keys | None, max_rows: int, slice_seconds: int | None
 ) -> Column | None:
     """NULL when no key is large, else the slice number: time slices for large keys, 0 for the
-    others. Rows are counted per key; at most MAX_LISTED_KEYS + 1 keys reach the driver."""
-    counts = _for_keys(df, only, lambda rows: rows.groupBy(key).count())
-    large = counts.filter(F.col("count") > max_rows).select(key)
-    listed = [r[0] for r in large.limit(MAX_LISTED_KEYS + 1).collect()]
+    others. Slices are made narrow enough to hold `max_rows` rows on average, a second at least.
+    Rows are counted per key; at most MAX_LISTED_KEYS + 1 keys reach the driver."""
+    seconds = F.col(time)
+    if dict(df.dtypes)[time].startswith("timestamp"):
+        seconds = F.timestamp_diff("SECOND", F.expr(EPOCH), seconds)
+    counts = _for_keys(
+        df,
+        only,
+        lambda rows: rows.groupBy(key).agg(
+            F.count("*").alias("n"), (F.max(seconds) - F.min(seconds) + 1).cast("double").alias("span")
+        ),
+    )
+    width = F.greatest(F.lit(1).cast("long"), F.floor(F.col("span") * max_rows / F.col("n")))
+    large = counts.filter(F.col("n") > max_rows).select(key, width.alias("width"))
+    listed = large.limit(MAX_LISTED_KEYS + 1).collect()
     if not listed:
         return None
-    by_time = F.floor(F.col(time) / slice_seconds)
-    if len(listed) > MAX_LISTED_KEYS:
+    too_many = len(listed) > MAX_LISTED_KEYS
+    if slice_seconds is None:
+        slice_seconds = large.agg(F.min("width")).first()[0] if too_many else min(r.width for r in listed)
+    # Events without a time come last, as in the order of the window.
+    by_time = F.coalesce(F.floor(seconds / slice_seconds), F.lit(2**62))
+    if too_many:
         return by_time
-    is_large = F.coalesce(F.col(key).isin(listed), F.lit(False))
+    is_large = F.coalesce(F.col(key).isin([r[0] for r in listed]), F.lit(False))
     return F.when(is_large, by_time).otherwise(F.lit(0).cast("long"))
 
 
@@ -159,7 +175,7 @@ def neighbours(
     order: Sequence[str] = (TIME, TIE),
     only: Keys | None = None,
     max_rows_per_key: int = MAX_ROWS_PER_KEY,
-    slice_seconds: int = 3600,
+    slice_seconds: int | None = None,
 ) -> DataFrame:
     """Every row with the `before` columns of the event before it in struct `prev`, and the
     `after` columns of the event after it in struct `next` (NULL at the ends).
@@ -185,14 +201,14 @@ def neighbours(
     if part is None:
         return out
 
-    at = F.when(F.col(order[0]).isNotNull(), F.struct(*order))
+    at = F.struct(*order)
     ends = []
     if before:
         ends.append(F.max_by(F.struct(*before), at).alias("_tail"))
     if after:
         ends.append(F.min_by(F.struct(*after), at).alias("_head"))
     slices = Window.partitionBy(key).orderBy("_slice")
-    edges = rows.filter(F.col(order[0]).isNotNull()).groupBy(key, "_slice").agg(*ends)
+    edges = rows.groupBy(key, "_slice").agg(*ends)
     if before:
         edges = edges.withColumn("_tail", F.lag("_tail").over(slices))
     if after:

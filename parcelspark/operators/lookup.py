@@ -61,7 +61,7 @@ def inline_table(spark: SparkSession, schema: str, rows: Sequence[tuple]) -> Dat
 
 
 def lookup_rules(df: DataFrame, rules: DataFrame, on: Mapping[str, Column], out: Mapping[str, str]) -> DataFrame:
-    """Left join to a small rule table. `on`: rule column -> key expression over `df`;
+    """Left join to a rule table of fixed size. `on`: rule column -> key expression over `df`;
     `out`: rule column -> output name. No match gives NULL."""
     side = rules.select(
         *[F.col(c).alias(f"_on_{c}") for c in on], *[F.col(c).alias(n) for c, n in out.items()]

@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelspark import fixed_values as V
-from parcelspark.functions.clock import business_day, elapsed
+from parcelspark.functions.clock import business_day, elapsed, moment
 from parcelspark.functions.jsontext import json_int, json_int_strict, json_text
 from parcelspark.operators.dims import station_dim, status_dim
 from parcelspark.operators.events import dwell_hours, first, milestones, neighbours
@@ -64,7 +64,7 @@ def leadtime_by_function(
         .select(
             "shipment_id",
             flow_by_mention(F.col("status_name")).alias("_flow"),
-            dwell_hours(ctx.ts(), ctx.ts("next.ctime"), status, terminal, F.lit(now).cast("timestamp_ntz")).alias(
+            dwell_hours(ctx.ts(), ctx.ts("next.ctime"), status, terminal, moment(now)).alias(
                 "_hours"
             ),
             function_of_leg(F.col("_partner"), settings.brand_prefix).alias("_function"),

@@ -68,3 +68,7 @@ def test_week_and_zero(spark):
     assert one(spark, clock.next_iso_week(ntz("2024-12-30 00:00"))) == 2
     assert one(spark, clock.zero_as_missing(F.lit(0))) is None
     assert one(spark, clock.zero_as_missing(F.lit(5))) == 5
+
+
+def test_moment_is_taken_as_it_reads(spark):
+    assert one(spark, clock.moment(datetime(2024, 1, 31, 9, 30, 0, 5))) == datetime(2024, 1, 31, 9, 30, 0, 5)
