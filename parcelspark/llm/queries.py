@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import simhash
+from parcelspark.llm import repeats, simhash
 from parcelspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,3 +24,16 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document, linked at 3 or fewer differing bits."""
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"), radius=3, shingle=3)
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document loses to repeated strings of 200 bytes, and a digest of what stays."""
+    found = repeats.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"), length=200)
+    return found.select(
+        "doc_id",
+        F.col("_n_bytes").alias("n_bytes"),
+        F.col("_n_removed").alias("n_removed"),
+        F.col("_n_spans").alias("n_spans"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
