@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import repeats, simhash
+from parcelspark.llm import quality, repeats, simhash
 from parcelspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,14 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_n_spans").alias("n_spans"),
         F.sha2("_kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document, whether it fails the base rules, and the verdict of the trees."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = quality.train(docs, read(spark, sf_dir, "labels"))
+    found = quality.judge(docs, trees)
+    return found.select(
+        "doc_id", *(F.col(f"_{c}").alias(c) for c in (*quality.COUNTS, "base_failed", "kept", "score"))
+    )
