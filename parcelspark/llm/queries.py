@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import quality, repeats, simhash
+from parcelspark.llm import mixing, quality, repeats, simhash
 from parcelspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *(F.col(f"_{c}").alias(c) for c in (*quality.COUNTS, "base_failed", "kept", "score"))
     )
+
+
+@query
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes, with its source's size and target."""
+    mixed = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select(
+        "doc_id",
+        F.col("_size").alias("size"),
+        F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"),
+        (F.col("_size") * F.col("_times")).alias("taken"),
+    )
+
+
+ORACLE["op9_mix_sources"] = mixing.ORACLE_SQL
