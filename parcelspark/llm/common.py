@@ -19,15 +19,19 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared folder of the session and go on from there.
-
-    The folder is spark.checkpoint.dir; only where none is set (tests on one machine) a temporary one is made.
-    """
-    context = df.sparkSession.sparkContext
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared folder of the session, spark.checkpoint.dir; only where none is set (tests on one machine) a
+    temporary one is made."""
+    context = spark.sparkContext
     if not context.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="parcelspark-"))
+    return context.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Write a frame to the shared folder and go on from there."""
+    scratch_folder(df.sparkSession)
     return df.checkpoint()
 
 

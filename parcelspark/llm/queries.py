@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import mixing, quality, repeats, simhash
+from parcelspark.llm import mixing, packing, quality, repeats, simhash
 from parcelspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,9 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op9_mix_sources"] = mixing.ORACLE_SQL
+
+
+@query
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in the packed sequences."""
+    return packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -24,8 +24,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.llm.common import checkpoint, utf8
@@ -438,3 +439,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return joined.mapInArrow(run, schema)
+
+
+def valid_text(kept: Column) -> Column:
+    """The text of kept bytes; what a cut has left of a character is dropped."""
+
+    @F.pandas_udf("string")
+    def decode(data: pd.Series) -> pd.Series:
+        return data.map(lambda x: None if x is None else bytes(x).decode("utf-8", "ignore"))
+
+    return decode(kept)
