@@ -7,6 +7,7 @@ import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Lower-cases the bytes A-Z and no other.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -63,3 +64,11 @@ def remainder(doc_id: int | None, parts: int) -> int:
 def remainder_column(doc_id: Column, parts: int) -> Column:
     """The same in Spark."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
+
+
+def with_fields(df: DataFrame, **kinds: str) -> StructType:
+    """The schema of a frame with further fields."""
+    schema = StructType(list(df.schema.fields))
+    for name, kind in kinds.items():
+        schema.add(name, kind)
+    return schema

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelspark.llm.common import checkpoint, utf8
+from parcelspark.llm.common import checkpoint, utf8, with_fields
 
 LENGTH = 200
 GRAM = 32
@@ -414,9 +414,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         ["_h", "_g"], "left",
     ).drop("_h", "_g")
     plain = docs.columns
-    schema = docs.schema
-    for name, kind in (("_kept", "binary"), ("_n_bytes", "long"), ("_n_removed", "long"), ("_n_spans", "long")):
-        schema = schema.add(name, kind)
+    schema = with_fields(docs, _kept="binary", _n_bytes="long", _n_removed="long", _n_spans="long")
     names = schema.names
 
     def run(batches):
