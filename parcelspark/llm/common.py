@@ -15,6 +15,8 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: The white space that parts words, as a pattern of Java and of Python.
 SPACE = r"[\x20\x09-\x0D]+"
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -31,9 +33,15 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared folder and go on from there."""
-    scratch_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write a frame to the shared folder and go on from there; shuffle files that led to it are removed."""
+    spark = df.sparkSession
+    scratch_folder(spark)
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        return df.select("*").checkpoint()  # a new query, which takes the setting up
+    finally:
+        spark.conf.set(_CLEAN, before)
 
 
 def utf8(text: str | None) -> bytes:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import mixing, packing, quality, repeats, simhash
+from parcelspark.llm import mixing, packing, quality, repeats, simhash, tokens
 from parcelspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +71,9 @@ ORACLE["op9_mix_sources"] = mixing.ORACLE_SQL
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the packed sequences."""
     return packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return tokens.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
