@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +69,7 @@ def _outer() -> tuple[np.ndarray, np.ndarray]:
     return following.ravel(), begins.ravel()
 
 
+@lru_cache(maxsize=2)
 def character_classes(file: str) -> np.ndarray:
     """Class of every code point, before its neighbours are looked at, as the library of the file sees it.
 
