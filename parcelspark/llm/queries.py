@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import mixing, packing, quality, repeats, simhash, tokens
+from parcelspark.llm import mixing, packing, quality, repeats, simhash, tokens, toxicity
 from parcelspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     return tokens.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from labelled ones that are not held out."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
