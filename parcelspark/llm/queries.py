@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import mixing, neighbours, packing, quality, repeats, simhash, tokens, toxicity
+from parcelspark.llm import mixing, neighbours, packing, quality, repeats, scoring, simhash, tokens, toxicity
 from parcelspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors found for each vector whose id is divisible by 50."""
     return neighbours.search(read(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+@query
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-likelihood of every document, by counts and by the recurrent model."""
+    return scoring.score(read(spark, sf_dir, "documents").select("doc_id", "text"))
