@@ -18,6 +18,9 @@ MOST_TIMES = 3
 HASH_BITS = 60
 STEP_BITS = 12
 
+#: Tables with one row for each source are broadcast up to this many rows, and joined by a shuffle beyond.
+MOST_BROADCAST = 50_000
+
 
 def document_hash() -> Column:
     """60 bits from the id and the text, the same in every run."""
@@ -25,6 +28,11 @@ def document_hash() -> Column:
     return F.conv(F.substring(F.md5(name.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
+def _by_source(table: DataFrame) -> DataFrame:
+    """A table of one row for each source, as the small side of a join if its counted size allows it."""
+    return F.broadcast(table) if table.count() <= MOST_BROADCAST else table
+
+
 def _targets(sizes: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
     """(sid, source, source_size, weight, target): the water level at which the targets share all words.
 
@@ -65,7 +73,7 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_T
     # prefix: hash bits found so far; below: words of the source with a smaller prefix; last: words at the prefix
     state = checkpoint(state.withColumn("prefix", F.lit(0).cast("long")).withColumn("below", F.lit(0).cast("long")))
     for shift in range(HASH_BITS - STEP_BITS, -1, -STEP_BITS):
-        inside = rows.join(state.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
+        inside = rows.join(_by_source(state.withColumnRenamed("source", "_source")), F.col("source").eqNullSafe(F.col("_source")))
         inside = inside.where(F.shiftright("h", shift + STEP_BITS) == F.col("prefix"))
         buckets = inside.groupBy("sid", F.shiftright("h", shift).alias("bucket")).agg(F.sum("size").alias("words"))
         # at most 2^STEP_BITS rows for each source
@@ -97,7 +105,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TI
         F.col("source").alias("_of"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"),
         F.col("times").alias("_whole"), F.col("threshold").alias("_threshold"),
     )
-    joined = docs.join(steps, F.col("source").eqNullSafe(F.col("_of")))
+    joined = docs.join(_by_source(steps), F.col("source").eqNullSafe(F.col("_of")))
     more = (document_hash() <= F.col("_threshold")).cast("int")
     return joined.select(
         *docs.columns, word_count(F.col("text")).alias("_size"), "_source_size", "_target",
