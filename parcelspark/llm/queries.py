@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import mixing, neighbours, packing, quality, repeats, scoring, simhash, tokens, toxicity
+from parcelspark.llm import html_text, mixing, neighbours, packing, quality, repeats, scoring, simhash, tokens, toxicity
 from parcelspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,10 @@ def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-likelihood of every document, by counts and by the recurrent model."""
     return scoring.score(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.train(pages))
