@@ -44,6 +44,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
         spark.conf.set(_CLEAN, before)
 
 
+def text_batches(df: DataFrame, rows: int = 500) -> DataFrame:
+    """The frame, with its session set to hand texts to Python in batches of few rows: they may be long."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return df
+
+
 def utf8(text: str | None) -> bytes:
     """The bytes of a text; of a null none; a lone surrogate becomes a question mark."""
     return text.encode("utf-8", "replace") if text else b""

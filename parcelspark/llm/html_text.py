@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.llm import boosting
+from parcelspark.llm.common import text_batches
 
 # Elements of HTML by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -419,5 +420,5 @@ def extract(pages: DataFrame, trees: boosting.Trees) -> DataFrame:
                     ["page_id", "url", "text", "n_chars"],
                 )
 
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), "html")
+    rows = text_batches(pages).select(F.col("page_id").cast("long"), F.col("url").cast("string"), "html")
     return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.llm import boosting
-from parcelspark.llm.common import utf8, with_fields
+from parcelspark.llm.common import text_batches, utf8, with_fields
 from parcelspark.llm.repeats import _pair
 
 #: Labelled documents that the trees are fitted on, at most: those whose ids hash lowest.
@@ -125,7 +125,7 @@ def judge(docs: DataFrame, trees: boosting.Trees, threshold: float = THRESHOLD)
     A document is kept if it passes the base rules and its score reaches the threshold. Null and empty texts have
     zero counts and fail. Rows, other columns and repeats stay as they are; an empty table gives an empty table.
     """
-    plain = docs.columns
+    plain = text_batches(docs).columns
     kinds = {f"_{name}": "long" for name in COUNTS}
     schema = with_fields(docs, **kinds, _base_failed="boolean", _score="double", _kept="boolean")
     names = schema.names

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelspark.llm.common import checkpoint, utf8, with_fields
+from parcelspark.llm.common import checkpoint, text_batches, utf8, with_fields
 
 LENGTH = 200
 GRAM = 32
@@ -38,7 +38,7 @@ GRAM = 32
 PIECE = 16
 
 #: Bytes of text that a task refines at once; longer texts are cut with an overlap.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _SPLIT = np.uint64(29)
@@ -358,6 +358,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
 
     Stretches may touch or overlap. Texts without any have no row.
     """
+    docs = text_batches(docs)
     anchors = _repeated(_anchor_counts(docs, length, gram))
     rows = checkpoint(_run_rows(docs, length, gram).join(anchors, "a", "left_semi"))
     several, still_open = _refine(rows, ["id", "h", "g"])

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelspark.llm.common import checkpoint, lower_words
+from parcelspark.llm.common import checkpoint, lower_words, text_batches
 from parcelspark.llm.components import connected_components
 
 BITS = 64
@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
             fps = pa.array(np.array(found, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fps], ["doc_id", "h", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text")
+    rows = text_batches(docs).select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text")
     return rows.mapInArrow(run, "doc_id long, h long, fp long")
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from parcelspark.llm.common import utf8
+from parcelspark.llm.common import text_batches, utf8
 
 #: Characters that are scanned at once; longer texts go through in portions, each entered in the state of its
 #: predecessor's exit.
@@ -335,4 +335,4 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
             )
 
     schema = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return text_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
