@@ -113,17 +113,82 @@ def _(spark, sf):
 )
 def _(spark, sf):
     view = F.col("event_type") == "view"
-    return (
-        events(spark, sf)
-        .groupBy("user_id")
-        .agg(
-            F.min(F.when(view, F.col("ts"))).alias("first_view"),
-            F.max(F.when(view, F.col("ts"))).alias("last_view"),
-            F.max("ts").alias("last_any"),
-        )
+    picks = {"first": E.first(view, "ts"), "last": E.last(view, "ts"), "any": E.last(None, "ts")}
+    return E.milestones(events(spark, sf), picks, "user_id", BY_TIME).select(
+        "user_id", F.col("first.ts").alias("first_view"), F.col("last.ts").alias("last_view"), F.col("any.ts").alias("last_any")
     )
 
 
+_UNTIMED = "SELECT user_id, event_id, event_type, CASE WHEN user_id % 5 = 0 OR event_id % 4 = 0 THEN NULL ELSE ts END AS ts FROM events"
+
+
+def _untimed(spark, sf):
+    has_none = (F.col("user_id") % 5 == 0) | (F.col("event_id") % 4 == 0)
+    return events(spark, sf).withColumn("ts", F.when(~has_none, F.col("ts")))
+
+
+@query(
+    "first_and_latest_without_times",
+    f"""WITH e AS ({_UNTIMED})
+    SELECT * FROM (SELECT user_id, event_id AS first_id, event_type AS first_type FROM e
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts NULLS LAST, event_id) = 1)
+    JOIN (SELECT user_id, event_id AS last_id FROM e
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) = 1) USING (user_id)""",
+)
+def _(spark, sf):
+    """Rows without a time come last both ways; a key with no other row is not lost."""
+    df = _untimed(spark, sf)
+    first = E.first_event(df, "user_id", ("event_id", "event_type"), BY_TIME)
+    last = E.milestones(df, {"last": E.last(None, "event_id", "ts")}, "user_id", BY_TIME)
+    return first.join(last, "user_id").select(
+        "user_id", F.col("event_id").alias("first_id"), F.col("event_type").alias("first_type"), F.col("last.event_id").alias("last_id")
+    )
+
+
+@query(
+    "first_event_in_window",
+    """WITH e AS (SELECT *, nullif(user_id % 40, 0) AS key FROM events WHERE event_type IN ('click', 'view'))
+    SELECT key, event_id, event_type FROM (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY key, event_type ORDER BY ts, event_id) = 1)
+    WHERE ts >= (SELECT min(ts) + INTERVAL 6 HOUR FROM events) AND ts < (SELECT min(ts) + INTERVAL 30 DAY FROM events)""",
+)
+def _(spark, sf):
+    """Keys whose first event of a kind lies in the window, the NULL key among them."""
+    df = _with_epoch(spark, sf).withColumn("key", F.when(F.col("user_id") % 40 != 0, F.col("user_id") % 40))
+    start = df.agg(F.min("at")).first()[0]
+    cols = ("event_id", "event_type")
+    parts = [
+        E.first_event_in_window(df, start + 6 * 3600, start + 30 * 86400, cols, F.col("event_type") == kind, "key", ("at", "event_id"))
+        for kind in ("click", "view")
+    ]
+    return parts[0].union(parts[1])
+
+
+_NULL_KEYS = """SELECT event_id, lag(event_type) OVER w AS prev_type, lead(event_id) OVER w AS next_id
+    FROM (SELECT *, nullif(user_id % 7, 3) AS key FROM events) WINDOW w AS (PARTITION BY key ORDER BY ts, event_id)"""
+
+
+def _null_keys(spark, sf, **options):
+    df = events(spark, sf).withColumn("key", F.when(F.col("user_id") % 7 != 3, F.col("user_id") % 7))
+    found = E.neighbours(df, before=("event_type",), after=("event_id",), key="key", order=BY_TIME, **options)
+    return found.select("event_id", F.col("prev.event_type").alias("prev_type"), F.col("next.event_id").alias("next_id"))
+
+
+@query("neighbours_null_key", _NULL_KEYS)
+def _(spark, sf):
+    """NULL is a key of its own, and large enough to be cut."""
+    return _null_keys(spark, sf, max_rows_per_key=16)
+
+
+@query("neighbours_null_key_unlisted", _NULL_KEYS)
+def _(spark, sf):
+    """The same when there are too many large keys to list."""
+    before, E.MAX_LISTED_KEYS = E.MAX_LISTED_KEYS, 2
+    try:
+        return _null_keys(spark, sf, max_rows_per_key=16)
+    finally:
+        E.MAX_LISTED_KEYS = before
+
+
 _PREVIOUS = """SELECT event_id, user_id, event_type, lag(event_type) OVER w AS prev_type, lag(ts) OVER w AS prev_ts,
     lag(value) OVER w AS prev_value FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"""
 
@@ -534,6 +599,7 @@ _STATUS_WORDS = (
     "3PL_Received", "SP_Received", "DOP_Received", "FMHub_LHTransporting", "Return_LMHub_Received", "Exception_Found",
     "Delivering", "SOC_Pickup_Done", "SOC_Received", "Return_SOC_LHTransporting", "Reallocate", "Created",
     "SOC_Pickup_Onhold", "SOC_Pickup_Handedover", "Transported_to_sp", "SOC_Packing", "Auto_to_Pending_Drop_off", "Other",
+    "Return-LMHub_Packed", "Return SOC_Lost", "ReturnSOC_Lost",
 )
 _WORD_LIST = ", ".join(f"'{w}'" for w in _STATUS_WORDS)
 
@@ -541,8 +607,8 @@ _WORD_LIST = ", ".join(f"'{w}'" for w in _STATUS_WORDS)
 @query(
     "rule_cascade",
     f"""SELECT event_id, CASE WHEN s ^@ '3PL' THEN '4PL' WHEN s ^@ 'SP' OR s ^@ 'DOP' OR s = 'Auto_to_Pending_Drop_off' THEN 'SP'
-        WHEN regexp_matches(s, '^(Return_)?(FM|LM)|^Exc') OR s IN ('Delivering', 'Onhold', 'SOC_Pickup_Done') THEN 'CTO'
-        WHEN place IN ('SOCE', 'SOCW') AND regexp_matches(s, '^(Return_)?SOC|^Reallocate$') THEN 'MM' WHEN s = 'Created' THEN 'MM'
+        WHEN s LIKE 'Return_FM%' OR s LIKE 'Return_LM%' OR regexp_matches(s, '^(FM|LM|Exc)') OR s IN ('Delivering', 'Onhold', 'SOC_Pickup_Done') THEN 'CTO'
+        WHEN place IN ('SOCE', 'SOCW') AND (s LIKE 'Return_SOC%' OR regexp_matches(s, '^SOC|^Reallocate$')) THEN 'MM' WHEN s = 'Created' THEN 'MM'
         WHEN s ^@ 'Return_SOC_LHTransport' THEN 'CTO/MM'
         WHEN s IN ('SOC_Pickup_Onhold', 'SOC_Pickup_Failed', 'Transporting_to_sp', 'Transported_to_sp') THEN 'SP/CTO'
         WHEN s IN ('SOC_Received', 'SOC_Packing', 'SOC_Packed', 'SOC_Handover', 'Reallocate') THEN 'CTO'

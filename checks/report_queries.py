@@ -81,8 +81,8 @@ SELECT DISTINCT lost.shipment_id, nm.status_name AS latest_status_name, i.cod_am
     split_part(f.station_name, ' -', 1) AS unsucessful_log_hub, f.error_msg,
     CASE WHEN b.s ^@ '3PL' THEN '4PL'
          WHEN regexp_matches(b.s, '^(SP|DOP)') OR b.s = 'Auto_to_Pending_Drop_off' THEN 'SP'
-         WHEN regexp_matches(b.s, '^(FM|Return_FM|LM|Return_LM|Exc)') OR b.s IN ('Delivering', 'Onhold', 'SOC_Pickup_Done') THEN 'CTO'
-         WHEN b.at IN ('SOCE', 'Sorting center', 'SOCW') AND (regexp_matches(b.s, '^(SOC|Return_SOC)') OR b.s = 'Reallocate') THEN 'MM'
+         WHEN b.s LIKE 'Return_FM%' OR b.s LIKE 'Return_LM%' OR regexp_matches(b.s, '^(FM|LM|Exc)') OR b.s IN ('Delivering', 'Onhold', 'SOC_Pickup_Done') THEN 'CTO'
+         WHEN b.at IN ('SOCE', 'Sorting center', 'SOCW') AND (b.s LIKE 'Return_SOC%' OR b.s ^@ 'SOC' OR b.s = 'Reallocate') THEN 'MM'
          WHEN b.s = 'Created' THEN 'MM'
          WHEN regexp_matches(b.s, '^Return_SOC_LHTransport(ing|ed)$') THEN 'CTO/MM'
          WHEN b.s IN ('SOC_Pickup_Onhold', 'SOC_Pickup_Failed', 'Transporting_to_sp', 'Transported_to_sp') THEN 'SP/CTO'
@@ -210,7 +210,7 @@ seen AS (
 alloc AS (
     SELECT pickup_order_id, pickup_task_id, pickup_point_id FROM pickup_alloc
     QUALIFY row_number() OVER (PARTITION BY pickup_order_id
-                               ORDER BY allocated_time DESC, pickup_task_id DESC, pickup_point_id DESC) = 1),
+                               ORDER BY allocated_time DESC NULLS LAST, pickup_task_id DESC, pickup_point_id DESC) = 1),
 direct AS (
     SELECT o.shipment_id, o.cogs, pick.pickup_time, user_id AS driver_id, operator AS driver_name, station_name,
            CAST(coalesce(sorted, FALSE) AS INT) AS is_soc_rec, pickup_task_id, pickup_point_id, shop_id, seller_name,
@@ -250,6 +250,20 @@ def _(spark, sf):
     return plans.sortation_not_received(spark, tables(spark, sf, PICKUP), date(2024, 1, 31), settings=SETTINGS)
 
 
+@query(
+    "report_direct_pickup_summary_unique_seller",
+    _PICKED
+    + """
+SELECT CAST(pickup_time AS DATE) AS report_date, driver_id, pickup_point_id, count(DISTINCT shipment_id) AS total_order_in_pu_task,
+    CAST(sum(is_soc_rec) AS BIGINT) AS total_soc_rec, CAST(count(*) - sum(is_soc_rec) AS BIGINT) AS diff,
+    CAST(sum(no_task) AS BIGINT) AS total_no_pu_task
+FROM (SELECT DISTINCT * EXCLUDE (shop_id, seller_name) FROM direct) GROUP BY ALL""",
+)
+def _(spark, sf):
+    t = tables(spark, sf, PICKUP)
+    return plans.direct_pickup_summary(spark, t, date(2024, 1, 31), seller_is_unique=True, settings=SETTINGS)
+
+
 DATES = Mix((0, 39, 8, 36, 0, 39, 15))
 
 
@@ -276,9 +290,29 @@ def _(spark, sf):
     )
 
 
+@query(
+    "report_created_and_pickup_dates_deduped",
+    with_clause(DATES, "tracking", "shipment_info", "fleet_order")
+    + f"""
+SELECT c.shipment_id,
+    CASE i.order_type_name WHEN 'CB' THEN 'CB' WHEN 'Own Express' THEN 'WH' WHEN 'OPEN_STANDARD' THEN 'OSV'
+         WHEN 'BULKY_MARKETPLACE' THEN 'BKY' ELSE CASE WHEN i.shipment_id IS NOT NULL THEN 'MKP' END END AS order_type,
+    {ts('c.ctime')} AS created_timestamp, CAST({ts('p.ctime')} AS DATE) AS pickup_done_date
+FROM {numbered('tracking', 'shipment_id, ctime', 'status = 0')} c
+LEFT JOIN {numbered('tracking', 'shipment_id, ctime', 'status = 39')} p ON p.shipment_id = c.shipment_id
+LEFT JOIN shipment_info i ON i.shipment_id = c.shipment_id
+WHERE c.shipment_id IN (SELECT shipment_id FROM fleet_order)""",
+)
+def _(spark, sf):
+    t = tables(spark, sf, DATES)
+    return plans.created_and_pickup_dates(
+        spark, t, _all_orders(t), order_types={"Own Express": "WH", "OPEN_STANDARD": "OSV"}, dedupe=True, settings=SETTINGS
+    )
+
+
 # --- lead times ---------------------------------------------------------------------------
 
-LEAD = Mix((8, 15, 36, 47, 48, 64, 65, 56, 235, 86, 87, 233, 234, 39, 42, 81, 0, 58, 73, 11), strict=True,
+LEAD = Mix((8, 15, 36, 47, 48, 64, 65, 56, 235, 86, 87, 233, 234, 39, 42, 81, 0, 58, 73, 11), strict=True, renamed=True,
            stations=(3, 242, 71, 77, 1, 2, 6, 7, 8, 13, 1479, None, 2400, 44, 55, 66, 983))
 _OUT, _IN = codes(V.LEADTIME_DEPARTED), codes(V.LEADTIME_ARRIVED)
 
@@ -305,17 +339,18 @@ _LEAD_COLUMNS = ", ".join(
     "report_leadtime_by_function",
     with_clause(LEAD, "tracking", "status_src", "station", "shipment_info", "fleet_order")
     + f"""
-, walk AS (
-    SELECT t.shipment_id, t.status, {ts()} AS at_ts, s.station_name AS st, {js('station_name')} AS partner,
+, names AS (SELECT status, min(status_name) AS status_name FROM status_src GROUP BY status),
+walk AS (
+    SELECT t.shipment_id, t.status, n.status_name, {ts()} AS at_ts, s.station_name AS st, {js('station_name')} AS partner,
         {js_int('station_id')} AS named_id, lead({ts()}) OVER w AS next_ts, lead(s.station_name) OVER w AS next_st,
         lead(t.status) OVER w AS next_status, lag(s.station_name) OVER w AS prev_st
-    FROM tracking t LEFT JOIN station s ON s.station_id = t.station_id
+    FROM tracking t LEFT JOIN station s ON s.station_id = t.station_id LEFT JOIN names n ON n.status = t.status
     WHERE t.status NOT IN {codes(V.LEADTIME_IGNORED)} AND t.shipment_id IN (SELECT shipment_id FROM fleet_order)
     WINDOW w AS (PARTITION BY t.shipment_id ORDER BY ctime, event_id)),
 step AS (
-    SELECT w.*, n.status_name, g.station_name AS named, i.order_type_id, i.delivered_sla_timestamp,
+    SELECT w.*, g.station_name AS named, i.order_type_id, i.delivered_sla_timestamp,
         CASE WHEN partner IN ('Flash', 'Kerry', 'Ninja Van') THEN partner ELSE coalesce(st, prev_st) END AS hub
-    FROM walk w LEFT JOIN {STATUS_MAP} n ON n.status = w.status LEFT JOIN station g ON g.station_id = w.named_id
+    FROM walk w LEFT JOIN station g ON g.station_id = w.named_id
     LEFT JOIN shipment_info i ON i.shipment_id = w.shipment_id),
 leg AS (
     SELECT *, coalesce(hub, named) AS own,
@@ -633,6 +668,23 @@ def _(spark, sf):
     )
 
 
+_RECEIPTS = with_clause(RETURNS, "tracking", "station", "fleet_order_dwd", "region_index") + f"""
+, got AS (
+    SELECT * FROM {numbered('tracking', f'shipment_id, operator, {ts()} AS rec_ts', "status = 58 AND station_id = 3")}
+    WHERE {day6('rec_ts')} BETWEEN DATE '2024-01-01' AND DATE '2024-01-30')
+SELECT got.shipment_id, got.operator, rec_ts AS receive_time, {ts('nullif(m.returned_time, 0)')} AS returned_time,
+    rec_ts <= CAST({day6('rec_ts')} AS TIMESTAMP) + INTERVAL 26 HOUR AS on_time
+FROM got LEFT JOIN fleet_order_dwd m ON m.shipment_id = got.shipment_id"""
+
+
+@query("report_return_receipts", _RECEIPTS)
+def _(spark, sf):
+    """The rows behind the return report."""
+    rows = plans.returns.return_receipts(spark, tables(spark, sf, RETURNS), date(2024, 1, 31), settings=SETTINGS)
+    on_time = F.col("ontime_received_2am").isNotNull()
+    return rows.select("shipment_id", "operator", "receive_time", "returned_time", on_time.alias("on_time"))
+
+
 # --- trackers -----------------------------------------------------------------------------
 
 TRACK = Mix((8, 15, 18, 36, 46, 47, 35, 81, 58, 64, 233), strict=True)

@@ -42,12 +42,14 @@ OPERATORS = ("IND0001", "CAB0002", "DWS0003", "MQB0004", "Flash", "agent07", "ri
 
 @dataclass(frozen=True)
 class Mix:
-    """Statuses and stations that occur in the log. `strict`: no text where a number belongs."""
+    """Statuses and stations that occur in the log. `strict`: no text where a number belongs.
+    `renamed`: some statuses have a second name."""
 
     statuses: tuple[int, ...]
     stations: tuple[int | None, ...] = (3, 242, 71, 77, 82, 983, 1479, 1480, 1350, 78, None)
     named: tuple[int, ...] = (3, 71, 77, 82, 983, 1479, 1480, 242)
     strict: bool = False
+    renamed: bool = False
 
 
 class Dialect:
@@ -106,6 +108,7 @@ def derived(d: Dialect, mix: Mix) -> dict[str, str]:
     broken = "'{{\"station_id\": 3, \"to_number\": '"
     not_a_number = not_a_number.replace("{", "{{").replace("}", "}}")
     sid = shipment("o_orderkey")
+    second = f" || CASE WHEN {status} % 3 = 0 AND k % 2 = 0 THEN ' (renamed)' ELSE '' END" if mix.renamed else ""
     station_name = (
         case("p_partkey", STATIONS)
         + f" ELSE CASE p_partkey % 4 WHEN 2 THEN 'F' || substring({code}, 2) WHEN 3 THEN 'D' || substring({code}, 2) "
@@ -123,7 +126,7 @@ def derived(d: Dialect, mix: Mix) -> dict[str, str]:
                         ELSE {full} END AS content
             FROM {log}""",
         "status_src": f"""
-            SELECT {status} AS status, {case(status, STATUS_NAMES)} ELSE 'Step_' || CAST({status} AS STRING) END AS status_name
+            SELECT {status} AS status, {case(status, STATUS_NAMES)} ELSE 'Step_' || CAST({status} AS STRING) END{second} AS status_name
             FROM {log}""",
         "failed_op_log": f"""
             SELECT event_id, {shipment(number)} AS shipment_id, 'E' || CAST(k AS STRING) AS error_msg,
@@ -180,7 +183,8 @@ def derived(d: Dialect, mix: Mix) -> dict[str, str]:
                    'District ' || CAST(l_partkey % 50 AS STRING) AS seller_addr_district
             FROM {{lineitem}}""",
         "pickup_alloc": f"""
-            SELECT {shipment('l_orderkey')} AS pickup_order_id, {d.seconds('l_shipdate')} AS allocated_time,
+            SELECT {shipment('l_orderkey')} AS pickup_order_id,
+                   CASE WHEN l_orderkey % 3 <> 0 AND l_linenumber <> 2 THEN {d.seconds('l_shipdate')} END AS allocated_time,
                    CASE WHEN l_returnflag = 'R' THEN '' ELSE 'TASK' || CAST(l_partkey AS STRING) END AS pickup_task_id,
                    l_suppkey AS pickup_point_id
             FROM {{lineitem}}""",

@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelspark.fixed_values import HUBS_OF_REGION, REGIONAL
 from parcelspark.operators.lookup import bounded_broadcast, inline_table
-from parcelspark.operators.reuse import keep
 
 
-def _status_pairs(status_src: DataFrame) -> DataFrame:
-    """The (status, name) pairs that occur in a much larger table, reduced once and kept."""
-    return keep(status_src.select("status", "status_name").distinct())
+def status_pairs(status_src: DataFrame) -> DataFrame:
+    """The (status, name) pairs that occur in a much larger table."""
+    return status_src.select("status", "status_name").distinct()
 
 
 def status_dim(status_src: DataFrame) -> DataFrame:
@@ -20,13 +19,13 @@ def status_dim(status_src: DataFrame) -> DataFrame:
     Broadcast if few: a status column has few values and is skewed, so joining the log to it by
     shuffle would be the worst plan.
     """
-    return bounded_broadcast(_status_pairs(status_src))
+    return bounded_broadcast(status_pairs(status_src))
 
 
 def status_names(status_src: DataFrame) -> DataFrame:
     """One name per status (the first in alphabet, should a status have several): for reports
     that number events after the name is joined, and so never repeat one."""
-    names = _status_pairs(status_src).groupBy("status").agg(F.min("status_name").alias("status_name"))
+    names = status_pairs(status_src).groupBy("status").agg(F.min("status_name").alias("status_name"))
     return bounded_broadcast(names)
 
 

@@ -1,10 +1,11 @@
 """First, last, previous and next events of a shipment.
 
 Picks are aggregates (`min_by` / `max_by`), not ranked windows: each task reduces a shipment to
-one candidate before the shuffle, so a shipment that holds a large share of the log costs no
-more than any other, and any number of picks shares one scan.
+one candidate before the shuffle, so that no task holds all events of a shipment, and any number
+of picks shares one scan. A pick of more than the time sorts each task's rows by shipment first.
 
-Events are ordered by (time, event id); the id breaks ties, so results are repeatable.
+Events are ordered by (time, event id); the id breaks ties, so results are repeatable. An event
+without a time comes after all others, forwards and backwards.
 """
 
 from __future__ import annotations
@@ -48,15 +49,21 @@ def last(where: Column | None = None, *cols: str) -> Pick:
 
 def _aggregate(pick: Pick, order: Sequence[str]) -> Column:
     time = order[0]
-    known = F.col(time).isNotNull()
-    wanted = known if pick.where is None else known & pick.where
+    wanted = F.lit(True) if pick.where is None else pick.where
     if tuple(pick.cols) == (time,):
         # The time alone needs no tie-break and fits a hash aggregate.
         extreme = F.max if pick.last else F.min
         at = extreme(F.when(wanted, F.col(time)))
         return F.when(at.isNotNull(), F.struct(at.alias(time)))
     by = F.max_by if pick.last else F.min_by
-    return by(F.struct(*pick.cols), F.when(wanted, F.struct(*order)))
+    return by(F.struct(*pick.cols), F.when(wanted, _ranked(order, pick.last)))
+
+
+def _ranked(order: Sequence[str], is_last: bool) -> Column:
+    """What the earliest (smallest) or latest (largest) is taken by: a row without a time comes after all others
+    either way, and is picked only if there is no other."""
+    time = F.col(order[0])
+    return F.struct((time.isNotNull() if is_last else time.isNull()).alias("_known"), *order)
 
 
 def _for_keys(df: DataFrame, only: Keys | None, reduce: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -83,11 +90,9 @@ def milestones(
 def _one_event(df, key, cols, order, where, only, is_last) -> DataFrame:
     names = tuple(c for c in (cols or df.columns) if c != key)
     rows = df if where is None else df.filter(where)
-    picked = (F.max_by if is_last else F.min_by)(
-        F.struct(*names), F.when(F.col(order[0]).isNotNull(), F.struct(*order))
-    )
+    picked = (F.max_by if is_last else F.min_by)(F.struct(*names), _ranked(order, is_last))
     reduced = _for_keys(rows, only, lambda r: r.groupBy(key).agg(picked.alias("_row")))
-    return reduced.filter("_row IS NOT NULL").select(key, "_row.*")
+    return reduced.select(key, "_row.*")
 
 
 def first_event(
@@ -118,6 +123,32 @@ def latest_event(
     return picked if then is None else picked.filter(then)
 
 
+def first_event_in_window(
+    log: DataFrame,
+    begin: int,
+    end: int,
+    cols: Sequence[str],
+    where: Column | None = None,
+    key: str = KEY,
+    order: Sequence[str] = (TIME, TIE),
+    earlier: bool = True,
+) -> DataFrame:
+    """The earliest row of each key for which `where` holds, if its time lies in [begin, end).
+
+    The window reaches the scan of the columns wanted: only its rows are reduced and moved. A key found there is
+    dropped if it has an earlier such row, which a second scan tells that reads the key, the time and what `where`
+    needs, reduced to distinct keys before it is moved. NULL is a key like any other. With `earlier` False the
+    caller looks for earlier rows, and gets the candidates.
+    """
+    rows = log if where is None else log.filter(where)
+    time = F.col(order[0])
+    found = first_event(rows.filter((time >= begin) & (time < end)), key, cols, order)
+    if not earlier:
+        return found
+    before = rows.filter(time < begin).select(F.col(key).alias("_earlier")).distinct()
+    return found.join(before, F.col(key).eqNullSafe(F.col("_earlier")), "left_anti")
+
+
 def latest_version(df: DataFrame, key: str, version: str) -> DataFrame:
     """All rows that carry the highest version of their key; ties are kept. Spark limits the
     ranked groups before the shuffle, so older versions are not moved."""
@@ -137,9 +168,9 @@ MAX_LISTED_KEYS = 1_000
 
 def _slice(
     df: DataFrame, key: str, time: str, only: Keys | None, max_rows: int, slice_seconds: int | None
-) -> Column | None:
-    """NULL when no key is large, else the slice number: time slices for large keys, 0 for the
-    others. Slices are made narrow enough to hold `max_rows` rows on average, a second at least.
+) -> tuple[Column, Column] | None:
+    """None when no key is large, else the slice number and whether the key is cut: time slices for large keys (NULL
+    may be one), 0 for the others. Slices are made narrow enough to hold `max_rows` rows on average, a second at least.
     Rows are counted per key; at most MAX_LISTED_KEYS + 1 keys reach the driver."""
     seconds = F.col(time)
     if dict(df.dtypes)[time].startswith("timestamp"):
@@ -162,9 +193,11 @@ def _slice(
     # Events without a time come last, as in the order of the window.
     by_time = F.coalesce(F.floor(seconds / slice_seconds), F.lit(2**62))
     if too_many:
-        return by_time
-    is_large = F.coalesce(F.col(key).isin([r[0] for r in listed]), F.lit(False))
-    return F.when(is_large, by_time).otherwise(F.lit(0).cast("long"))
+        return by_time, F.lit(True)
+    is_large = F.coalesce(F.col(key).isin([r[0] for r in listed if r[0] is not None]), F.lit(False))
+    if any(r[0] is None for r in listed):
+        is_large = is_large | F.col(key).isNull()
+    return F.when(is_large, by_time).otherwise(F.lit(0).cast("long")), is_large
 
 
 def neighbours(
@@ -190,7 +223,8 @@ def neighbours(
         w = Window.partitionBy(key)
     else:
         # Stated, because rows already placed by key alone would otherwise stay where they are.
-        rows = rows.withColumn("_slice", part).repartition(key, "_slice")
+        number, is_cut = part
+        rows = rows.withColumn("_slice", number).repartition(key, "_slice")
         w = Window.partitionBy(key, "_slice")
     w = w.orderBy(*[F.col(c).asc_nulls_last() for c in order])
     out = rows
@@ -208,17 +242,19 @@ def neighbours(
     if after:
         ends.append(F.min_by(F.struct(*after), at).alias("_head"))
     slices = Window.partitionBy(key).orderBy("_slice")
-    edges = rows.groupBy(key, "_slice").agg(*ends)
+    edges = rows.filter(is_cut).groupBy(key, "_slice").agg(*ends)
     if before:
         edges = edges.withColumn("_tail", F.lag("_tail").over(slices))
     if after:
         edges = edges.withColumn("_head", F.lead("_head").over(slices))
-    out = out.join(edges, [key, "_slice"], "left")
+    edges = edges.withColumnsRenamed({key: "_edge_key", "_slice": "_edge_slice"})
+    same = F.col(key).eqNullSafe(F.col("_edge_key")) & (F.col("_slice") == F.col("_edge_slice"))
+    out = out.join(edges, same, "left")
     if before:
         out = out.withColumn("prev", F.coalesce("prev", "_tail"))
     if after:
         out = out.withColumn("next", F.coalesce("next", "_head"))
-    return out.drop("_slice", "_tail", "_head")
+    return out.drop("_slice", "_tail", "_head", "_edge_key", "_edge_slice")
 
 
 def dwell_hours(
@@ -248,5 +284,5 @@ def effective_station(
 
 __all__ = [
     "KEY", "TIE", "TIME", "Pick", "dwell_hours", "effective_station", "first", "first_event",
-    "last", "latest_event", "latest_version", "milestones", "neighbours", "with_tie_break",
+    "first_event_in_window", "last", "latest_event", "latest_version", "milestones", "neighbours", "with_tie_break",
 ]

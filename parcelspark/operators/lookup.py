@@ -60,16 +60,20 @@ def inline_table(spark: SparkSession, schema: str, rows: Sequence[tuple]) -> Dat
     return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({', '.join(f.name for f in fields)})")
 
 
-def lookup_rules(df: DataFrame, rules: DataFrame, on: Mapping[str, Column], out: Mapping[str, str]) -> DataFrame:
-    """Left join to a rule table of fixed size. `on`: rule column -> key expression over `df`;
-    `out`: rule column -> output name. No match gives NULL."""
+def lookup_rules(
+    df: DataFrame, rules: DataFrame, on: Mapping[str, Column], out: Mapping[str, str], fixed: bool = False
+) -> DataFrame:
+    """Left join to a rule table. `on`: rule column -> key expression over `df`; `out`: rule
+    column -> output name. No match gives NULL. The table is counted before it is broadcast,
+    unless it is `fixed`: literals out of `inline_table`."""
     side = rules.select(
         *[F.col(c).alias(f"_on_{c}") for c in on], *[F.col(c).alias(n) for c, n in out.items()]
     )
     keyed_df = df.select("*", *[e.alias(f"_key_{c}") for c, e in on.items()])
     condition = [F.col(f"_key_{c}") == F.col(f"_on_{c}") for c in on]
     names = [f"_{p}_{c}" for p in ("key", "on") for c in on]
-    return keyed_df.join(F.broadcast(side), condition, "left").drop(*names)
+    side = F.broadcast(side) if fixed else bounded_broadcast(side)
+    return keyed_df.join(side, condition, "left").drop(*names)
 
 
 def role(dim: DataFrame, key: str, attributes: Mapping[str, str], on: str) -> DataFrame:

@@ -2,20 +2,34 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-_kept: list[DataFrame] = []
 
+class Kept:
+    """Persisted frames of one owner."""
+
+    _owners: weakref.WeakSet[Kept] = weakref.WeakSet()
+
+    def __init__(self) -> None:
+        self._frames: list[DataFrame] = []
+        Kept._owners.add(self)
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Persist a small intermediate that several branches of a report read. Lost blocks are
+        recomputed from the plan. `release` frees it."""
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self._frames.append(kept)
+        return kept
 
-def keep(df: DataFrame) -> DataFrame:
-    """Persist a small intermediate that several branches of a report read. Lost blocks are
-    recomputed from the plan. `release()` frees all of them once the report is written."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _kept.append(kept)
-    return kept
+    def release(self) -> None:
+        while self._frames:
+            self._frames.pop().unpersist()
 
 
 def release() -> None:
-    while _kept:
-        _kept.pop().unpersist()
+    """Free what all reports keep, of every `Tables`: for a session that runs no other report."""
+    for owner in list(Kept._owners):
+        owner.release()

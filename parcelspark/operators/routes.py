@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from parcelspark import fixed_values as V
 from parcelspark.functions.clock import business_day
 from parcelspark.operators.dims import regional_pairs
-from parcelspark.operators.lookup import inline_table
+from parcelspark.operators.lookup import bounded_broadcast, inline_table
 
 _SCHEMA = (
     "pickup string, delivery string, lh_route string, depart_hours int, arrive_hours int, "
@@ -54,12 +54,14 @@ def route_sla(
     sort_received: str = "min_soc_received",
     sort_departed: str = "min_soc_lh_transporting",
     travel: str = "rc_to_soc_delivery_leadtime",
+    fixed: bool = False,
 ) -> DataFrame:
-    """Rows on a known route, with its label and four on-time flags (0 when late or unknown)."""
+    """Rows on a known route, with its label and four on-time flags (0 when late or unknown). The
+    rules are counted before they are broadcast, unless they are `fixed`: those of `route_rules`."""
     received_day = F.col(received).cast("date")
     return (
         df.join(
-            F.broadcast(rules),
+            F.broadcast(rules) if fixed else bounded_broadcast(rules),
             (F.col(pickup) == F.col("pickup")) & (F.col(delivery) == F.col("delivery")),
             "inner",
         )

@@ -29,18 +29,19 @@ def starts_with_any(text: Column, *prefixes: str) -> Column:
 
 def responsible_team(status: Column, station: Column, is_dropoff: Column) -> Column:
     """Team that answers for a loss, from the event before it. The order decides: the broad
-    first-mile, last-mile and exception prefixes come before the single line-haul statuses."""
+    first-mile, last-mile and exception prefixes come before the single line-haul statuses. The
+    underscore in the return prefixes is LIKE's wildcard: any one character fits."""
     at_sort_centre = station.isin(*V.SORT_CENTRE_NAMES)
     return apply_rules(
         [
             (status.startswith("3PL"), "4PL"),
             (starts_with_any(status, "SP", "DOP") | (status == "Auto_to_Pending_Drop_off"), "SP"),
             (
-                starts_with_any(status, "FM", "Return_FM", "LM", "Return_LM", "Exc")
+                starts_with_any(status, "FM", "LM", "Exc") | status.like("Return_FM%") | status.like("Return_LM%")
                 | status.isin("Delivering", "Onhold", "SOC_Pickup_Done"),
                 "CTO",
             ),
-            (starts_with_any(status, "SOC", "Return_SOC") & at_sort_centre, "MM"),
+            ((status.startswith("SOC") | status.like("Return_SOC%")) & at_sort_centre, "MM"),
             ((status == "Reallocate") & at_sort_centre, "MM"),
             (status == "Created", "MM"),
             (status.isin("Return_SOC_LHTransporting", "Return_SOC_LHTransported"), "CTO/MM"),

@@ -9,11 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from parcelspark import fixed_values as V
 from parcelspark.functions.jsontext import json_text
 from parcelspark.functions.text import delivery_hub, delivery_hub_of_any
-from parcelspark.operators.dims import status_dim
 from parcelspark.operators.events import effective_station, latest_event
 from parcelspark.operators.lookup import as_keys
 from parcelspark.operators.metrics import pivot_counts
-from parcelspark.operators.reuse import keep
 from parcelspark.plans.base import Context
 from parcelspark.settings import Settings
 
@@ -31,7 +29,7 @@ def hub_live_backlog(
     attempts, which may be older, are read only for shipments that need them."""
     ctx = Context(tables, settings, as_of)
     ctime = F.col("ctime")
-    current = keep(
+    current = tables.keep(
         latest_event(
             ctx.log.filter(
                 (ctime >= ctx.begin(days))
@@ -73,7 +71,7 @@ def hub_live_backlog(
             ),
         )
         .join(stations, "_place", "left")
-        .join(status_dim(tables["status_src"]), "status", "left")
+        .join(tables.statuses(), "status", "left")
         .withColumn("_hub", delivery_hub_of_any(F.coalesce("_named", "_place")))
         .join(known_hubs, hub == F.col("_known"), "left")
         .withColumn("Hub Name", F.when(F.col("_known").isNull(), F.concat(hub, F.lit("-A"))).otherwise(hub))

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from parcelspark import fixed_values as V
 from parcelspark.functions.clock import business_day, elapsed, moment
 from parcelspark.functions.jsontext import json_int, json_int_strict, json_text
-from parcelspark.operators.dims import station_dim, status_dim
-from parcelspark.operators.events import dwell_hours, first, milestones, neighbours
+from parcelspark.operators.dims import station_dim
+from parcelspark.operators.events import dwell_hours, first, first_event_in_window, milestones, neighbours
 from parcelspark.operators.lookup import as_keys, keyed
 from parcelspark.operators.metrics import pivot_sums
 from parcelspark.operators.rules import flow_by_mention, function_of_leg, stations_of_leg, type_by_code
@@ -38,26 +38,32 @@ def leadtime_by_function(
     shipments. `now` is the local time up to which an open shipment's clock runs."""
     ctx = Context(tables, settings)
     status = F.col("status")
-    events = (
-        ctx.log.filter(~status.isin(*ignored))
-        .select("shipment_id", "status", "station_id", "ctime", "event_id", "content")
-        .join(station_dim(tables.dimension("station"), "_station"), "station_id", "left")
-    )
     wanted = as_keys(spark, keys)
-    around = neighbours(events, before=("_station",), after=("ctime", "status", "_station"), only=wanted)
-    partner = json_text("content", "station_name")
+    log = ctx.log.filter(~status.isin(*ignored)).select(
+        "shipment_id", "status", "station_id", "ctime", "event_id", "content"
+    )
+    # Two fields are taken out of the JSON text before anything is moved. Few shipments' events are kept, so that
+    # counting them and looking around reads the log once.
+    events = (keyed(log, wanted) if wanted.few else log).select(
+        "shipment_id", "status", "station_id", "ctime", "event_id",
+        json_text("content", "station_name").alias("_partner"),
+        json_int_strict("content", "station_id").alias("_named_id"),
+    )
+    events = (tables.keep(events) if wanted.few else events).join(
+        station_dim(tables.dimension("station"), "_station"), "station_id", "left"
+    )
+    around = neighbours(
+        events, before=("_station",), after=("ctime", "status", "_station"), only=None if wanted.few else wanted
+    )
+    partner = F.col("_partner")
     named = (
-        around.withColumns(
-            {
-                "_partner": partner,
-                "_hub": F.when(partner.isin(*V.PARTNER_CARRIERS), partner).otherwise(
-                    F.coalesce("_station", "prev._station")
-                ),
-                "_named_id": json_int_strict("content", "station_id"),
-            }
+        around.withColumn(
+            "_hub",
+            F.when(partner.isin(*V.PARTNER_CARRIERS), partner).otherwise(F.coalesce("_station", "prev._station")),
         )
         .join(station_dim(tables.dimension("station"), "_named", "_named_id"), "_named_id", "left")
-        .join(status_dim(tables["status_src"]), "status", "left")
+        # A status with several names must not repeat an event after its hours are known.
+        .join(tables.statuses(one_name=True), "status", "left")
         .withColumns(
             stations_of_leg(status, F.col("next.status"), F.col("_hub"), F.col("next._station"), F.col("_named"))
         )
@@ -100,22 +106,21 @@ def partner_leadtime_summary(
     handover centre."""
     ctx = Context(tables, settings, as_of)
     status = F.col("status")
-    picked = (
-        milestones(
-            ctx.events(*V.PARTNER_RECEIVED, *V.HANDED_OVER, *V.DELIVERED),
-            {
-                "received": first(has(status, V.PARTNER_RECEIVED)),
-                "over": first(has(status, V.HANDED_OVER), "ctime", "content"),
-                "delivered": first(has(status, V.DELIVERED)),
-            },
-        )
-        .filter(
-            (F.col("received.ctime") >= ctx.begin(first_days, 2))
-            & (F.col("received.ctime") < ctx.begin(last_days - 1, 2))
-            & F.col("delivered").isNotNull()
+    received_in = tables.keep(
+        first_event_in_window(
+            ctx.events(*V.PARTNER_RECEIVED), ctx.begin(first_days, 2), ctx.begin(last_days - 1, 2), ("ctime",)
         )
+    )
+    around = milestones(
+        ctx.events(*V.HANDED_OVER, *V.DELIVERED),
+        {"over": first(has(status, V.HANDED_OVER), "ctime", "content"), "delivered": first(has(status, V.DELIVERED))},
+        only=as_keys(spark, received_in),
+    )
+    picked = (
+        received_in.join(around, "shipment_id")
+        .filter("delivered IS NOT NULL")
         .select(
-            ctx.ts("received.ctime").alias("_received"),
+            ctx.ts().alias("_received"),
             ctx.ts("over.ctime").alias("_over"),
             ctx.ts("delivered.ctime").alias("_delivered"),
             json_int("over.content", "station_id").alias("_over_id"),

@@ -11,10 +11,9 @@ from parcelspark import fixed_values as V
 from parcelspark.functions.clock import business_day, elapsed
 from parcelspark.functions.jsontext import json_int, json_text
 from parcelspark.functions.text import part_before
-from parcelspark.operators.dims import hub_regions, station_dim, status_names
-from parcelspark.operators.events import first, last, latest_event, latest_version, milestones
+from parcelspark.operators.dims import hub_regions, station_dim
+from parcelspark.operators.events import first, first_event_in_window, last, latest_event, latest_version, milestones
 from parcelspark.operators.lookup import as_keys, keyed, lookup_rules, role
-from parcelspark.operators.reuse import keep
 from parcelspark.operators.routes import route_rules, route_sla
 from parcelspark.plans.base import Context, has
 from parcelspark.settings import Settings
@@ -193,12 +192,9 @@ def long_path_orders(
     station = tables.dimension("station")
     ctime = F.col("ctime")
     begin, end = ctx.begin(0), ctx.begin(-1)
-    received = keep(
-        milestones(
-            ctx.events(*V.RECEIVED).filter(ctime < end), {"rec": first(None, "ctime", "station_id")}
-        )
-        .filter(F.col("rec.ctime") >= begin)
-        .select("shipment_id", F.col("rec.ctime").alias("_rec"), F.col("rec.station_id").alias("_station_id"))
+    received = tables.keep(
+        first_event_in_window(ctx.events(*V.RECEIVED), begin, end, ("ctime", "station_id"))
+        .select("shipment_id", F.col("ctime").alias("_rec"), F.col("station_id").alias("_station_id"))
         .join(station_dim(station, "pickup_rc_station_name", "_station_id"), "_station_id")
         .filter(F.col("pickup_rc_station_name").isin(*stations))
         .drop("_station_id")
@@ -224,13 +220,13 @@ def long_path_orders(
         .join(station_dim(station, "_dest", "station_id"), "station_id", "left")
     )
     destinations = lookup_rules(
-        destinations, hub_regions(spark), {"code": part_before(F.col("_dest"), " ")}, {"region": "_region"}
+        destinations, hub_regions(spark), {"code": part_before(F.col("_dest"), " ")}, {"region": "_region"}, fixed=True
     ).select("shipment_id", F.coalesce("_region", "buyer_region_name").alias("rc_delivery_station"))
 
     return (
         received.join(destinations, "shipment_id")
         .join(picked, "shipment_id")
-        .join(status_names(tables["status_src"]), "status", "left")
+        .join(tables.statuses(one_name=True), "status", "left")
         .join(station_dim(station, "_over_station", "_over_id"), "_over_id", "left")
         .select(
             ctx.ts("_rec").cast("date").alias("rc_received_date"),

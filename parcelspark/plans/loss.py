@@ -9,10 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from parcelspark import fixed_values as V
 from parcelspark.functions.jsontext import json_text
 from parcelspark.functions.text import first_list_item, last_list_item, station_code
-from parcelspark.operators.dims import station_dim, status_dim, status_names
+from parcelspark.operators.dims import station_dim
 from parcelspark.operators.events import first, first_event, last, latest_event, milestones, neighbours, with_tie_break
 from parcelspark.operators.lookup import as_keys, keyed, role
-from parcelspark.operators.reuse import keep
 from parcelspark.operators.rules import responsible_team
 from parcelspark.plans.base import Context, has
 from parcelspark.settings import Settings
@@ -38,7 +37,7 @@ def loss_damage_attribution(
     for those shipments.
     """
     ctx = Context(tables, settings, as_of)
-    lost = keep(
+    lost = tables.keep(
         first_event(ctx.events(*losses).filter(F.col("ctime") < ctx.begin(0)), cols=("status", "ctime"))
         .filter(F.col("ctime") >= ctx.begin(1))
         .withColumnRenamed("ctime", "_lost_at")
@@ -76,7 +75,7 @@ def loss_damage_attribution(
             ctx.ts("prev.ctime").alias("timesatmp_before_dl"),
             F.col("prev.operator").alias("latest_operator"),
         )
-        .join(role(status_dim(tables["status_src"]), "status", {"status_name": "latest_status_before_dl"}, "_status"), "_status", "left")
+        .join(role(tables.statuses(), "status", {"status_name": "latest_status_before_dl"}, "_status"), "_status", "left")
         .join(station_dim(tables.dimension("station"), "latest_station_before_dl", "_station_id"), "_station_id", "left")
         .drop("_status", "_station_id")
     )
@@ -102,7 +101,7 @@ def loss_damage_attribution(
     seller = keyed(tables["seller_order"], keys).select("shipment_id", "seller_name")
 
     return (
-        lost.join(status_names(tables["status_src"]), "status", "left")
+        lost.join(tables.statuses(one_name=True), "status", "left")
         .join(master, "shipment_id", "left")
         .join(info, "shipment_id", "left")
         .join(seller, "shipment_id", "left")

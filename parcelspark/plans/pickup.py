@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelspark import fixed_values as V
 from parcelspark.operators.dims import station_dim
-from parcelspark.operators.events import first, first_event, latest_event, milestones
+from parcelspark.operators.events import first, first_event, first_event_in_window, latest_event, milestones
 from parcelspark.operators.lookup import as_keys, keyed
 from parcelspark.operators.rules import type_by_name
 from parcelspark.plans.base import Context, has
@@ -20,33 +20,32 @@ from parcelspark.settings import Settings
 ORDER_TYPES = {"CB": "CB", "BULKY_MARKETPLACE": "BKY"}
 
 
-def _direct_pickups(ctx: Context, first_days: int, last_days: int, sort_centres, with_seller: bool) -> DataFrame:
+def _direct_pickups(spark: SparkSession, ctx: Context, first_days: int, last_days: int, sort_centres, with_seller: bool) -> DataFrame:
     """Shipments picked up in the window and never received at a first-mile hub."""
     tables, status = ctx.tables, F.col("status")
-    picked_up = has(status, V.PICKED_UP)
     at_sort = has(status, V.RECEIVED) & F.col("station_id").isin(*sort_centres)
+    # The window picks the shipments; receipts of any time are then read for them only.
+    pickups = tables.keep(
+        first_event_in_window(
+            ctx.events(*V.PICKED_UP), ctx.begin(first_days), ctx.begin(last_days - 1),
+            ("ctime", "user_id", "station_id", "operator"),
+        ).filter("user_id IS NOT NULL AND operator IS NOT NULL")
+    )
+    keys = as_keys(spark, pickups)
+    receipts = milestones(
+        ctx.events(*V.RECEIVED, *V.FIRST_MILE_RECEIVED),
+        {"sort": first(at_sort), "hub": first(has(status, V.FIRST_MILE_RECEIVED))},
+        only=keys,
+    )
     picked = (
-        milestones(
-            ctx.events(*V.PICKED_UP, *V.RECEIVED, *V.FIRST_MILE_RECEIVED),
-            {
-                "pickup": first(picked_up, "ctime", "user_id", "station_id", "operator"),
-                "sort": first(at_sort),
-                "hub": first(has(status, V.FIRST_MILE_RECEIVED)),
-            },
-        )
-        .filter(
-            (F.col("pickup.ctime") >= ctx.begin(first_days))
-            & (F.col("pickup.ctime") < ctx.begin(last_days - 1))
-            & F.col("hub").isNull()
-            & F.col("pickup.user_id").isNotNull()
-            & F.col("pickup.operator").isNotNull()
-        )
+        pickups.join(receipts, "shipment_id", "left")
+        .filter("hub IS NULL")
         .select(
             "shipment_id",
-            ctx.ts("pickup.ctime").alias("pickup_time"),
-            F.col("pickup.user_id").alias("driver_id"),
-            F.col("pickup.operator").alias("driver_name"),
-            F.col("pickup.station_id").cast("int").alias("_station_id"),
+            ctx.ts().alias("pickup_time"),
+            F.col("user_id").alias("driver_id"),
+            F.col("operator").alias("driver_name"),
+            F.col("station_id").cast("int").alias("_station_id"),
             F.col("sort").isNotNull().cast("int").alias("is_soc_rec"),
         )
     )
@@ -59,7 +58,7 @@ def _direct_pickups(ctx: Context, first_days: int, last_days: int, sort_centres,
     )
     newest = latest_event(
         allocation, cols=("pickup_task_id", "pickup_point_id"),
-        order=("allocated_time", "pickup_task_id", "pickup_point_id"),
+        order=("allocated_time", "pickup_task_id", "pickup_point_id"), only=keys,
     )
     out = (
         tables["fleet_order"].select("shipment_id", "cogs")
@@ -92,7 +91,7 @@ def direct_pickup_summary(
     `seller_is_unique` the join is left out.
     """
     ctx = Context(tables, settings, as_of)
-    rows = _direct_pickups(ctx, first_days, last_days, sort_centres, with_seller=not seller_is_unique)
+    rows = _direct_pickups(spark, ctx, first_days, last_days, sort_centres, with_seller=not seller_is_unique)
     return (
         rows.groupBy(F.col("pickup_time").cast("date").alias("report_date"), "driver_id", "pickup_point_id")
         .agg(
@@ -118,7 +117,7 @@ def sortation_not_received(
     """The same pickups one by one, where no task was given or the sort centre got nothing."""
     ctx = Context(tables, settings, as_of)
     return (
-        _direct_pickups(ctx, first_days, last_days, sort_centres, with_seller=True)
+        _direct_pickups(spark, ctx, first_days, last_days, sort_centres, with_seller=True)
         .filter((F.col("pickup_task_id") == "") | (F.col("is_soc_rec") == 0))
         .select(
             "shipment_id", "pickup_time", "pickup_task_id", "pickup_point_id", "pickup_station_name",

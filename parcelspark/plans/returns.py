@@ -10,10 +10,9 @@ from parcelspark import fixed_values as V
 from parcelspark.functions.clock import business_day, late, on_time, zero_as_missing
 from parcelspark.functions.text import district_code
 from parcelspark.operators.dims import station_dim
-from parcelspark.operators.events import first, latest_event, milestones
+from parcelspark.operators.events import first, first_event_in_window, latest_event, milestones
 from parcelspark.operators.lookup import as_keys, keyed
 from parcelspark.operators.metrics import ratio
-from parcelspark.operators.reuse import keep
 from parcelspark.operators.rules import operator_group, return_type
 from parcelspark.plans.base import Context, has
 from parcelspark.settings import Settings
@@ -43,28 +42,30 @@ def return_receipts(
     is_receipt = has(status, V.RETURN_RECEIVED)
     for operator in excluded_operators:
         is_receipt = is_receipt & (F.col("operator") != operator)
-    at_centre = ctx.events(*V.RETURN_RECEIVED, *V.RETURN_PACKED, *V.RETURNING, *V.RETURN_LINEHAUL_LEFT).filter(
-        F.col("station_id") == centre
+    at_centre = F.col("station_id") == centre
+    received = tables.keep(
+        first_event_in_window(
+            ctx.events(*V.RETURN_RECEIVED).filter(at_centre), ctx.begin(first_days, 6), ctx.begin(last_days - 1, 6),
+            ("ctime", "operator"), is_receipt,
+        )
     )
-    picked = milestones(
-        at_centre,
+    outbound = milestones(
+        ctx.events(*V.RETURN_PACKED, *V.RETURNING, *V.RETURN_LINEHAUL_LEFT).filter(at_centre),
         {
-            "received": first(is_receipt, "ctime", "operator"),
             "packed": first(has(status, V.RETURN_PACKED)),
             "returning": first(has(status, V.RETURNING)),
             "left": first(has(status, V.RETURN_LINEHAUL_LEFT)),
         },
-    ).filter(
-        (F.col("received.ctime") >= ctx.begin(first_days, 6)) & (F.col("received.ctime") < ctx.begin(last_days - 1, 6))
+        only=as_keys(spark, received),
     )
-    picked = keep(
-        picked.select(
+    picked = tables.keep(
+        received.join(outbound, "shipment_id", "left").select(
             "shipment_id",
-            ctx.ts("received.ctime").alias("receive_time"),
-            F.col("received.operator").alias("operator"),
-            ctx.ts("packed.ctime").alias("lhpack_time"),
+            ctx.ts().alias("receive_time"),
+            "operator",
+            ctx.ts("packed.ctime").alias("packed_time"),
             ctx.ts("returning.ctime").alias("returning_time"),
-            ctx.ts("left.ctime").alias("lhtransporting_time"),
+            ctx.ts("left.ctime").alias("left_time"),
         )
     )
     keys = as_keys(spark, picked)
@@ -93,7 +94,7 @@ def return_receipts(
         )
     )
     day = F.col("date_received")
-    packed, returning, left = F.col("lhpack_time"), F.col("returning_time"), F.col("lhtransporting_time")
+    packed, returning, left = F.col("packed_time"), F.col("returning_time"), F.col("left_time")
     return (
         picked.join(masters, "shipment_id", "left")
         .join(lost, "shipment_id", "left")
@@ -103,12 +104,12 @@ def return_receipts(
                 "operator_group": operator_group(F.col("operator")),
                 "ontime_received_2am": on_time(F.col("receive_time"), day, 1, 2),
                 "late_received": late(F.col("receive_time"), day, 1, 2),
-                "ontime_lhpacked_gbkk_d16am": on_time(packed, day, 1, 6),
-                "ontime_lhpacked_upc_d26am": on_time(packed, day, 2, 6),
-                "ontime_returning_scom_11am": on_time(returning, day, 1, 11),
-                "handover_D112pm": on_time(left, day, 1, 12),
+                "packed_by_day_1": on_time(packed, day, 1, 6),
+                "packed_by_day_2": on_time(packed, day, 2, 6),
+                "returning_by_day_1": on_time(returning, day, 1, 11),
+                "handed_over_by_day_1": on_time(left, day, 1, 12),
                 # The late handover carries the on-time label too; only its count is used.
-                "handover_>D112pm": late(left, day, 1, 12, "ontime"),
+                "handed_over_late": late(left, day, 1, 12, "ontime"),
             }
         )
     )
@@ -146,15 +147,15 @@ def return_performance(
         settings=settings,
     )
     n = lambda c: F.count(F.col(f"`{c}`"))
-    outbound = {"SCOM": n("returning_time"), "GBKK": n("lhpack_time"), "UPC": n("lhpack_time")}
+    outbound = {"SCOM": n("returning_time"), "GBKK": n("packed_time"), "UPC": n("packed_time")}
     punctual = {
-        "SCOM": n("ontime_returning_scom_11am"),
-        "GBKK": n("ontime_lhpacked_gbkk_d16am"),
-        "UPC": n("ontime_lhpacked_upc_d26am"),
+        "SCOM": n("returning_by_day_1"),
+        "GBKK": n("packed_by_day_1"),
+        "UPC": n("packed_by_day_2"),
     }
     total = n("shipment_id")
     each = lambda value: _by_type(dict.fromkeys(_BY_TYPE, value))
-    handed_over = n("handover_D112pm").cast("double") + n("handover_>D112pm").cast("double")
+    handed_over = n("handed_over_by_day_1").cast("double") + n("handed_over_late").cast("double")
     return (
         rows.groupBy("date_received", "order_type")
         .agg(

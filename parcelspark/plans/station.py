@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from parcelspark import fixed_values as V
 from parcelspark.functions.clock import business_day, next_iso_week
 from parcelspark.functions.jsontext import json_text
-from parcelspark.operators.dims import station_dim, status_names
-from parcelspark.operators.events import first_event
+from parcelspark.operators.dims import station_dim
+from parcelspark.operators.events import first_event_in_window
 from parcelspark.operators.lookup import as_keys, keyed
 from parcelspark.plans.base import Context
 from parcelspark.settings import Settings
@@ -30,17 +30,19 @@ def overseas_hub_performance(
     """Every arrival at one overseas hub, with the first receipt at the sort centre; receipts of
     the last `days` business days."""
     ctx = Context(tables, settings, as_of)
-    received = (
-        first_event(
-            ctx.events(*V.RECEIVED).filter(F.col("ctime") < ctx.begin(-1, 6)),
-            cols=("ctime",),
-            where=json_text("content", "station_id") == sort_centre,
-        )
-        .filter(F.col("ctime") >= ctx.begin(days, 6))
-        .select("shipment_id", ctx.ts().alias("received_time"))
+    at_centre = json_text("content", "station_id") == sort_centre
+    receipts = ctx.events(*V.RECEIVED)
+    begin = ctx.begin(days, 6)
+    # Candidates out of the window; whether they had an earlier receipt, and when they arrived, is read for them only.
+    recent = first_event_in_window(receipts, begin, ctx.begin(-1, 6), ("ctime",), at_centre, earlier=False)
+    recent = tables.keep(recent)
+    keys = as_keys(spark, recent)
+    earlier = keyed(receipts.filter(F.col("ctime") < begin).select("shipment_id", "content"), keys).filter(at_centre)
+    received = recent.join(earlier.select("shipment_id").distinct(), "shipment_id", "left_anti").select(
+        "shipment_id", ctx.ts().alias("received_time")
     )
     arrived = (
-        ctx.events(*V.LINEHAUL_ARRIVED)
+        keyed(ctx.events(*V.LINEHAUL_ARRIVED).select("shipment_id", "ctime", "content"), keys)
         .filter(json_text("content", "dest_station_name") == hub)
         .select("shipment_id", ctx.ts().alias("lhtransported_time"))
     )
@@ -72,14 +74,12 @@ def first_touch_by_operator(
     operators."""
     ctx = Context(tables, settings, as_of)
     here = station_dim(tables.dimension("station").filter(F.col("station_name") == station), "station_name")
-    touched = first_event(
-        ctx.log.filter(F.col("ctime") < ctx.begin(0, 6)).join(here, "station_id"),
-        cols=("status", "operator", "ctime", "station_name"),
-        then=F.col("ctime") >= ctx.begin(1, 6),
+    touched = first_event_in_window(
+        ctx.log.join(here, "station_id"), ctx.begin(1, 6), ctx.begin(0, 6), ("status", "operator", "ctime", "station_name")
     )
     return (
         keyed(touched, as_keys(spark, operators, "operator"))
-        .join(status_names(tables["status_src"]), "status", "left")
+        .join(tables.statuses(one_name=True), "status", "left")
         .select(
             "shipment_id",
             "status_name",

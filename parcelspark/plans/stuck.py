@@ -11,10 +11,9 @@ from parcelspark.functions.clock import aging_days
 from parcelspark.functions.jsontext import json_int_strict, json_text
 from parcelspark.functions.text import district_code, part_before, station_code
 from parcelspark.operators import rules as R
-from parcelspark.operators.dims import hub_regions, station_dim, status_dim
+from parcelspark.operators.dims import hub_regions, station_dim
 from parcelspark.operators.events import first, last, latest_event, milestones, with_tie_break
 from parcelspark.operators.lookup import as_keys, bounded_broadcast, inline_table, keyed, lookup_rules
-from parcelspark.operators.reuse import keep
 from parcelspark.plans.base import Context, has
 from parcelspark.settings import Settings
 
@@ -27,10 +26,13 @@ def stuck_shipments(
     statuses=V.OPEN,
     oldest: int = 30,
     youngest: int = 2,
+    picked_up_within: int = 30,
     operator_stations: DataFrame | None = None,
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """Shipments whose latest event is `oldest` to `youngest` days old and open.
+    """Shipments whose latest event is `oldest` to `youngest` days old and open, and which were
+    created or picked up less than `picked_up_within` days ago (both 30 days by default; a larger
+    `oldest` alone finds no older pickups).
 
     `operator_stations` (operator, station): where an operator works, used for events without a
     station. The first pass reads the log from `oldest` days ago on: a shipment with a later
@@ -51,7 +53,7 @@ def stuck_shipments(
         window.filter(
             F.col("final.status").isin(*statuses)
             & (F.col("final.ctime") < window_end)
-            & (aging_days(ctx.ts("pickup.ctime"), as_of) < 30)
+            & (aging_days(ctx.ts("pickup.ctime"), as_of) < picked_up_within)
         )
         .join(
             tables["shipment_info"].select(
@@ -75,7 +77,7 @@ def stuck_shipments(
             "cogs_amount",
         )
     )
-    stuck = keep(stuck)
+    stuck = tables.keep(stuck)
     keys = as_keys(spark, stuck)
 
     older = milestones(
@@ -114,12 +116,12 @@ def stuck_shipments(
         .join(station_dim(station, "_station"), "station_id", "left")
         .join(places, "_operator", "left")
         .join(
-            status_dim(tables["status_src"]).withColumn("_named_status", F.col("status")), "status", "left"
+            tables.statuses().withColumn("_named_status", F.col("status")), "status", "left"
         )
     )
     name = F.col("_station")
-    found = lookup_rules(found, hub_regions(spark), {"code": station_code(name)}, {"region": "_h_region"})
-    found = lookup_rules(found, hub_regions(spark, "F"), {"code": part_before(name, " ")}, {"region": "_f_region"})
+    found = lookup_rules(found, hub_regions(spark), {"code": station_code(name)}, {"region": "_h_region"}, fixed=True)
+    found = lookup_rules(found, hub_regions(spark, "F"), {"code": part_before(name, " ")}, {"region": "_f_region"}, fixed=True)
 
     code, operator = station_code(name), F.col("_operator")
     by_agent = name.isNull() & operator.contains(settings.agent_mark)

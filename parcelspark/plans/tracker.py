@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelspark import fixed_values as V
 from parcelspark.functions.jsontext import json_int_strict, json_text
-from parcelspark.operators.dims import station_dim, status_dim, status_names
+from parcelspark.operators.dims import station_dim
 from parcelspark.operators.events import last, latest_event, milestones
 from parcelspark.operators.lookup import as_keys, keyed
 from parcelspark.operators.rules import type_by_flags_contact
@@ -58,7 +58,7 @@ def shipment_tracker(
     return (
         state.join(masters, "shipment_id", "left")
         .join(types, "shipment_id", "left")
-        .join(status_dim(tables["status_src"]), "status", "left")
+        .join(tables.statuses(), "status", "left")
         .join(station_dim(station, "current_station"), "station_id", "left")
         .select(
             "shipment_id",
@@ -101,7 +101,7 @@ def shipment_tracker_contacts(
         orders = keyed(tables["fleet_order"], wanted).select("shipment_id", *of("fleet_order"))
         out = out.join(orders, "shipment_id", "left")
     return (
-        out.join(status_names(tables["status_src"]), "status", "left")
+        out.join(tables.statuses(one_name=True), "status", "left")
         .join(station_dim(tables.dimension("station")), "station_id", "left")
         .select(
             "shipment_id",

@@ -6,7 +6,9 @@ from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from parcelspark.operators.dims import status_dim, status_names, status_pairs
 from parcelspark.operators.lookup import bounded_broadcast
+from parcelspark.operators.reuse import Kept
 
 # Columns each table must have. Attributes that may live on either of two shipment tables are
 # listed in FLOATING and looked for in both.
@@ -44,12 +46,14 @@ FLOATING = (
 
 
 class Tables(Mapping[str, DataFrame]):
-    """Short name -> DataFrame. Tables are opened when they are first used."""
+    """Short name -> DataFrame. Tables are opened when they are first used. What reports keep for
+    their branches belongs to the Tables they read and is freed by its `release`."""
 
     def __init__(self, openers: Mapping[str, DataFrame | Callable[[], DataFrame]]):
         self._openers = dict(openers)
         self._open: dict[str, DataFrame] = {}
         self._dimensions: dict[str, DataFrame] = {}
+        self._kept = Kept()
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, names: tuple[str, ...] = tuple(COLUMNS)) -> Tables:
@@ -87,6 +91,25 @@ class Tables(Mapping[str, DataFrame]):
             self._dimensions[name] = bounded_broadcast(self[name])
         return self._dimensions[name]
 
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Persist a small intermediate until `release`."""
+        return self._kept.keep(df)
+
+    def release(self) -> None:
+        """Free what the reports over these tables kept. Dimensions made of it are made anew."""
+        self._kept.release()
+        self._dimensions.clear()
+
+    def statuses(self, one_name: bool = False) -> DataFrame:
+        """Names of statuses, reduced once per Tables from a source as large as the log; see `dims`."""
+        name = "one name per status" if one_name else "status names"
+        if name not in self._dimensions:
+            if "status pairs" not in self._dimensions:
+                self._dimensions["status pairs"] = self.keep(status_pairs(self["status_src"]))
+            make = status_names if one_name else status_dim
+            self._dimensions[name] = make(self._dimensions["status pairs"])
+        return self._dimensions[name]
+
     def owner(self, column: str, *candidates: str) -> str:
         """The first of the candidate tables that has the column."""
         for name in candidates:

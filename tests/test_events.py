@@ -31,7 +31,7 @@ def as_rows(drawn):
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(logs)
 def test_picks_equal_brute_force(spark, drawn):
-    """Milestones, first_event and latest_event against sorting in Python; a NULL time is no event."""
+    """Milestones, first_event and latest_event against sorting in Python; a NULL time comes last both ways."""
     rows = as_rows(drawn)
     by_key = defaultdict(list)
     for r in rows:
@@ -49,16 +49,42 @@ def test_picks_equal_brute_force(spark, drawn):
         ).collect()
     }
     firsts = {r.shipment_id: r.event_id for r in E.first_event(df, cols=("event_id",)).collect()}
-    order = lambda r: (r["ctime"], r["event_id"])
+    up = lambda r: (r["ctime"] is None, r["ctime"] or 0, r["event_id"])
+    down = lambda r: (r["ctime"] is not None, r["ctime"] or 0, r["event_id"])
     for key, all_rows in by_key.items():
-        known = sorted((r for r in all_rows if r["ctime"] is not None), key=order)
-        eights = [r for r in known if r["status"] == 8]
-        times = [r["ctime"] for r in known if r["status"] in (0, 39)]
+        eights = sorted((r for r in all_rows if r["status"] == 8), key=up)
+        times = [r["ctime"] for r in all_rows if r["status"] in (0, 39) and r["ctime"] is not None]
         row = got[key]
         assert (row.f and row.f.operator) == (eights[0]["operator"] if eights else None)
-        assert (row.l and row.l.event_id) == (known[-1]["event_id"] if known else None)
+        assert row.l.event_id == max(all_rows, key=down)["event_id"]
         assert (row.t and row.t.ctime) == (max(times) if times else None)
-        assert firsts.get(key) == (known[0]["event_id"] if known else None)
+        assert firsts[key] == min(all_rows, key=up)["event_id"]
+
+
+def test_a_null_key_is_cut_like_any_other(spark, monkeypatch):
+    rows = as_rows([(None if i % 3 else "a", i % 5, 60 * i) for i in range(60)])
+    df = log(spark, rows)
+    w = Window.partitionBy("shipment_id").orderBy("ctime", "event_id")
+    plain = df.select("event_id", F.lag("status").over(w).alias("status"))
+    for listed in (1000, 1):
+        monkeypatch.setattr(E, "MAX_LISTED_KEYS", listed)
+        cut = E.neighbours(df, before=("status",), max_rows_per_key=4).select("event_id", "prev.status")
+        assert sorted(map(str, plain.collect())) == sorted(map(str, cut.collect()))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(logs, st.integers(0, 3), st.integers(0, 4))
+def test_first_event_in_window_equals_brute_force(spark, drawn, begin, length):
+    rows = as_rows(drawn)
+    want = set()
+    for key in {r["shipment_id"] for r in rows}:
+        timed = [r for r in rows if r["shipment_id"] == key and r["ctime"] is not None and r["status"] != 9]
+        if timed:
+            least = min(timed, key=lambda r: (r["ctime"], r["event_id"]))
+            if begin <= least["ctime"] < begin + length:
+                want.add((key, least["event_id"]))
+    got = E.first_event_in_window(log(spark, rows), begin, begin + length, ("event_id",), F.col("status") != 9)
+    assert {tuple(r) for r in got.collect()} == want
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
