@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.llm import boosting
-from parcelspark.llm.common import text_batches
+from parcelspark.llm.common import checkpoint, text_batches
 
 # Elements of HTML by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -362,10 +362,20 @@ def _examples(source: str, seed: int) -> tuple[list[np.ndarray], list[np.ndarray
 
 
 def train(pages: DataFrame, rows: int = FIT_PAGES) -> boosting.Trees:
-    """Trees from at most `rows` pages that mark their article; of other pages nothing is learnt."""
-    sample = pages.where("html is not null").select(F.col("html"), F.xxhash64("html").alias("h")).where(
+    """Trees from at most `rows` pages that mark their article; of other pages nothing is learnt.
+
+    These are the pages whose contents hash lowest. The hashes are filtered by a bound that leaves about eight times
+    as many as are needed, so that tasks send few of them on, and only the pages chosen are read again.
+    """
+    marked = pages.where("html is not null").select("html", F.xxhash64("html").alias("h")).where(
         F.lower("html").rlike("<(article|main)[ >]|articlebody")
-    ).orderBy("h").limit(rows)
+    )
+    hashes = checkpoint(marked.select("h"))
+    share = min(1.0, 8 * rows / max(1, hashes.count()))
+    bound = (1 << 63) - 1 if share == 1 else int(share * (1 << 64)) - (1 << 63)
+    chosen = hashes.where(F.col("h") <= bound).distinct().orderBy("h").limit(rows)
+    # `rows` hashes at most, so the table is small whatever the input
+    sample = marked.join(F.broadcast(chosen), "h").dropDuplicates(["h"]).select("html", "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
