@@ -82,6 +82,14 @@ def remainder_column(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with underscores put before it until no column of the frame has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def with_fields(df: DataFrame, **kinds: str) -> StructType:
     """The schema of a frame with further fields."""
     schema = StructType(list(df.schema.fields))

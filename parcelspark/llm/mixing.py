@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelspark.llm.common import checkpoint, word_count
+from parcelspark.llm.common import checkpoint, unused, word_count
 
 WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
@@ -99,24 +99,27 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TI
     Sizes are words. Weights go in turn to the sources by code point, null last; targets stop at `most` times a
     source's size. No document is taken more than `most` times. Null and empty texts have size 0; whether they are
     taken follows their hash and changes no sum. Repeated rows share a hash and are taken alike. An empty table gives
-    an empty table. Other columns stay as they are.
+    an empty table. Other columns stay as they are; one named like an added one is replaced.
     """
+    docs = docs.drop("_size", "_source_size", "_target", "_times")
+    of, whole, threshold = (unused(docs, name) for name in ("_of", "_whole", "_threshold"))
     steps = plan(docs, weights, most).select(
-        F.col("source").alias("_of"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"),
-        F.col("times").alias("_whole"), F.col("threshold").alias("_threshold"),
+        F.col("source").alias(of), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"),
+        F.col("times").alias(whole), F.col("threshold").alias(threshold),
     )
-    joined = docs.join(_by_source(steps), F.col("source").eqNullSafe(F.col("_of")))
-    more = (document_hash() <= F.col("_threshold")).cast("int")
+    joined = docs.join(_by_source(steps), F.col("source").eqNullSafe(F.col(of)))
+    more = (document_hash() <= F.col(threshold)).cast("int")
     return joined.select(
         *docs.columns, word_count(F.col("text")).alias("_size"), "_source_size", "_target",
-        (F.col("_whole") + more).alias("_times"),
+        (F.col(whole) + more).alias("_times"),
     )
 
 
 def repeat(mixed: DataFrame) -> DataFrame:
     """The rows that the mix takes, each as often as it takes it, with the columns of the documents."""
-    taken = mixed.where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return taken.drop("_copy", "_size", "_source_size", "_target", "_times")
+    copy = unused(mixed, "_copy")
+    taken = mixed.where("_times > 0").withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return taken.drop(copy, "_size", "_source_size", "_target", "_times")
 
 
 ORACLE_SQL = r"""

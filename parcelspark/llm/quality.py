@@ -123,10 +123,12 @@ def judge(docs: DataFrame, trees: boosting.Trees, threshold: float = THRESHOLD)
     """docs with _n_words, _word_chars, _n_symbols, _n_dup_lines, _n_repeat_words, _base_failed, _score and _kept.
 
     A document is kept if it passes the base rules and its score reaches the threshold. Null and empty texts have
-    zero counts and fail. Rows, other columns and repeats stay as they are; an empty table gives an empty table.
+    zero counts and fail. Rows, other columns and repeats stay as they are; a column named like an added one is
+    replaced; an empty table gives an empty table.
     """
-    plain = text_batches(docs).columns
     kinds = {f"_{name}": "long" for name in COUNTS}
+    docs = text_batches(docs).drop(*kinds, "_base_failed", "_score", "_kept")
+    plain = docs.columns
     schema = with_fields(docs, **kinds, _base_failed="boolean", _score="double", _kept="boolean")
     names = schema.names
 

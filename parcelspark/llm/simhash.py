@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelspark.llm.common import checkpoint, lower_words, text_batches
+from parcelspark.llm.common import checkpoint, lower_words, text_batches, unused
 from parcelspark.llm.components import connected_components
 
 BITS = 64
@@ -181,7 +181,8 @@ def keep_one(docs: DataFrame, radius: int = 3, shingle: int = 3) -> DataFrame:
     columns and empty tables are as in near_duplicates.
     """
     _, firsts = _grouped(docs, radius, shingle)
-    kept = firsts.select(F.col("first.doc_id").alias("_id"), F.col("first.h").alias("_h")).distinct()
-    rows = docs.withColumn("_text_hash", F.xxhash64("text"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_h"))
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    id_, h, text_hash = (unused(docs, name) for name in ("_id", "_h", "_text_hash"))
+    kept = firsts.select(F.col("first.doc_id").alias(id_), F.col("first.h").alias(h)).distinct()
+    rows = docs.withColumn(text_hash, F.xxhash64("text"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.col(text_hash) == F.col(h))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", text_hash]).drop(text_hash)
