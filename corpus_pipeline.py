@@ -27,8 +27,8 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     A cut through the bytes of one character leaves it out of the text.
     """
-    found = repeats.remove_repeats(docs, length=200)
-    text = F.when(F.col("_n_removed") == 0, F.col("text")).otherwise(repeats.valid_text(F.col("_kept")))
+    found = repeats.remove_repeats(docs, length=200, as_text=True)
+    text = F.when(F.col("_n_removed") == 0, F.col("text")).otherwise(F.col("_kept"))
     kept = found.withColumn("text", text).where((F.col("_n_removed") == 0) | (F.trim("text") != ""))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

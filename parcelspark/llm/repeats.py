@@ -24,12 +24,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelspark.llm.common import checkpoint, text_batches, utf8, with_fields
+from parcelspark.llm.common import checkpoint, text_batches, unused, utf8, with_fields
 
 LENGTH = 200
 GRAM = 32
@@ -399,29 +398,32 @@ def _merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts[first], ends[np.concatenate([first[1:], [len(starts)]]) - 1] if len(starts) else ends
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, as_text: bool = False) -> DataFrame:
     """docs with the columns _kept (binary: the text's bytes without those covered by a repeated string of `length`
     bytes), _n_bytes, _n_removed and _n_spans (maximal removed stretches).
 
     A string repeats if it starts anywhere else, in the same text or another; overlaps count, all strings are judged
     on the input. Nulls and texts shorter than `length` lose nothing and give zeros; of equal texts (repeated rows
-    too) all are removed wholly if long enough. Other columns, of whatever name and type, stay as they are; an empty
-    table gives an empty table. Ids may be null or repeat.
+    too) all are removed wholly if long enough. Other columns stay as they are; one named like an added one is
+    replaced; an empty table gives an empty table. Ids may be null or repeat. With `as_text`, _kept is a string, and
+    what a cut has left of a character is dropped.
     """
+    docs = docs.drop("_kept", "_n_bytes", "_n_removed", "_n_spans")
     spans = repeated_spans(docs, length, gram)
-    keyed = docs.withColumn("_h", F.xxhash64("text")).withColumn("_g", F.hash("text"))
+    h, g, starts_, ends_ = (unused(docs, name) for name in ("_h", "_g", "_starts", "_ends"))
+    keyed = docs.withColumn(h, F.xxhash64("text")).withColumn(g, F.hash("text"))
     joined = keyed.join(
-        spans.select(F.col("h").alias("_h"), F.col("g").alias("_g"), F.col("starts").alias("_starts"), F.col("ends").alias("_ends")),
-        ["_h", "_g"], "left",
-    ).drop("_h", "_g")
+        spans.select(F.col("h").alias(h), F.col("g").alias(g), F.col("starts").alias(starts_), F.col("ends").alias(ends_)),
+        [h, g], "left",
+    ).drop(h, g)
     plain = docs.columns
-    schema = with_fields(docs, _kept="binary", _n_bytes="long", _n_removed="long", _n_spans="long")
+    schema = with_fields(docs, _kept="string" if as_text else "binary", _n_bytes="long", _n_removed="long", _n_spans="long")
     names = schema.names
 
     def run(batches):
         for batch in batches:
             kept, totals, removed, counts = [], [], [], []
-            for text, starts, ends in zip(batch.column("text"), batch.column("_starts"), batch.column("_ends")):
+            for text, starts, ends in zip(batch.column("text"), batch.column(starts_), batch.column(ends_)):
                 data = utf8(text.as_py())
                 totals.append(len(data))
                 if not starts.is_valid:
@@ -434,17 +436,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                 removed.append(int((e - s).sum()))
                 counts.append(len(s))
             columns = [batch.column(c) for c in plain]
-            columns += [pa.array(kept, pa.binary())] + [pa.array(c, pa.int64()) for c in (totals, removed, counts)]
+            if as_text:
+                kept = pa.array([data.decode("utf-8", "ignore") for data in kept], pa.string())
+            else:
+                kept = pa.array(kept, pa.binary())
+            columns += [kept] + [pa.array(c, pa.int64()) for c in (totals, removed, counts)]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return joined.mapInArrow(run, schema)
-
-
-def valid_text(kept: Column) -> Column:
-    """The text of kept bytes; what a cut has left of a character is dropped."""
-
-    @F.pandas_udf("string")
-    def decode(data: pd.Series) -> pd.Series:
-        return data.map(lambda x: None if x is None else bytes(x).decode("utf-8", "ignore"))
-
-    return decode(kept)
