@@ -105,6 +105,9 @@ def _compare(probes: DataFrame, index: DataFrame, keep: int) -> DataFrame:
     many_q = probes.groupBy("bucket").agg(blocks.alias("qs")).where("qs > 1")
     cuts = checkpoint(many_v.join(many_q, "bucket", "full"))
 
+    # the two sides may come from one frame; fresh columns tell them apart
+    probes = probes.toDF(*probes.columns)
+
     def cut(side: DataFrame, own: str, other: str) -> DataFrame:
         one = lambda c: F.coalesce(c, F.lit(1))
         mine = F.pmod(F.xxhash64("node"), one(own)).cast("int").alias(own[0])
