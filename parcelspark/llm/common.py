@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import zlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +54,18 @@ def text_batches(df: DataFrame, rows: int = 500) -> DataFrame:
     return df
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within it, actions hand rows to Python in batches of at most `rows`; afterwards the session is as before."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def utf8(text: str | None) -> bytes:
     """The bytes of a text; of a null none; a lone surrogate becomes a question mark."""
     return text.encode("utf-8", "replace") if text else b""

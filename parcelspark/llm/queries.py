@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import html_text, mixing, neighbours, packing, quality, repeats, scoring, simhash, tokens, toxicity
+from parcelspark.llm import html_text, importance, mixing, neighbours, packing, quality, repeats, scoring, simhash, tokens, toxicity
 from parcelspark.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,12 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = read(spark, sf_dir, "pages")
     return html_text.extract(pages, html_text.train(pages))
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn by how much their words are like those of the benchmark."""
+    return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op13_importance_resampling"] = importance.ORACLE_SQL
