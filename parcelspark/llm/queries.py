@@ -1,15 +1,18 @@
-"""The registered queries of the ten operators, and the SQL of those that SQL can express."""
+"""The registered queries of the operators, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm import html_text, importance, mixing, neighbours, packing, quality, repeats, scoring, simhash, tokens, toxicity
-from parcelspark.llm.common import read
+from parcelspark.llm import (
+    html_text, importance, mixing, neighbours, packing, quality, repeats, scoring, simhash, tokens, toxicity, warc,
+)
+from parcelspark.llm.common import read, scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -105,6 +108,15 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(pages, html_text.train(pages))
 
 
+@query
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of all pages as the archives have them."""
+    return warc.archive(read(spark, sf_dir, "pages"), f"{scratch_folder(spark)}/warc-{uuid.uuid4().hex}")
+
+
+ORACLE["op11_warc"] = warc.ORACLE_SQL
+
+
 @query
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tenth of the documents, drawn by how much their words are like those of the benchmark."""
