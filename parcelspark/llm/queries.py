@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelspark.llm import (
-    html_text, importance, mixing, neighbours, packing, quality, repeats, scoring, simhash, tokens, toxicity, warc,
+    html_text, importance, mixing, negatives, neighbours, packing, quality, repeats, scoring, simhash, tokens,
+    toxicity, warc,
 )
 from parcelspark.llm.common import read, scratch_folder
 
@@ -117,6 +118,15 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op11_warc"] = warc.ORACLE_SQL
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the five best positives of each anchor."""
+    return negatives.mine(read(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op12_hard_negatives"] = negatives.ORACLE_SQL
+
+
 @query
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tenth of the documents, drawn by how much their words are like those of the benchmark."""
