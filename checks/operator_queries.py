@@ -10,6 +10,7 @@ from checks.registry import query
 from checks.sample import HUBS, read
 from parcelspark import fixed_values as V
 from parcelspark.functions import clock, jsontext, text
+from parcelspark.operators.reuse import Kept
 from parcelspark.operators import events as E, lookup as L, metrics as M, rules as R
 from parcelspark.operators.dims import hub_regions, status_dim
 from parcelspark.operators.routes import route_rules, route_sla
@@ -163,6 +164,48 @@ def _(spark, sf):
     return parts[0].union(parts[1])
 
 
+@query(
+    "found_in_window",
+    """WITH e AS (SELECT *, nullif(user_id % 40, 0) AS key FROM events WHERE event_type = 'click')
+    SELECT key, event_id, value FROM (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY key ORDER BY ts, event_id) = 1)
+    WHERE ts >= (SELECT min(ts) + INTERVAL 6 HOUR FROM events) AND ts < (SELECT min(ts) + INTERVAL 30 DAY FROM events)""",
+)
+def _(spark, sf):
+    """The same for one kind, with the candidates kept and earlier rows looked for by their hashes."""
+    df = _with_epoch(spark, sf).withColumn("key", F.when(F.col("user_id") % 40 != 0, F.col("user_id") % 40))
+    start = df.agg(F.min("at")).first()[0]
+    found, _ = E.found_in_window(
+        Kept().counted, df, start + 6 * 3600, start + 30 * 86400, ("event_id", "value"), F.col("event_type") == "click", "key",
+        ("at", "event_id"),
+    )
+    return found
+
+
+_BEFORE = """SELECT event_id, prev_id, prev_type FROM (
+        SELECT event_id, event_type, lag(event_id) OVER w AS prev_id, lag(event_type) OVER w AS prev_type FROM events
+        WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+    WHERE event_type = 'error'"""
+
+
+def _before(spark, sf, **options):
+    log = events(spark, sf)
+    targets = Kept().keep(log.filter("event_type = 'error'").select("user_id", *BY_TIME))
+    found = E.event_before(log, targets, ("event_id", "event_type"), "user_id", BY_TIME, **options)
+    return found.select("event_id", F.col("prev.event_id").alias("prev_id"), F.col("prev.event_type").alias("prev_type"))
+
+
+@query("event_before", _BEFORE)
+def _(spark, sf):
+    """The event before each of some events, by an as-of pick."""
+    return _before(spark, sf, max_targets=1000)
+
+
+@query("event_before_crowded", _BEFORE)
+def _(spark, sf):
+    """The same where most keys have too many targets for pairs."""
+    return _before(spark, sf, max_targets=2)
+
+
 _NULL_KEYS = """SELECT event_id, lag(event_type) OVER w AS prev_type, lead(event_id) OVER w AS next_id
     FROM (SELECT *, nullif(user_id % 7, 3) AS key FROM events) WINDOW w AS (PARTITION BY key ORDER BY ts, event_id)"""
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from checks.registry import query
 from checks.sample import Mix, tables, with_clause
 from parcelspark import Settings, fixed_values as V, plans
+from parcelspark.plans.linehaul import seller_address
 
 SETTINGS = Settings(id_prefix="PT")
 
@@ -510,6 +511,20 @@ def _(spark, sf):
     )
 
 
+@query(
+    "seller_address",
+    with_clause(PATHS, "fleet_order", "pickup_order", "dropoff_order")
+    + """
+SELECT f.shipment_id, coalesce(p.seller_addr_state, d.seller_state) AS seller_province,
+    coalesce(p.seller_addr_district, d.seller_city) AS seller_district
+FROM fleet_order f
+LEFT JOIN (SELECT * FROM pickup_order QUALIFY ctime = max(ctime) OVER (PARTITION BY pickup_order_id)) p ON p.pickup_order_id = f.shipment_id
+LEFT JOIN dropoff_order d ON d.shipment_id = f.shipment_id""",
+)
+def _(spark, sf):
+    return seller_address(tables(spark, sf, PATHS))
+
+
 LONG = Mix((8, 15, 18, 36, 81, 58, 64), stations=(71, 77, 82, 983, 1479, 1480, 1350, 3, 242))
 
 

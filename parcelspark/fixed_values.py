@@ -153,3 +153,8 @@ PICKUP_LIMITS = {
 ONWARD_HOURS = {
     "NERC-A": 17, "NERC-B": 16, "NORC-A": 17, "NORC-B": 16, "SORC-A": 13, "SORC-B": 12, "CERC": 18,
 }
+
+# Partners that delivery stations are named after: what a station code contains, and the partner's name; and the
+# partner that shipments go to otherwise.
+PARTNER_HUBS = (("Kerry", "Kerry"), ("Ninja", "Ninja van"))
+DEFAULT_PARTNER = "Flash"

@@ -16,7 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from parcelspark.functions.clock import EPOCH
-from parcelspark.operators.lookup import Keys, keyed
+from parcelspark.operators.lookup import Keys, hashed, keyed
+
 KEY = "shipment_id"
 TIME = "ctime"
 TIE = "event_id"
@@ -67,11 +68,24 @@ def _ranked(order: Sequence[str], is_last: bool) -> Column:
 
 
 def _for_keys(df: DataFrame, only: Keys | None, reduce: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """`reduce(df)` for the listed keys. After a shuffled join the rows of a key are in one task
-    already and would be aggregated there, so many keys are matched after the aggregate."""
+    """`reduce(df)` for the listed keys. Rows are matched before they are reduced: against the keys, or
+    their hashes, where those are broadcast, so that each task reduces what it has read. Beyond
+    that they are matched by shuffle, after which all rows of a key lie in one task: the keys with
+    very many rows, few by arithmetic, are reduced first instead."""
     if only is None:
         return reduce(df)
-    return reduce(keyed(df, only)) if only.few else keyed(reduce(df), only)
+    if only.few:
+        return reduce(keyed(df, only))
+    if only.hashes is not None:
+        return reduce(hashed(df, only)).join(only.df, only.on, "left_semi")
+    heavy = frequent(df, only.on, MAX_ROWS_PER_KEY)
+    if heavy is None:
+        return keyed(reduce(df), only)
+    listed = [r[0] for r in heavy if r[0] is not None]
+    if not listed:
+        return reduce(keyed(df, only))
+    is_heavy = F.coalesce(F.col(only.on).isin(listed), F.lit(False))
+    return reduce(keyed(df.filter(~is_heavy), only)).unionByName(keyed(reduce(df.filter(is_heavy)), only))
 
 
 def milestones(
@@ -123,6 +137,37 @@ def latest_event(
     return picked if then is None else picked.filter(then)
 
 
+def _plain_between(time: str) -> Callable[[int | None, int | None], Column]:
+    return lambda begin, end: F.col(time) < end if begin is None else (F.col(time) >= begin) & (F.col(time) < end)
+
+
+def found_in_window(
+    counted: Callable[[DataFrame, str], tuple[DataFrame, Keys]],
+    log: DataFrame,
+    begin: int,
+    end: int,
+    cols: Sequence[str],
+    where: Column | None = None,
+    key: str = KEY,
+    order: Sequence[str] = (TIME, TIE),
+    between: Callable[[int | None, int | None], Column] | None = None,
+) -> tuple[DataFrame, Keys]:
+    """The earliest row of each key for which `where` holds, if its time lies in [begin, end); and a list of keys
+    that has those found, and others with such a row in the window.
+
+    The window reaches the scan of the columns wanted: only its rows are reduced and moved. They are kept (`counted`,
+    as of `Tables`), and a second scan looks for earlier rows of their keys only: it reads the key, the time and what
+    `where` needs, and drops what is not among the broadcast hashes of the keys before anything is moved. With too
+    many hashes to broadcast, the distinct keys of all earlier rows are moved. NULL is a key like any other.
+    `between` gives the condition of a window, by default on the time alone.
+    """
+    rows = log if where is None else log.filter(where)
+    between = between or _plain_between(order[0])
+    found, keys = counted(first_event(rows.filter(between(begin, end)), key, cols, order), key)
+    before = hashed(rows.filter(between(None, begin)), keys, key).select(F.col(key).alias("_earlier")).distinct()
+    return found.join(before, F.col(key).eqNullSafe(F.col("_earlier")), "left_anti"), keys
+
+
 def first_event_in_window(
     log: DataFrame,
     begin: int,
@@ -131,22 +176,45 @@ def first_event_in_window(
     where: Column | None = None,
     key: str = KEY,
     order: Sequence[str] = (TIME, TIE),
-    earlier: bool = True,
 ) -> DataFrame:
-    """The earliest row of each key for which `where` holds, if its time lies in [begin, end).
+    """The same in one lazy plan, which keeps nothing: the distinct keys of all earlier rows are moved."""
+    uncounted = lambda found, on: (found, Keys(found.select(on), on, False))
+    return found_in_window(uncounted, log, begin, end, cols, where, key, order)[0]
 
-    The window reaches the scan of the columns wanted: only its rows are reduced and moved. A key found there is
-    dropped if it has an earlier such row, which a second scan tells that reads the key, the time and what `where`
-    needs, reduced to distinct keys before it is moved. NULL is a key like any other. With `earlier` False the
-    caller looks for earlier rows, and gets the candidates.
+
+def event_before(
+    log: DataFrame,
+    targets: DataFrame,
+    cols: Sequence[str],
+    key: str = KEY,
+    order: Sequence[str] = (TIME, TIE),
+    max_targets: int = 16,
+) -> DataFrame:
+    """Key and order columns of each target event, with the `cols` of the event before it in struct `prev` (NULL if
+    there is none).
+
+    An as-of pick: the greatest (time, id) below the target's, by `max_by`, so that each task reduces the events it has
+    read to one a target. An event meets every target of its key; keys with more targets than `max_targets` are
+    windowed instead, and an event is never paired with more. Targets should be few, or kept. Rows that repeat an
+    event id count as one event.
     """
-    rows = log if where is None else log.filter(where)
-    time = F.col(order[0])
-    found = first_event(rows.filter((time >= begin) & (time < end)), key, cols, order)
-    if not earlier:
-        return found
-    before = rows.filter(time < begin).select(F.col(key).alias("_earlier")).distinct()
-    return found.join(before, F.col(key).eqNullSafe(F.col("_earlier")), "left_anti")
+    at = F.struct(*(part for c in order for part in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))))
+    wanted = targets.select(key, *order).distinct()
+    per_key = wanted.groupBy(key).agg(F.count("*").alias("_n"))
+    is_few = F.col("_n") <= max_targets
+    few = wanted.join(per_key.filter(is_few), key, "left_semi").select(key, at.alias("_at"))
+    many = per_key.filter(~is_few).select(key)
+    earlier = log.select(F.col(key).alias("_of"), at.alias("_when"), F.struct(*cols).alias("_row"))
+    met = few.join(earlier, (F.col(key) == F.col("_of")) & (F.col("_when") < F.col("_at")), "left")
+    back = [F.col(f"_at.{c}").alias(c) for c in order]
+    picked = met.groupBy(key, "_at").agg(F.max_by("_row", "_when").alias("prev")).select(key, *back, "prev")
+    if many.isEmpty():
+        return picked
+    crowded = neighbours(log.select(key, *dict.fromkeys((*order, *cols))).join(many, key, "left_semi"), before=cols, key=key, order=order)
+    crowded = crowded.select(key, *order, "prev").join(
+        wanted.select(F.col(key).alias("_of"), at.alias("_at")), (F.col(key) == F.col("_of")) & (at == F.col("_at")), "left_semi"
+    )
+    return picked.unionByName(crowded)
 
 
 def latest_version(df: DataFrame, key: str, version: str) -> DataFrame:
@@ -166,21 +234,47 @@ MAX_ROWS_PER_KEY = 5_000_000
 MAX_LISTED_KEYS = 1_000
 
 
+# Keys that a task's sketch of frequent keys holds. It errs by this share of all rows at most, at twice which no
+# frequent key is missed.
+SKETCHED_KEYS, SKETCH_ERROR = 10_000, 3.5 / 16_384
+
+
+def frequent(df: DataFrame, key: str, more_than: int) -> list | None:
+    """(key, estimate) of every key with more than so many rows, and perhaps of others with nearly as many; None where
+    a sketch cannot tell: very many rows beside `more_than`, or more than MAX_LISTED_KEYS such keys. One row a task
+    is moved. NULL may be one of the keys."""
+    sketch = F.expr(f"approx_top_k(`{key}`, {MAX_LISTED_KEYS + 1}, {SKETCHED_KEYS})")
+    rows, top = df.agg(F.count("*"), sketch).first()
+    if rows <= more_than:
+        return []
+    if more_than < 2 * SKETCH_ERROR * rows:
+        return None
+    found = [(r["item"], r["count"]) for r in top if r["count"] > more_than]
+    return None if len(found) > MAX_LISTED_KEYS else found
+
+
+def _is_one_of(key: str, values: list) -> Column:
+    """Whether the key is one of the values, among which NULL may be."""
+    found = F.coalesce(F.col(key).isin([v for v in values if v is not None]), F.lit(False))
+    return found | F.col(key).isNull() if any(v is None for v in values) else found
+
+
 def _slice(
     df: DataFrame, key: str, time: str, only: Keys | None, max_rows: int, slice_seconds: int | None
 ) -> tuple[Column, Column] | None:
     """None when no key is large, else the slice number and whether the key is cut: time slices for large keys (NULL
     may be one), 0 for the others. Slices are made narrow enough to hold `max_rows` rows on average, a second at least.
-    Rows are counted per key; at most MAX_LISTED_KEYS + 1 keys reach the driver."""
+    A sketch of frequent keys says which keys to count; where it cannot tell, rows are counted per key. At most
+    MAX_LISTED_KEYS + 1 keys reach the driver."""
+    rows = df if only is None else keyed(df, only) if only.few else hashed(df, only)
+    likely = frequent(rows, key, max_rows)
+    if likely is not None and not likely:
+        return None
     seconds = F.col(time)
     if dict(df.dtypes)[time].startswith("timestamp"):
         seconds = F.timestamp_diff("SECOND", F.expr(EPOCH), seconds)
-    counts = _for_keys(
-        df,
-        only,
-        lambda rows: rows.groupBy(key).agg(
-            F.count("*").alias("n"), (F.max(seconds) - F.min(seconds) + 1).cast("double").alias("span")
-        ),
+    counts = (rows if likely is None else rows.filter(_is_one_of(key, [r[0] for r in likely]))).groupBy(key).agg(
+        F.count("*").alias("n"), (F.max(seconds) - F.min(seconds) + 1).cast("double").alias("span")
     )
     width = F.greatest(F.lit(1).cast("long"), F.floor(F.col("span") * max_rows / F.col("n")))
     large = counts.filter(F.col("n") > max_rows).select(key, width.alias("width"))
@@ -194,9 +288,7 @@ def _slice(
     by_time = F.coalesce(F.floor(seconds / slice_seconds), F.lit(2**62))
     if too_many:
         return by_time, F.lit(True)
-    is_large = F.coalesce(F.col(key).isin([r[0] for r in listed if r[0] is not None]), F.lit(False))
-    if any(r[0] is None for r in listed):
-        is_large = is_large | F.col(key).isNull()
+    is_large = _is_one_of(key, [r[0] for r in listed])
     return F.when(is_large, by_time).otherwise(F.lit(0).cast("long")), is_large
 
 
@@ -283,6 +375,6 @@ def effective_station(
 
 
 __all__ = [
-    "KEY", "TIE", "TIME", "Pick", "dwell_hours", "effective_station", "first", "first_event",
-    "first_event_in_window", "last", "latest_event", "latest_version", "milestones", "neighbours", "with_tie_break",
+    "KEY", "TIE", "TIME", "Pick", "dwell_hours", "effective_station", "event_before", "first", "first_event",
+    "first_event_in_window", "found_in_window", "frequent", "last", "latest_event", "latest_version", "milestones", "neighbours", "with_tie_break",
 ]

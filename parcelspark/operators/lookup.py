@@ -10,26 +10,57 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 # Rows of a side that may be broadcast. Keys and dimensions are narrow, so this stays within
 # tens of megabytes per executor.
 MAX_BROADCAST_ROWS = 500_000
+# A table that Spark estimates below this before it runs is broadcast without being counted.
+MAX_ESTIMATED_BYTES = 8 << 20
+# Bytes of listed keys, and of key hashes, that may be broadcast; what a row and a hash take in a hash table.
+MAX_KEY_BYTES, ROW_BYTES = 64 << 20, 48
+MAX_HASH_BYTES, HASH_BYTES = 128 << 20, 40
 
+HASH = "_key_hash"
 
-def _few(df: DataFrame, max_rows: int) -> bool:
-    return df.count() <= max_rows
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """What Spark takes the size of `df` to be from files and plan, without a job; None where it does not say."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except AttributeError:
+        return None
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """`df` with a broadcast hint if it is counted to be within `max_rows`, else `df` as it is:
-    Spark then joins by shuffle. Counting reads no columns and passes one number per task."""
-    return F.broadcast(df) if _few(df, max_rows) else df
+    """`df` with a broadcast hint if it is small by Spark's estimate, or counted to be within
+    `max_rows`; else `df` as it is: Spark then joins by shuffle. Counting reads no columns and
+    passes one number per task."""
+    estimate = estimated_bytes(df)
+    if max_rows == MAX_BROADCAST_ROWS and estimate is not None and estimate <= MAX_ESTIMATED_BYTES:
+        return F.broadcast(df)
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 @dataclass(frozen=True)
 class Keys:
-    """A key list. `few` ones are broadcast and filter a table before it is reduced; of many,
-    only the reduced table is filtered, so that a key with very many rows is shrunk first."""
+    """A key list.
+
+    `few` keys are broadcast and filter a table before it is reduced. Of more keys, 8-byte hashes
+    are broadcast (`hashes`): they filter a table before it is reduced, all but a few chance
+    matches, and the keys themselves filter what is left. Of still more, the table is matched by
+    shuffle.
+    """
 
     df: DataFrame
     on: str
     few: bool
+    hashes: DataFrame | None = None
+
+
+def key_list(keys: DataFrame, on: str, rows: int, key_bytes: int, max_rows: int = MAX_BROADCAST_ROWS, max_hash_bytes: int = MAX_HASH_BYTES) -> Keys:
+    """A key list whose rows and bytes are known."""
+    keys = keys.select(on)
+    hashes = None
+    if rows * HASH_BYTES <= max_hash_bytes:
+        hashes = F.broadcast(keys.select(F.xxhash64(on).alias(HASH)))
+    few = rows <= max_rows and key_bytes + rows * ROW_BYTES <= MAX_KEY_BYTES
+    return Keys(F.broadcast(keys) if few else keys, on, few, hashes)
 
 
 def as_keys(
@@ -37,18 +68,29 @@ def as_keys(
     keys: DataFrame | Iterable,
     on: str = "shipment_id",
     max_rows: int = MAX_BROADCAST_ROWS,
+    max_hash_bytes: int = MAX_HASH_BYTES,
 ) -> Keys:
-    """A key list out of a DataFrame or plain values."""
-    if not isinstance(keys, DataFrame):
-        keys = spark.createDataFrame([(k,) for k in keys], f"{on} string")
-    keys = keys.select(on)
-    few = _few(keys, max_rows)
-    return Keys(F.broadcast(keys) if few else keys, on, few)
+    """A key list out of a DataFrame, which is counted, or plain values."""
+    if isinstance(keys, DataFrame):
+        rows, key_bytes = keys.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.col(on).cast("string"))), F.lit(0))).first()
+    else:
+        values = list(keys)
+        keys = spark.createDataFrame([(k,) for k in values], f"{on} string")
+        rows, key_bytes = len(values), sum(len(str(k).encode()) for k in values)
+    return key_list(keys, on, rows, key_bytes, max_rows, max_hash_bytes)
+
+
+def hashed(df: DataFrame, keys: Keys, on: str | None = None) -> DataFrame:
+    """Rows of `df` whose key's hash is among those of the list: all listed ones, NULL too, and a
+    few others. All rows if there are too many hashes to broadcast."""
+    if keys.hashes is None:
+        return df
+    return df.join(keys.hashes, F.xxhash64(on or keys.on) == F.col(HASH), "left_semi")
 
 
 def keyed(df: DataFrame, keys: Keys) -> DataFrame:
     """Rows of `df` whose key is listed. Repeated keys do not repeat rows."""
-    return df.join(keys.df, keys.on, "left_semi")
+    return (df if keys.few else hashed(df, keys)).join(keys.df, keys.on, "left_semi")
 
 
 def inline_table(spark: SparkSession, schema: str, rows: Sequence[tuple]) -> DataFrame:

@@ -28,12 +28,10 @@ def hub_live_backlog(
     """Shipments by latest status per hub. The first pass reads `days` days of the log; last
     attempts, which may be older, are read only for shipments that need them."""
     ctx = Context(tables, settings, as_of)
-    ctime = F.col("ctime")
     current = tables.keep(
         latest_event(
             ctx.log.filter(
-                (ctime >= ctx.begin(days))
-                & (ctime < ctx.begin(-1))
+                ctx.between(ctx.begin(days), ctx.begin(-1))
                 & F.col("shipment_id").startswith(settings.id_prefix)
             ),
             cols=("status", "station_id", "content"),

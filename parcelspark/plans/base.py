@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelspark.functions.clock import days_before, epoch_of, event_ts
+from parcelspark.functions.jsontext import json_int, json_int_strict, json_text
 from parcelspark.operators.events import with_tie_break
 from parcelspark.settings import Settings
 
@@ -25,6 +26,21 @@ class Context:
         """Events of these statuses; the list reaches the scan as a pushed filter."""
         return self.log.filter(F.col("status").isin(*statuses))
 
+    def between(self, begin: int | None = None, end: int | None = None) -> Column:
+        """Events in [begin, end), and the partitions that hold them."""
+        return self.tables.between("tracking", begin, end)
+
+    def text(self, key: str) -> Column:
+        """A field of an event's JSON text, or the column that holds it."""
+        column = self.tables.field("tracking", key)
+        return json_text("content", key) if column is None else F.col(column)
+
+    def number(self, key: str, strict: bool = False) -> Column:
+        column = self.tables.field("tracking", key)
+        if column is None:
+            return (json_int_strict if strict else json_int)("content", key)
+        return F.col(column).cast("int") if strict else F.col(column).try_cast("int")
+
     def ts(self, ctime: Column | str = "ctime") -> Column:
         return event_ts(ctime, self.settings.utc_offset_seconds)
 

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelspark import fixed_values as V
 from parcelspark.functions.clock import business_day, elapsed, moment
-from parcelspark.functions.jsontext import json_int, json_int_strict, json_text
+from parcelspark.functions.jsontext import json_int
 from parcelspark.operators.dims import station_dim
-from parcelspark.operators.events import dwell_hours, first, first_event_in_window, milestones, neighbours
+from parcelspark.operators.events import dwell_hours, first, found_in_window, milestones, neighbours
 from parcelspark.operators.lookup import as_keys, keyed
 from parcelspark.operators.metrics import pivot_sums
 from parcelspark.operators.rules import flow_by_mention, function_of_leg, stations_of_leg, type_by_code
@@ -39,15 +39,13 @@ def leadtime_by_function(
     ctx = Context(tables, settings)
     status = F.col("status")
     wanted = as_keys(spark, keys)
-    log = ctx.log.filter(~status.isin(*ignored)).select(
-        "shipment_id", "status", "station_id", "ctime", "event_id", "content"
-    )
+    log = ctx.log.filter(~status.isin(*ignored))
     # Two fields are taken out of the JSON text before anything is moved. Few shipments' events are kept, so that
     # counting them and looking around reads the log once.
     events = (keyed(log, wanted) if wanted.few else log).select(
         "shipment_id", "status", "station_id", "ctime", "event_id",
-        json_text("content", "station_name").alias("_partner"),
-        json_int_strict("content", "station_id").alias("_named_id"),
+        ctx.text("station_name").alias("_partner"),
+        ctx.number("station_id", strict=True).alias("_named_id"),
     )
     events = (tables.keep(events) if wanted.few else events).join(
         station_dim(tables.dimension("station"), "_station"), "station_id", "left"
@@ -106,15 +104,14 @@ def partner_leadtime_summary(
     handover centre."""
     ctx = Context(tables, settings, as_of)
     status = F.col("status")
-    received_in = tables.keep(
-        first_event_in_window(
-            ctx.events(*V.PARTNER_RECEIVED), ctx.begin(first_days, 2), ctx.begin(last_days - 1, 2), ("ctime",)
-        )
+    received_in, keys = found_in_window(
+        tables.counted, ctx.events(*V.PARTNER_RECEIVED), ctx.begin(first_days, 2), ctx.begin(last_days - 1, 2),
+        ("ctime",), between=ctx.between,
     )
     around = milestones(
         ctx.events(*V.HANDED_OVER, *V.DELIVERED),
         {"over": first(has(status, V.HANDED_OVER), "ctime", "content"), "delivered": first(has(status, V.DELIVERED))},
-        only=as_keys(spark, received_in),
+        only=keys,
     )
     picked = (
         received_in.join(around, "shipment_id")

@@ -12,8 +12,8 @@ from parcelspark.functions.clock import business_day, elapsed
 from parcelspark.functions.jsontext import json_int, json_text
 from parcelspark.functions.text import part_before
 from parcelspark.operators.dims import hub_regions, station_dim
-from parcelspark.operators.events import first, first_event_in_window, last, latest_event, latest_version, milestones
-from parcelspark.operators.lookup import as_keys, keyed, lookup_rules, role
+from parcelspark.operators.events import first, found_in_window, last, latest_event, latest_version, milestones
+from parcelspark.operators.lookup import Keys, as_keys, keyed, lookup_rules, role
 from parcelspark.operators.routes import route_rules, route_sla
 from parcelspark.plans.base import Context, has
 from parcelspark.settings import Settings
@@ -38,19 +38,19 @@ def latest_linehaul_and_sack(
     )
 
 
-def seller_address(tables) -> DataFrame:
-    """Seller province and district per shipment: newest pickup order, else drop-off order.
+def seller_address(tables, only: Keys | None = None) -> DataFrame:
+    """Seller province and district per shipment, or per listed one: newest pickup order, else drop-off order.
     Pickup orders tied for newest, and repeated drop-offs, each give a row."""
-    pickup = latest_version(
-        tables["pickup_order"].select("pickup_order_id", "ctime", "seller_addr_state", "seller_addr_district"),
-        "pickup_order_id",
-        "ctime",
-    ).withColumnRenamed("pickup_order_id", "shipment_id").drop("ctime")
+    of = lambda df: df if only is None else keyed(df, only)
+    orders = tables["pickup_order"].select(
+        F.col("pickup_order_id").alias("shipment_id"), "ctime", "seller_addr_state", "seller_addr_district"
+    )
+    pickup = latest_version(of(orders), "shipment_id", "ctime").drop("ctime")
+    dropoff = of(tables["dropoff_order"].select("shipment_id", "seller_state", "seller_city"))
     return (
-        tables["fleet_order"]
-        .select("shipment_id")
+        of(tables["fleet_order"].select("shipment_id"))
         .join(pickup, "shipment_id", "left")
-        .join(tables["dropoff_order"].select("shipment_id", "seller_state", "seller_city"), "shipment_id", "left")
+        .join(dropoff, "shipment_id", "left")
         .select(
             "shipment_id",
             F.coalesce("seller_addr_state", "seller_state").alias("seller_province"),
@@ -61,9 +61,10 @@ def seller_address(tables) -> DataFrame:
 
 def _with_addresses(df: DataFrame, tables) -> DataFrame:
     regions = tables.dimension("region_index").select("province", "lh_region").distinct()
+    df, keys = tables.counted(df)
     return (
-        df.join(tables["buyer_info"].select("shipment_id", "buyer_addr_state"), "shipment_id", "left")
-        .join(seller_address(tables), "shipment_id", "left")
+        df.join(keyed(tables["buyer_info"].select("shipment_id", "buyer_addr_state"), keys), "shipment_id", "left")
+        .join(seller_address(tables, keys), "shipment_id", "left")
         .join(role(regions, "province", {"lh_region": "buyer_region"}, "buyer_addr_state"), "buyer_addr_state", "left")
         .join(role(regions, "province", {"lh_region": "seller_region"}, "seller_province"), "seller_province", "left")
     )
@@ -92,7 +93,7 @@ def linehaul_path_performance(
     recent = received & (ctime >= ctx.begin(14))
 
     events = ctx.events(8, 15, 36, 35).filter(
-        (ctime >= ctx.begin(120)) & station.isin(*V.SORT_CENTRES, *V.ALL_CENTRES)
+        ctx.between(ctx.begin(120)) & station.isin(*V.SORT_CENTRES, *V.ALL_CENTRES)
     )
     picked = milestones(
         events,
@@ -135,7 +136,7 @@ def linehaul_path_performance(
         .join(station_dim(raw, "pickup_rc_station", "_pickup_id", key="id"), "_pickup_id")
         .join(station_dim(raw, "delivery_rc_station", "_delivery_id", key="id"), "_delivery_id")
     )
-    routed = route_sla(paths, route_rules(spark)).join(
+    routed = route_sla(paths, route_rules(spark), fixed=True).join(
         tables["fleet_order"].select("shipment_id"), "shipment_id"
     )
     if with_addresses:
@@ -190,19 +191,20 @@ def long_path_orders(
     """
     ctx = Context(tables, settings, day)
     station = tables.dimension("station")
-    ctime = F.col("ctime")
     begin, end = ctx.begin(0), ctx.begin(-1)
-    received = tables.keep(
-        first_event_in_window(ctx.events(*V.RECEIVED), begin, end, ("ctime", "station_id"))
-        .select("shipment_id", F.col("ctime").alias("_rec"), F.col("station_id").alias("_station_id"))
+    first_receipts, _ = found_in_window(
+        tables.counted, ctx.events(*V.RECEIVED), begin, end, ("ctime", "station_id"), between=ctx.between
+    )
+    # A few centres' receipts: a much shorter list of keys than that of all receipts of the day.
+    received, keys = tables.counted(
+        first_receipts.select("shipment_id", F.col("ctime").alias("_rec"), F.col("station_id").alias("_station_id"))
         .join(station_dim(station, "pickup_rc_station_name", "_station_id"), "_station_id")
         .filter(F.col("pickup_rc_station_name").isin(*stations))
         .drop("_station_id")
     )
-    keys = as_keys(spark, received)
     handed_over = has(F.col("status"), V.HANDED_OVER)
     picked = milestones(
-        ctx.log.filter(handed_over | (ctime >= begin)),
+        ctx.log.filter(handed_over | ctx.between(begin)),
         {"final": last(None, "status", "ctime"), "over": first(handed_over, "ctime", "operator", "content")},
         only=keys,
     ).select(

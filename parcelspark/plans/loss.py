@@ -7,11 +7,12 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelspark import fixed_values as V
-from parcelspark.functions.jsontext import json_text
 from parcelspark.functions.text import first_list_item, last_list_item, station_code
 from parcelspark.operators.dims import station_dim
-from parcelspark.operators.events import first, first_event, last, latest_event, milestones, neighbours, with_tie_break
-from parcelspark.operators.lookup import as_keys, keyed, role
+from parcelspark.operators.events import (
+    event_before, first, first_event, found_in_window, last, latest_event, milestones, with_tie_break,
+)
+from parcelspark.operators.lookup import keyed, role
 from parcelspark.operators.rules import responsible_team
 from parcelspark.plans.base import Context, has
 from parcelspark.settings import Settings
@@ -33,41 +34,41 @@ def loss_damage_attribution(
 ) -> DataFrame:
     """Shipments whose first loss or damage fell on the day before `as_of`.
 
-    That day's losses are found first; every other table, and the log itself, is then read only
-    for those shipments.
+    That day's losses are found first; every other table is then read only for those shipments,
+    and so is the log, once: milestones and the events before losses come out of the same rows.
     """
     ctx = Context(tables, settings, as_of)
-    lost = tables.keep(
-        first_event(ctx.events(*losses).filter(F.col("ctime") < ctx.begin(0)), cols=("status", "ctime"))
-        .filter(F.col("ctime") >= ctx.begin(1))
-        .withColumnRenamed("ctime", "_lost_at")
+    lost, keys = found_in_window(
+        tables.counted, ctx.events(*losses), ctx.begin(1), ctx.begin(0), ("status", "ctime"), between=ctx.between
     )
+    lost = lost.withColumnRenamed("ctime", "_lost_at")
 
-    keys = as_keys(spark, lost)
     status = F.col("status")
+    on_trip = has(status, V.TRIP)
+    events = tables.keep(
+        keyed(ctx.log, keys).select(
+            "shipment_id", "status", "station_id", "operator", "ctime", "event_id",
+            F.when(on_trip, ctx.text("linehaul_task_id")).alias("_task"),
+            F.when(on_trip, ctx.text("to_number")).alias("_sack"),
+        )
+    )
     history = milestones(
-        ctx.events(*V.CREATED, *V.PICKED_UP, *V.TRIP),
+        events,
         {
             "created": first(has(status, V.CREATED)),
             "pickup": first(has(status, V.PICKED_UP)),
-            "trip": last(has(status, V.TRIP), "content"),
+            "trip": last(on_trip, "_task", "_sack"),
         },
-        only=keys,
     ).select(
         "shipment_id",
         ctx.ts("created.ctime").alias("created_timestamp"),
         ctx.ts("pickup.ctime").alias("pickup_timestamp"),
-        json_text("trip.content", "linehaul_task_id").alias("latest_lh_task_id"),
-        json_text("trip.content", "to_number").alias("latest_to_number"),
+        F.col("trip._task").alias("latest_lh_task_id"),
+        F.col("trip._sack").alias("latest_to_number"),
     )
 
     before = (
-        neighbours(
-            ctx.log.select("shipment_id", "status", "station_id", "operator", "ctime", "event_id"),
-            before=("status", "station_id", "ctime", "operator"),
-            only=keys,
-        )
-        .filter(status.isin(*before_events))
+        event_before(events, events.filter(status.isin(*before_events)), ("status", "station_id", "ctime", "operator"))
         .select(
             "shipment_id",
             F.col("prev.status").alias("_status"),

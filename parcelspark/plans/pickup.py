@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelspark import fixed_values as V
 from parcelspark.operators.dims import station_dim
-from parcelspark.operators.events import first, first_event, first_event_in_window, latest_event, milestones
+from parcelspark.operators.events import first, first_event, found_in_window, latest_event, milestones
 from parcelspark.operators.lookup import as_keys, keyed
 from parcelspark.operators.rules import type_by_name
 from parcelspark.plans.base import Context, has
@@ -25,13 +25,11 @@ def _direct_pickups(spark: SparkSession, ctx: Context, first_days: int, last_day
     tables, status = ctx.tables, F.col("status")
     at_sort = has(status, V.RECEIVED) & F.col("station_id").isin(*sort_centres)
     # The window picks the shipments; receipts of any time are then read for them only.
-    pickups = tables.keep(
-        first_event_in_window(
-            ctx.events(*V.PICKED_UP), ctx.begin(first_days), ctx.begin(last_days - 1),
-            ("ctime", "user_id", "station_id", "operator"),
-        ).filter("user_id IS NOT NULL AND operator IS NOT NULL")
+    pickups, keys = found_in_window(
+        tables.counted, ctx.events(*V.PICKED_UP), ctx.begin(first_days), ctx.begin(last_days - 1),
+        ("ctime", "user_id", "station_id", "operator"), between=ctx.between,
     )
-    keys = as_keys(spark, pickups)
+    pickups = pickups.filter("user_id IS NOT NULL AND operator IS NOT NULL")
     receipts = milestones(
         ctx.events(*V.RECEIVED, *V.FIRST_MILE_RECEIVED),
         {"sort": first(at_sort), "hub": first(has(status, V.FIRST_MILE_RECEIVED))},

@@ -10,8 +10,8 @@ from parcelspark import fixed_values as V
 from parcelspark.functions.clock import business_day, late, on_time, zero_as_missing
 from parcelspark.functions.text import district_code
 from parcelspark.operators.dims import station_dim
-from parcelspark.operators.events import first, first_event_in_window, latest_event, milestones
-from parcelspark.operators.lookup import as_keys, keyed
+from parcelspark.operators.events import first, found_in_window, latest_event, milestones
+from parcelspark.operators.lookup import keyed
 from parcelspark.operators.metrics import ratio
 from parcelspark.operators.rules import operator_group, return_type
 from parcelspark.plans.base import Context, has
@@ -43,11 +43,10 @@ def return_receipts(
     for operator in excluded_operators:
         is_receipt = is_receipt & (F.col("operator") != operator)
     at_centre = F.col("station_id") == centre
-    received = tables.keep(
-        first_event_in_window(
-            ctx.events(*V.RETURN_RECEIVED).filter(at_centre), ctx.begin(first_days, 6), ctx.begin(last_days - 1, 6),
-            ("ctime", "operator"), is_receipt,
-        )
+    # The keys found in the window serve all later reads; those that the look-back drops only cost their rows.
+    received, keys = found_in_window(
+        tables.counted, ctx.events(*V.RETURN_RECEIVED).filter(at_centre), ctx.begin(first_days, 6),
+        ctx.begin(last_days - 1, 6), ("ctime", "operator"), is_receipt, between=ctx.between,
     )
     outbound = milestones(
         ctx.events(*V.RETURN_PACKED, *V.RETURNING, *V.RETURN_LINEHAUL_LEFT).filter(at_centre),
@@ -56,22 +55,19 @@ def return_receipts(
             "returning": first(has(status, V.RETURNING)),
             "left": first(has(status, V.RETURN_LINEHAUL_LEFT)),
         },
-        only=as_keys(spark, received),
+        only=keys,
     )
-    picked = tables.keep(
-        received.join(outbound, "shipment_id", "left").select(
-            "shipment_id",
-            ctx.ts().alias("receive_time"),
-            "operator",
-            ctx.ts("packed.ctime").alias("packed_time"),
-            ctx.ts("returning.ctime").alias("returning_time"),
-            ctx.ts("left.ctime").alias("left_time"),
-        )
+    picked = received.join(outbound, "shipment_id", "left").select(
+        "shipment_id",
+        ctx.ts().alias("receive_time"),
+        "operator",
+        ctx.ts("packed.ctime").alias("packed_time"),
+        ctx.ts("returning.ctime").alias("returning_time"),
+        ctx.ts("left.ctime").alias("left_time"),
     )
-    keys = as_keys(spark, picked)
     lost = (
         latest_event(
-            ctx.log.filter(F.col("ctime") >= ctx.begin(first_days)),
+            ctx.log.filter(ctx.between(ctx.begin(first_days))),
             cols=("status", "ctime"),
             then=F.col("status").isin(*V.DAMAGED_OR_LOST),
             only=keys,

@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parcelspark import fixed_values as V
 from parcelspark.functions.clock import business_day, next_iso_week
-from parcelspark.functions.jsontext import json_text
 from parcelspark.operators.dims import station_dim
-from parcelspark.operators.events import first_event_in_window
+from parcelspark.operators.events import found_in_window
 from parcelspark.operators.lookup import as_keys, keyed
 from parcelspark.plans.base import Context
 from parcelspark.settings import Settings
@@ -30,20 +29,15 @@ def overseas_hub_performance(
     """Every arrival at one overseas hub, with the first receipt at the sort centre; receipts of
     the last `days` business days."""
     ctx = Context(tables, settings, as_of)
-    at_centre = json_text("content", "station_id") == sort_centre
-    receipts = ctx.events(*V.RECEIVED)
-    begin = ctx.begin(days, 6)
     # Candidates out of the window; whether they had an earlier receipt, and when they arrived, is read for them only.
-    recent = first_event_in_window(receipts, begin, ctx.begin(-1, 6), ("ctime",), at_centre, earlier=False)
-    recent = tables.keep(recent)
-    keys = as_keys(spark, recent)
-    earlier = keyed(receipts.filter(F.col("ctime") < begin).select("shipment_id", "content"), keys).filter(at_centre)
-    received = recent.join(earlier.select("shipment_id").distinct(), "shipment_id", "left_anti").select(
-        "shipment_id", ctx.ts().alias("received_time")
+    received, keys = found_in_window(
+        tables.counted, ctx.events(*V.RECEIVED), ctx.begin(days, 6), ctx.begin(-1, 6), ("ctime",),
+        ctx.text("station_id") == sort_centre, between=ctx.between,
     )
+    received = received.select("shipment_id", ctx.ts().alias("received_time"))
     arrived = (
-        keyed(ctx.events(*V.LINEHAUL_ARRIVED).select("shipment_id", "ctime", "content"), keys)
-        .filter(json_text("content", "dest_station_name") == hub)
+        keyed(ctx.events(*V.LINEHAUL_ARRIVED), keys)
+        .filter(ctx.text("dest_station_name") == hub)
         .select("shipment_id", ctx.ts().alias("lhtransported_time"))
     )
     return (
@@ -74,8 +68,9 @@ def first_touch_by_operator(
     operators."""
     ctx = Context(tables, settings, as_of)
     here = station_dim(tables.dimension("station").filter(F.col("station_name") == station), "station_name")
-    touched = first_event_in_window(
-        ctx.log.join(here, "station_id"), ctx.begin(1, 6), ctx.begin(0, 6), ("status", "operator", "ctime", "station_name")
+    touched, _ = found_in_window(
+        tables.counted, ctx.log.join(here, "station_id"), ctx.begin(1, 6), ctx.begin(0, 6),
+        ("status", "operator", "ctime", "station_name"), between=ctx.between,
     )
     return (
         keyed(touched, as_keys(spark, operators, "operator"))

@@ -13,7 +13,7 @@ from parcelspark.functions.text import district_code, part_before, station_code
 from parcelspark.operators import rules as R
 from parcelspark.operators.dims import hub_regions, station_dim
 from parcelspark.operators.events import first, last, latest_event, milestones, with_tie_break
-from parcelspark.operators.lookup import as_keys, bounded_broadcast, inline_table, keyed, lookup_rules
+from parcelspark.operators.lookup import bounded_broadcast, inline_table, keyed, lookup_rules
 from parcelspark.plans.base import Context, has
 from parcelspark.settings import Settings
 
@@ -28,6 +28,8 @@ def stuck_shipments(
     youngest: int = 2,
     picked_up_within: int = 30,
     operator_stations: DataFrame | None = None,
+    partners: tuple[tuple[str, str], ...] = V.PARTNER_HUBS,
+    default_partner: str = V.DEFAULT_PARTNER,
     settings: Settings = Settings(),
 ) -> DataFrame:
     """Shipments whose latest event is `oldest` to `youngest` days old and open, and which were
@@ -43,7 +45,7 @@ def stuck_shipments(
     ctime, status = F.col("ctime"), F.col("status")
     window_end = ctx.begin(youngest - 1)
     window = milestones(
-        ctx.log.filter((ctime >= ctx.begin(oldest)) & F.col("shipment_id").startswith(settings.id_prefix)),
+        ctx.log.filter(ctx.between(ctx.begin(oldest)) & F.col("shipment_id").startswith(settings.id_prefix)),
         {
             "final": last(None, "status", "ctime", "content"),
             "pickup": first(has(status, (*V.PICKED_UP, *V.CREATED)) & (ctime < window_end)),
@@ -77,8 +79,7 @@ def stuck_shipments(
             "cogs_amount",
         )
     )
-    stuck = tables.keep(stuck)
-    keys = as_keys(spark, stuck)
+    stuck, keys = tables.counted(stuck)
 
     older = milestones(
         ctx.events(*V.RETURN_STARTED, *V.LEFT_STATION),
@@ -103,12 +104,10 @@ def stuck_shipments(
         .drop("_lm_id", "_ret_id")
     )
     # An empty override table keeps one plan for both cases.
-    places = operator_stations if operator_stations is not None else inline_table(
-        spark, "operator string, station string", [(None, None)]
-    )
-    places = bounded_broadcast(
-        places.select(F.col("operator").alias("_operator"), F.col("station").alias("_override")).dropDuplicates(["_operator"])
-    )
+    given = operator_stations is not None
+    places = operator_stations if given else inline_table(spark, "operator string, station string", [(None, None)])
+    places = places.select(F.col("operator").alias("_operator"), F.col("station").alias("_override"))
+    places = bounded_broadcast(places.dropDuplicates(["_operator"])) if given else F.broadcast(places)
     found = (
         stuck.join(older, "shipment_id", "left")
         .join(failed, "shipment_id", "left")
@@ -164,9 +163,8 @@ def stuck_shipments(
         R.apply_rules(
             [
                 (returning, station_code(F.col("_ret_station"))),
-                ((operator == "Flash") | (F.col("_lm_station") == "SOCE"), "Flash"),
-                (lm_code.contains("Kerry"), "Kerry"),
-                (lm_code.contains("Ninja"), "Ninja van"),
+                ((operator == default_partner) | (F.col("_lm_station") == "SOCE"), default_partner),
+                *((lm_code.contains(mark), partner) for mark, partner in partners),
             ],
             lm_code,
         ).alias("_hub"),
@@ -205,7 +203,7 @@ def stuck_shipments(
             "unsucessful_log_hub",
             "to_number",
             "lh_task_id",
-            R.apply_rules([(ships_back, "SCOM"), (hub.isin(*V.REGIONAL, "SOCE"), "Flash")], hub).alias(
+            R.apply_rules([(ships_back, "SCOM"), (hub.isin(*V.REGIONAL, "SOCE"), default_partner)], hub).alias(
                 "hub_destination"
             ),
             R.destination_zone(

@@ -24,6 +24,7 @@ def shipment_tracker(
     keys: DataFrame | Iterable[str],
     *,
     trip=V.TRIP,
+    default_partner: str = V.DEFAULT_PARTNER,
     settings: Settings = Settings(),
 ) -> DataFrame:
     """Latest state, destination, return station, last trip and sack of each requested shipment.
@@ -68,7 +69,7 @@ def shipment_tracker(
             "order_type",
             "latest_timestamp",
             F.round("cogs").cast("int").alias("cogs"),
-            F.when(F.col("operator") == "Flash", "Flash").otherwise(F.col("_lm_station")).alias("lm_destination"),
+            F.when(F.col("operator") == default_partner, default_partner).otherwise(F.col("_lm_station")).alias("lm_destination"),
             "return_station_name",
             "lh_trip_number",
             "to_number",

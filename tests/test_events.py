@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
 from parcelspark.operators import events as E
-from parcelspark.operators.lookup import as_keys
+from parcelspark.operators.lookup import as_keys, key_list, keyed
 from tests.fixtures import SCHEMAS, at, event, frame, make
 
 STATUSES = (0, 8, 11, 39)
@@ -157,6 +157,63 @@ def test_epoch_helper_matches_the_clock():
     assert at("1970-01-01 07:00") == 0
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(logs, st.integers(0, 3), st.integers(0, 4), st.sampled_from([0, 60, 1 << 20]))
+def test_the_keyed_look_back_is_the_same_at_any_bound(spark, drawn, begin, length, bound):
+    rows = as_rows(drawn) + [{"event_id": 100 + i, "shipment_id": None, "status": 8, "ctime": i} for i in range(drawn[0][2] or 3)]
+    df = log(spark, rows)
+    counted = lambda found, on: (found, key_list(found, on, found.count(), 0, 0, bound))
+    found, keys = E.found_in_window(counted, df, begin, begin + length, ("event_id",), F.col("status") != 9)
+    assert (keys.hashes is None) == (bound < 40 * found.count()) or bound
+    plain = E.first_event_in_window(df, begin, begin + length, ("event_id",), F.col("status") != 9)
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(logs, st.sampled_from([1, 2, 16]))
+def test_the_event_before_equals_brute_force(spark, drawn, max_targets):
+    """Several targets a key, equal and missing times; crowded keys are windowed."""
+    rows = as_rows(drawn)
+    up = lambda r: (r["ctime"] is None, r["ctime"] or 0, r["event_id"])
+    want = []
+    for r in rows:
+        if r["status"] in (8, 11):
+            earlier = [e for e in rows if e["shipment_id"] == r["shipment_id"] and up(e) < up(r)]
+            want.append((r["shipment_id"], r["event_id"], max(earlier, key=up)["operator"] if earlier else None))
+    df = log(spark, rows)
+    got = E.event_before(df, df.filter("status IN (8, 11)"), ("operator", "status"), max_targets=max_targets)
+    assert sorted((r.shipment_id, r.event_id, r.prev and r.prev.operator) for r in got.collect()) == sorted(want, key=lambda w: w[:2])
+
+
+def test_frequent_keys_are_all_named(spark, monkeypatch):
+    df = log(spark, as_rows([(("a", "b", None, f"k{i}")[min(i % 10, 3)], 8, i) for i in range(1000)]))
+    assert dict(E.frequent(df, "shipment_id", 50)) == {"a": 100, "b": 100, None: 100}
+    assert E.frequent(df, "shipment_id", 1000) == [] and E.frequent(df, "shipment_id", 100) == []
+    monkeypatch.setattr(E, "MAX_LISTED_KEYS", 2)
+    assert E.frequent(df, "shipment_id", 50) is None  # more than are listed
+    monkeypatch.setattr(E, "SKETCH_ERROR", 0.1)
+    assert E.frequent(df, "shipment_id", 150) is None  # the sketch may miss one
+
+
+def test_key_lists_of_any_length_give_the_same_rows(spark, monkeypatch):
+    monkeypatch.setattr(E, "MAX_ROWS_PER_KEY", 10)
+    rows = as_rows([(("a", "b", "c", None, f"k{i % 40}")[min(i % 9, 4)], i % 5, i // 3) for i in range(300)])
+    df = log(spark, rows)
+    wanted = ["a", "k4", "k5", "k39", "none", None]
+    for run in (
+        lambda k: E.latest_event(df, cols=("status", "event_id"), only=k),
+        lambda k: E.milestones(df, {"f": E.first(F.col("status") == 1, "event_id")}, only=k),
+        lambda k: E.neighbours(df, before=("status",), after=("event_id",), only=k, max_rows_per_key=7),
+        lambda k: keyed(df, k),
+    ):
+        listed, hashes, shuffled = (
+            as_keys(spark, wanted, **limits) for limits in ({}, {"max_rows": 0}, {"max_rows": 0, "max_hash_bytes": 0})
+        )
+        assert listed.few and hashes.hashes is not None and shuffled.hashes is None
+        got = [sorted(map(str, run(k).collect())) for k in (listed, hashes, shuffled)]
+        assert got[0] == got[1] == got[2] and got[0]
+
+
 def test_many_keys_are_matched_after_the_picks(spark):
     """Beyond the broadcast bound the results stay the same."""
     rows = [event(s, st_, f"2024-01-0{d} 0{d}:00", event_id=d) for s in "abc" for d, st_ in ((1, 8), (2, 11), (3, 39))]
