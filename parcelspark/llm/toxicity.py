@@ -1,6 +1,7 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A word enters as the mean of learned vectors of its character n-grams and of the word itself (both hashed). Two gated
+A word enters as the mean of learned vectors of all its character n-grams and of the word itself (both hashed); one
+that is long, or made of several joined by marks, enters as several overlapping inputs. Two gated
 recurrent layers read a window of words from both ends. Attention over what they and the inputs say weighs the words
 of the window, and the weighted evidence is the window's score. All overlapping windows of a text are scored, and the
 largest score is the text's.
@@ -8,49 +9,102 @@ largest score is the text's.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelspark.llm.common import lower_words, remainder, remainder_column, text_batches
+from parcelspark.llm.common import LOWER, batches_of, checkpoint, remainder, remainder_column, text_batches, utf8
 from parcelspark.llm.repeats import Buckets
 
-#: Documents of each label that the network is trained on, at most: those whose ids hash lowest.
-FIT_ROWS = 1200
+#: Documents of each label that the network is trained on, at most: those whose ids hash lowest, as many as have
+#: FIT_WINDOWS windows together. Each is used whole.
+FIT_ROWS, FIT_WINDOWS = 1200, 40_000
 
-#: Windows of each such document that are used, at most, spread evenly over it. Scoring uses all.
-FIT_WINDOWS = 24
-
-WINDOW, STRIDE = 48, 36
+#: Inputs of a window, and from the start of one to that of the next: half a window, so that a passage of up to half
+#: a window lies in one whole wherever it stands.
+WINDOW, STRIDE = 48, 24
 HIDDEN, WIDTH = 8, 16
 BUCKETS = 1 << 14
-GRAMS = 16
+#: Bytes of a character n-gram, and of an input: a longer word is cut into inputs that overlap by half.
+GRAMS, PIECE = (3, 4, 5), 12
 EPOCHS = 10
+#: How often a word's own vector is left out in training, so that its n-grams learn to speak for it.
+LEFT_OUT = 0.3
 THRESHOLD = 0.7
 
 #: Words whose inputs a task keeps at most; then it starts again with none.
 MEMO = 300_000
 
 
-def features(words: list[bytes]) -> np.ndarray:
-    """Hashed inputs of words (words x GRAMS): the word itself, and the n-grams of 3 to 5 bytes that begin at its
-    first bytes, the ends marked; where there is no such n-gram, BUCKETS."""
-    marked = [b"^" + w[:40] + b"$" for w in words]
-    lengths = np.array([len(m) for m in marked], np.int64)
-    starts = np.cumsum(lengths) - lengths
-    buckets = Buckets(np.frombuffer(b"".join(marked), np.uint8))
-    out = np.full((len(words), GRAMS), BUCKETS, np.int64)
-    out[:, 0] = buckets.at(starts, starts + lengths) % np.uint64(BUCKETS)
-    for i in range(GRAMS - 1):
-        at, n = i // 3, 3 + i % 3
-        some = at + n <= lengths
-        out[some, i + 1] = buckets.at(starts[some] + at, starts[some] + at + n) % np.uint64(BUCKETS)
+# Marks that join or end words: blanks for the network. Others, as in masked words, stay.
+_JOINING = b"_-.,;:!?\"'`()[]{}/\\"
+_APART = bytes.maketrans(_JOINING, b" " * len(_JOINING))
+_WIDE_BLANK = re.compile(b"\xc2\xa0|\xe2\x80[\x80-\x8d\xa8\xa9\xaf]|\xe3\x80\x80|\xef\xbb\xbf")
+
+
+def inputs_of(text: str | None) -> list[bytes]:
+    """What the network reads of a text, in order: all of its words, lower-cased, parted at blanks and joining marks;
+    words of more than PIECE bytes as pieces that overlap by half. `^` and `$` mark where a word begins and ends."""
+    out = []
+    for word in _WIDE_BLANK.sub(b" ", utf8(text).translate(LOWER)).translate(_APART).split():
+        if len(word) <= PIECE:
+            out.append(b"^" + word + b"$")
+            continue
+        word = b"^" + word + b"$"
+        half = PIECE // 2
+        out += [word[i : i + PIECE] for i in range(0, max(1, len(word) - half), half)]
     return out
 
 
+class Hashed(NamedTuple):
+    """Hashed inputs of words: the ids of all words in a row, and where each word's begin; its own comes first."""
+
+    ids: np.ndarray
+    starts: np.ndarray
+
+    def counts(self) -> np.ndarray:
+        return np.diff(self.starts, append=len(self.ids))
+
+    def take(self, rows: np.ndarray) -> Hashed:
+        n = self.counts()[rows]
+        starts = np.cumsum(n) - n
+        return Hashed(self.ids[np.repeat(self.starts[rows] - starts, n) + np.arange(int(n.sum()))], starts)
+
+    def without(self, left_out: np.ndarray) -> Hashed:
+        """The same without the own vector of some words, where they have n-grams."""
+        n = self.counts()
+        gone = left_out & (n > 1)
+        keep = np.ones(len(self.ids), bool)
+        keep[self.starts[gone]] = False
+        n = n - gone
+        return Hashed(self.ids[keep], np.cumsum(n) - n)
+
+
+def features(words: list[bytes]) -> Hashed:
+    """The word itself, and every n-gram of 3 to 5 bytes in it."""
+    lengths = np.array([len(w) for w in words], np.int64)
+    starts = np.cumsum(lengths) - lengths
+    buckets = Buckets(np.frombuffer(b"".join(words), np.uint8))
+    own = buckets.at(starts, starts + lengths)
+    per = [np.maximum(lengths - g + 1, 0) for g in GRAMS]
+    n = 1 + sum(per)
+    begin = np.cumsum(n) - n
+    out = np.zeros(int(n.sum()), np.uint64)
+    out[begin] = own
+    filled = begin + 1
+    for g, many in zip(GRAMS, per):
+        inside = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        first = np.repeat(starts, many) + inside
+        out[np.repeat(filled, many) + inside] = buckets.at(first, first + g)
+        filled = filled + many
+    return Hashed((out % np.uint64(BUCKETS)).astype(np.int64), begin)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
@@ -66,7 +120,7 @@ class Network:
         draw = np.random.default_rng(seed)
         normal = lambda *shape, scale: (draw.standard_normal(shape) * scale).astype(np.float32)
         self.p = {
-            "table": normal(BUCKETS + 1, WIDTH, scale=0.3),
+            "table": normal(BUCKETS, WIDTH, scale=0.3),
             "win": normal(2, WIDTH, 3 * HIDDEN, scale=WIDTH**-0.5),
             "bin": np.zeros((2, 1, 3 * HIDDEN), np.float32),
             "u": normal(2, HIDDEN, 3 * HIDDEN, scale=HIDDEN**-0.5),
@@ -74,11 +128,13 @@ class Network:
             "vh": normal(2, HIDDEN, scale=0.3), "vx": normal(WIDTH, scale=0.3),
             "b": np.full(1, -1, np.float32),
         }
-        self.p["table"][BUCKETS] = 0  # for inputs that a word does not have
 
-    def inputs(self, ids: np.ndarray) -> np.ndarray:
+    def inputs(self, words: Hashed) -> np.ndarray:
         """Input vectors of words from their hashed inputs."""
-        return self.p["table"][ids].sum(1) / (ids < BUCKETS).sum(1, keepdims=True).astype(np.float32)
+        if not len(words.starts):
+            return np.zeros((0, WIDTH), np.float32)
+        sums = np.add.reduceat(self.p["table"][words.ids], words.starts, axis=0)
+        return sums / words.counts()[:, None].astype(np.float32)
 
     def project(self, x: np.ndarray) -> np.ndarray:
         """What the window pass needs of each word: gates of both directions, attention, evidence."""
@@ -180,15 +236,15 @@ class Vocabulary:
             self.new.append(word)
         return at
 
-    def take_new(self) -> np.ndarray:
+    def take_new(self) -> Hashed:
         """Hashed inputs of the words added since the last call."""
         new, self.new = self.new, []
-        return features(new) if new else np.zeros((0, GRAMS), np.int64)
+        return features(new) if new else Hashed(np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def train_network(texts: list[list[list[bytes]]], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 1) -> Network:
-    """Train on texts, each a list of windows of words. In each round a text is represented by the window that the
-    network finds most toxic (in the first by a random one); the gradient runs back through the whole window."""
+def train_network(texts: list[list[bytes]], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 1) -> Network:
+    """Train on texts, each a list of inputs. In each round a text is represented by the window, of all it has, that
+    the network finds most toxic (in the first by a random one); the gradient runs back through the whole window."""
     net = Network(seed)
     if not len(labels) or labels.min() == labels.max():
         return net
@@ -196,12 +252,13 @@ def train_network(texts: list[list[list[bytes]]], labels: np.ndarray, epochs: in
     vocabulary = Vocabulary()
     at, mask, owner = [], [], []
     for i, text in enumerate(texts):
-        for window in text:
-            rows = [vocabulary.row(w) for w in window]
-            at.append(rows + [0] * (WINDOW - len(rows)))
-            mask.append([True] * len(rows) + [False] * (WINDOW - len(rows)))
+        rows = np.array([vocabulary.row(w) for w in text] + [0] * WINDOW, np.int32)
+        for begin in windows(len(text)).tolist():
+            at.append(rows[begin : begin + WINDOW])
+            mask.append(np.arange(begin, begin + WINDOW) < len(text))
             owner.append(i)
     at, mask, owner = np.array(at), np.array(mask), np.array(owner)
+    vocabulary.row(b"^$")  # so that there is a row where no text has a word
     ids = vocabulary.take_new()
     squares = {k: np.full_like(q, 1e-6) for k, q in net.p.items()}
     for epoch in range(epochs):
@@ -215,12 +272,13 @@ def train_network(texts: list[list[list[bytes]]], labels: np.ndarray, epochs: in
         for i in range(0, len(chosen), 32):
             some = chosen[i : i + 32]
             rows, place = np.unique(at[some], return_inverse=True)
-            x = net.inputs(ids[rows])
+            hashed = ids.take(rows)
+            hashed = hashed.without(draw.random(len(rows)) < LEFT_OUT)
+            x = net.inputs(hashed)
             _, grad, d_in = net.gradients(x, place.reshape(-1, WINDOW), mask[some], labels[owner[some]].astype(np.float32))
-            used = ids[rows] < BUCKETS
-            many = used.sum(1)
+            many = hashed.counts()
             spread = np.repeat(d_in / many[:, None].astype(np.float32), many, axis=0)
-            touched, slot = np.unique(ids[rows][used], return_inverse=True)
+            touched, slot = np.unique(hashed.ids, return_inverse=True)
             sums = np.zeros((len(touched), WIDTH), np.float32)
             np.add.at(sums, slot, spread)
             squares["table"][touched] += sums**2
@@ -231,8 +289,9 @@ def train_network(texts: list[list[list[bytes]]], labels: np.ndarray, epochs: in
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Network:
-    """A network for labels.toxic, from at most `rows` documents of each label with crc32(doc_id) mod 3 other than 1.
+def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, most_windows: int = FIT_WINDOWS) -> Network:
+    """A network for labels.toxic, from at most `rows` documents of each label with crc32(doc_id) mod 3 other than 1,
+    and as many of them as have `most_windows` windows together (the first whatever it has). They are read whole.
 
     Label rows without an id or with another label than 0 and 1 are left out; an id labelled both ways counts as 1. Of
     documents that repeat an id one is taken. Without both labels the network is untrained.
@@ -244,28 +303,32 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Network:
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     sample = known.where("y = 1").orderBy(*order).limit(rows).union(known.where("y = 0").orderBy(*order).limit(rows))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for text in batch.column(2):
-                words = lower_words(text.as_py())
-                begin = windows(len(words))
-                if len(begin) > FIT_WINDOWS:
-                    begin = begin[np.linspace(0, len(begin) - 1, FIT_WINDOWS).astype(int)]
-                out.append([b" ".join(w[:60] for w in words[x : x + WINDOW]) for x in begin.tolist()])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.binary()))], ["doc_id", "y", "windows"]
-            )
+            n = [len(windows(len(inputs_of(t.as_py())))) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], ["doc_id", "y", "n"])
 
-    # 2 x rows ids at most, so the table is small whatever the input
-    found = (
-        docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text")
-        .mapInArrow(run, "doc_id long, y int, windows array<binary>")
-        .groupBy("doc_id").agg(F.min("y").alias("y"), F.min("windows").alias("windows"))
-        .toPandas().sort_values("doc_id")
-    )
-    texts = [[bytes(w).split() for w in ws] for ws in found["windows"]]
-    return train_network([t if t and t[0] else [[]] for t in texts], found["y"].to_numpy())
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [b" ".join(inputs_of(t.as_py())) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["doc_id", "y", "words"])
+
+    # 2 x rows ids at most, so the tables joined are small whatever the input
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    with batches_of(docs.sparkSession, 500):
+        joined = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text")
+        sized = checkpoint(
+            joined.mapInArrow(sizes, "doc_id long, y int, n long").groupBy("doc_id").agg(F.min("y").alias("y"), F.max("n").alias("n"))
+        )
+        so_far = F.sum("n").over(Window.partitionBy("y").orderBy(*order))
+        chosen = sized.withColumn("_all", so_far).where((F.col("_all") <= most_windows) | (F.col("_all") == F.col("n")))
+        joined = texts.join(F.broadcast(chosen.select("doc_id", "y")), "doc_id").select("doc_id", "y", "text")
+        found = (
+            joined.mapInArrow(read, "doc_id long, y int, words binary")
+            .groupBy("doc_id").agg(F.min("y").alias("y"), F.min("words").alias("words"))
+            .toPandas().sort_values("doc_id")
+        )
+    return train_network([bytes(w).split() for w in found["words"]], found["y"].to_numpy())
 
 
 class Scorer:
@@ -281,8 +344,9 @@ class Scorer:
 
     def _project(self) -> None:
         """Projected inputs for the words that are new."""
-        ids = self.vocabulary.take_new()
-        parts = [self.net.project(self.net.inputs(ids[i : i + 8192])) for i in range(0, len(ids), 8192)]
+        new = self.vocabulary.take_new()
+        n = len(new.starts)
+        parts = [self.net.project(self.net.inputs(new.take(np.arange(i, min(i + 8192, n))))) for i in range(0, n, 8192)]
         self.words = np.concatenate([self.words, *parts])
 
     def scores(self, texts: list[list[bytes]]) -> np.ndarray:
@@ -334,7 +398,7 @@ def score(docs: DataFrame, net: Network, threshold: float = THRESHOLD) -> DataFr
             ids = batch.column(0).to_pylist()
             found = np.zeros(len(ids))
             for i in range(0, len(ids), 1000):
-                found[i : i + 1000] = scorer.scores([lower_words(t.as_py()) for t in batch.column(1)[i : i + 1000]])
+                found[i : i + 1000] = scorer.scores([inputs_of(t.as_py()) for t in batch.column(1)[i : i + 1000]])
             held_out = pa.array([remainder(d, 3) == 1 for d in ids], pa.bool_())
             predicted = pa.array((found >= threshold).astype(np.int32))
             yield pa.RecordBatch.from_arrays(

@@ -73,3 +73,75 @@ def test_empty_tables(spark):
     net = toxicity.train(none, labels)
     assert toxicity.score(none, net).count() == 0
     assert all(0 <= r.score <= 1 for r in toxicity.score(documents(spark), net).collect())
+
+
+def test_toxic_words_are_found_when_joined_or_behind_a_stem(spark, net):
+    """Nothing of a word is left out: joined by `_` or by no-break spaces, texts stay found, and many behind a stem."""
+    rows = plain(spark, SF_DIR).join(plain(spark, SF_DIR, "labels").where("toxic = 1"), "doc_id").select("doc_id", "text").collect()
+    scorer = toxicity.Scorer(net)
+    rows = [r.text for r in rows if held_out(r.doc_id)]
+    of = lambda texts: scorer.scores([toxicity.inputs_of(t) for t in texts]) >= 0.7
+    found = [t for t, f in zip(rows, of(rows)) if f]
+    assert len(found) > 0.8 * len(rows)
+    for form, share in (("_".join, 0.95), (" ".join, 0.95), (lambda w: " ".join("superdup" + x for x in w), 0.4)):
+        assert of([form(t.split()) for t in found]).mean() > share
+
+
+def test_inputs_hold_every_byte_of_a_word():
+    for word in (b"a", b"abcdefghijkl", b"abcdefghijklm", bytes(range(97, 123)) * 5):
+        inputs = toxicity.inputs_of(word.decode())
+        whole = b"^" + word + b"$"
+        assert all(any(whole[i : i + 5] in x for x in inputs) for i in range(max(1, len(whole) - 4)))
+    assert toxicity.inputs_of("One_two THREE f**k") == [b"^one$", b"^two$", b"^three$", b"^f**k$"]
+    assert toxicity.inputs_of(None) == toxicity.inputs_of(" _ ") == []
+    one, two = (toxicity.features([b"^" + b"x" * 50 + end + b"$"]) for end in (b"yes", b"not"))
+    assert set(one.ids) != set(two.ids)
+    hashed = toxicity.features([b"^ab$", b"^$", b"^abcdef$"])
+    assert hashed.counts().tolist() == [1 + 2 + 1 + 0, 1, 1 + 6 + 5 + 4]
+
+
+def test_scores_equal_a_plain_loop_over_windows(spark, net):
+    """One window at a time, one step at a time, as the network is described."""
+    p = {k: v.astype(float) for k, v in net.p.items()}
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def window_score(words):
+        if not words:
+            words = []
+        x = [p["table"][toxicity.features([w]).ids].mean(0) for w in words]
+        h = toxicity.HIDDEN
+
+        def run(direction, xs):
+            state, out = np.zeros(h), []
+            for v in xs:
+                gates = v @ p["win"][direction] + p["bin"][direction][0]
+                past = state @ p["u"][direction]
+                z, r = sigmoid(gates[:h] + past[:h]), sigmoid(gates[h : 2 * h] + past[h : 2 * h])
+                state = state + z * (np.tanh(gates[2 * h :] + r * past[2 * h :]) - state)
+                out.append(state)
+            return out
+
+        forth, back = run(0, x), run(1, x[::-1])[::-1]
+        a = np.array([f @ p["ah"][0] + b @ p["ah"][1] + v @ p["ax"] for f, b, v in zip(forth, back, x)])
+        e = np.array([f @ p["vh"][0] + b @ p["vh"][1] + v @ p["vx"] for f, b, v in zip(forth, back, x)])
+        weight = np.exp(a - a.max())
+        return sigmoid((weight / weight.sum() * e).sum() + p["b"][0])
+
+    texts = [r.text for r in plain(spark, SF_DIR).orderBy("doc_id").limit(12).collect()] + ["one", "a b c_d"]
+    texts = [toxicity.inputs_of(t)[:400] for t in texts]
+    found = toxicity.Scorer(net).scores(texts)
+    for words, score in zip(texts, found):
+        begins = range(0, max(1, len(words) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE)
+        assert score == pytest.approx(max(window_score(words[b : b + toxicity.WINDOW]) for b in begins), abs=2e-4)
+
+
+def test_a_bound_on_windows_leaves_out_documents_and_cuts_none(spark, monkeypatch):
+    texts = [(i, " ".join(f"w{i}x{j}" for j in range(200 + i))) for i in range(40) if not held_out(i)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    seen = {}
+    monkeypatch.setattr(toxicity, "train_network", lambda read, y: seen.update(texts=read, y=y))
+    toxicity.train(docs, labels, most_windows=60)
+    whole = [toxicity.inputs_of(t) for _, t in texts]
+    assert 2 <= len(seen["texts"]) < len(whole) and all(t in whole for t in seen["texts"])
+    assert sum(len(toxicity.windows(len(t))) for t in seen["texts"]) <= 120
