@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import numpy as np
 import pytest
@@ -43,7 +44,7 @@ def test_other_layouts_of_unseen_pages(spark, trees):
         other = html_text.Page(html_text._layout(
             np.random.default_rng([77, i]), [t for t, m in runs if m], [t for t, m in runs if not m]))
         other.split_runs()
-        keep = other.decode(trees.probability(other.features()))
+        keep = other.decode(trees.probability(trees.features(other)))
         sizes = [(len(t), html_text._MARK in t, keep[n]) for n, t in other.runs if t.strip()]
         both = sum(n for n, m, k in sizes if m and k)
         precision.append(both / max(1, sum(n for n, _, k in sizes if k)))
@@ -74,6 +75,92 @@ def test_hand_written_pages(trees, page):
     assert html_text.extract_page(page, trees) == WANT
 
 
+INNER = {
+    "<figure><img src=a><figcaption>The river, seen from a hill.</figcaption></figure>": "The river, seen from a hill.",
+    '<p class="byline">By Anna Noor, in the north.</p>': "By Anna Noor, in the north.",
+    "<address>Mill Road 4, the old town.</address>": "Mill Road 4, the old town.",
+    '<div class="reviews"><p>Visitors say the river is worth a trip.</p></div>': "Visitors say the river is worth a trip.",
+    "<p>So <math><mi>x</mi></math> holds, and <label>this</label> too.</p>": "So x holds, and this too.",
+    '<p title="a > b" data-x=\'<p>\'>Quoted <i title=it\'s>marks</i> end nothing.</p>': "Quoted marks end nothing.",
+    '<div class="ad">Buy now, buy cheap.</div>': "",
+    "<aside><p>More on this site.</p></aside>": "",
+    '<div class="comments"><div class="comment"><p>I do not agree with this at all.</p></div></div>': "",
+}
+
+
+@pytest.mark.parametrize("inner", INNER)
+def test_what_belongs_to_an_article_stays_and_what_does_not_goes(trees, inner):
+    page = f"<html><body><nav><a href=/>Home</a></nav><article>{BODY}{inner}{BODY}</article><footer>Copyright</footer></body></html>"
+    assert html_text.extract_page(page, trees) == " ".join(x for x in (WANT, INNER[inner], WANT) if x)
+
+
+def divs(i):
+    body = "".join(f"<div>Page {i} and sentence {k} tell a good deal about rivers, towns and hills in the far north.</div>" for k in range(9))
+    return f"<html><body><div><a href=/a>Home</a> <a href=/b>News</a></div><div><div>{body}</div></div><div><a href=/c>Imprint</a></div></body></html>"
+
+
+def test_pages_without_marks_keep_their_text(spark):
+    pages = spark.createDataFrame([(i, "u", divs(i)) for i in range(60)], "page_id long, url string, html string")
+    found = html_text.extract(pages, html_text.train(pages)).collect()
+    assert all(f"Page {r.page_id} and sentence {k} tell" in r.text for r in found for k in range(9))
+    # nothing to learn from: nothing is lost
+    nothing = html_text.train(pages.where("page_id < 0"))
+    assert "sentence 8 tell" in html_text.extract_page(divs(1), nothing)
+
+
+@pytest.mark.parametrize("n_nodes", [1, 2, 5, 9, 12])
+def test_the_choice_is_the_most_likely_consistent_one(n_nodes):
+    draw = np.random.default_rng(n_nodes)
+    for _ in range(20):
+        page = html_text.Page("")
+        for i in range(1, n_nodes):
+            page._add("div", int(draw.integers(i)), frozenset(), 1)
+        p = np.clip(draw.random(n_nodes), 1e-4, 1 - 1e-4)
+        value = lambda keep: sum(np.log(p[i] if keep[i] else 1 - p[i]) for i in range(1, n_nodes))
+        consistent = lambda keep: all(not keep[i] or keep[page.nodes[i].parent] for i in range(1, n_nodes))
+        choices = ([True, *(bool(m >> i & 1) for i in range(n_nodes - 1))] for m in range(1 << (n_nodes - 1)))
+        found = page.decode(p)
+        assert consistent(found) and value(found) == pytest.approx(max(value(k) for k in choices if consistent(k)))
+
+
+def test_siblings_are_counted_whole():
+    page = html_text.Page("<div>" + "<p>a b c</p>" * 500 + "</div>")
+    x = page.features()
+    place, same = (x[:, html_text.FEATURES.index(f)] for f in ("sibling_place", "same_tags"))
+    assert place[2:] == pytest.approx(np.arange(500) / 500) and same[2:] == pytest.approx(np.log(501))
+
+
+HARD = {"open quotes": "<a \"", "open values": "<p title='", "closed values": "<p a='>", "inline": "<i>", "inline and blocks": "<i><p>",
+        "declarations": "<!", "less than": "<", "list": "<li>", "ends": "<b></i>", "cells": "<table><tr><td>"}
+
+
+@pytest.mark.parametrize("unit", HARD)
+def test_time_grows_in_line_with_broken_pages(unit):
+    def seconds(size):
+        source = HARD[unit] * (size // len(HARD[unit]))
+        begin = time.process_time()
+        page = html_text.Page(source)
+        page.split_runs()
+        page.features()
+        return time.process_time() - begin
+
+    assert seconds(800_000) < 12 * seconds(200_000) + 0.5
+
+
+def test_bounds_leave_out_pages_and_cut_none(spark):
+    pages = plain(spark, SF_DIR, "pages")
+    seen = []
+    fit, html_text.fit = html_text.fit, lambda examples: seen.append(examples) or fit(examples[:5])
+    try:
+        html_text.train(pages, rows=20, nodes=1500)
+    finally:
+        html_text.fit = fit
+    (found,) = seen
+    assert 0 < len(found) < 100 and sum(len(e.y) for e in found) <= 1500
+    sizes = {len(e.y) for r in pages.collect() for e in html_text.examples(r.html, 0)[:1]}
+    assert all(len(e.y) in sizes for e in found[:: 1 + html_text.LAYOUTS])
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<script>only()</script>", "<!-- c", "&amp", "<p", "</div></p>", "\x00<b>", "<div>" * 5000])
 def test_broken_pages_do_not_fail(trees, page):
     assert isinstance(html_text.extract_page(page, trees), str)
