@@ -11,8 +11,9 @@ import numpy as np
 
 WIDTH = HIDDEN = 16
 
-#: Steps over which the gradient runs back, and texts that are trained side by side.
-STEPS, TEXTS = 32, 64
+#: Steps over which the gradient runs back; streams that are trained side by side at most, and updates that a call
+#: makes at least, with fewer streams if need be.
+STEPS, STREAMS, UPDATES = 32, 512, 200
 
 #: Steps of a window in scoring; the state goes on to the next window.
 WINDOW = 64
@@ -22,9 +23,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _weights(h: np.ndarray, w: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logits h @ w + b; their exponentials, scaled by a factor a row; the logarithm of the exponentials' sum. A state
+    lies within -1 and 1, so that small weights need no scaling."""
+    logits = h @ w
+    logits += b
+    if np.abs(w).sum(0).max(initial=0) + np.abs(b).max(initial=0) < 80:
+        e = np.exp(logits)
+        return logits, e, np.log(e @ np.ones(e.shape[1], np.float32))
+    top = logits.max(1)
+    e = np.exp(logits - top[:, None])
+    return logits, e, np.log(e.sum(1)) + top
 
 
 class Model:
@@ -70,14 +79,14 @@ class Model:
         of = ids // self.members
         for at in range(0, len(ids), 1 << 15):
             some = slice(at, at + (1 << 15))
-            logs = _log_softmax(h[some] @ self.p["cw"] + self.p["cb"])
-            out[some] = logs[np.arange(len(logs)), of[some]]
+            logits, _, total = _weights(h[some], self.p["cw"], self.p["cb"])
+            out[some] = logits[np.arange(len(total)), of[some]] - total
         order = np.argsort(of, kind="stable")
         ends = np.searchsorted(of[order], np.arange(self.classes + 1))
         for c in np.flatnonzero(np.diff(ends)):
             some = order[ends[c] : ends[c + 1]]
-            logs = _log_softmax(h[some] @ self.p["mw"][c] + self.p["mb"][c])
-            out[some] += logs[np.arange(len(some)), ids[some] - c * self.members]
+            logits, _, total = _weights(h[some], self.p["mw"][c], self.p["mb"][c])
+            out[some] += logits[np.arange(len(some)), ids[some] - c * self.members] - total
         return out
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -108,27 +117,38 @@ class Model:
         out[order] = total / np.log(10)
         return out
 
-    def train(self, texts: list[np.ndarray], epochs: int = 1, rate: float = 0.1, seed: int = 1) -> int:
-        """Truncated backpropagation through time over the texts, TEXTS at a time; gives the number of tokens."""
-        squares = {k: np.full_like(q, 1e-4) for k, q in self.p.items()}
+    def memory(self) -> dict[str, np.ndarray]:
+        """Sums of squared gradients, which training goes on from."""
+        return {k: np.full_like(q, 1e-4) for k, q in self.p.items()}
+
+    def train(self, texts: list[np.ndarray], epochs: int = 1, rate: float = 0.1, seed: int = 1, squares: dict | None = None) -> int:
+        """Truncated backpropagation through time over all tokens of the texts; gives their number."""
+        squares = self.memory() if squares is None else squares
         draw, seen = np.random.default_rng(seed), 0
         for _ in range(epochs):
-            # texts are joined to TEXTS streams of equal length
+            # texts are joined to streams of equal length; what the last one lacks is filled up and has no weight
             order = draw.permutation(len(texts))
             flat = np.concatenate([texts[i] for i in order]) if len(texts) else np.zeros(0, np.int64)
-            first = np.zeros(len(flat), bool)
-            if len(flat):
-                first[np.concatenate([[0], np.cumsum([len(texts[i]) for i in order])[:-1]])] = True
-            rows = min(TEXTS, max(1, len(flat) // STEPS))
-            length = len(flat) // rows
-            stream, fresh = (x[: rows * length].reshape(rows, length) for x in (flat, first))
+            if not len(flat):
+                break
+            rows = int(min(STREAMS, max(1, len(flat) // (STEPS * UPDATES))))
+            length = -(-len(flat) // rows)
+            fill = rows * length - len(flat)
+            first = np.zeros(len(flat) + fill, bool)
+            first[np.concatenate([[0], np.cumsum([len(texts[i]) for i in order])[:-1]])[[len(texts[i]) > 0 for i in order]]] = True
+            weight = np.ones(len(flat) + fill, np.float32)
+            weight[len(flat) :] = 0
+            stream, fresh, weight = (x.reshape(rows, length) for x in (np.pad(flat, (0, fill)), first, weight))
             h = np.zeros((rows, HIDDEN), np.float32)
             for begin in range(0, length, STEPS):
-                h = self._window(stream[:, begin : begin + STEPS], fresh[:, begin : begin + STEPS], h, squares, rate)
-            seen += rows * length
+                some = slice(begin, begin + STEPS)
+                h = self._window(stream[:, some], fresh[:, some], h, squares, rate, weight[:, some])
+            seen += len(flat)
         return seen
 
-    def _window(self, ids: np.ndarray, fresh: np.ndarray, h: np.ndarray, squares: dict, rate: float) -> np.ndarray:
+    def _window(
+        self, ids: np.ndarray, fresh: np.ndarray, h: np.ndarray, squares: dict, rate: float, weight: np.ndarray
+    ) -> np.ndarray:
         """One update from a window; gives the state after it. A text's first token sees the zero state."""
         p = self.p
         rows, steps = ids.shape
@@ -144,18 +164,19 @@ class Model:
         n = rows * steps
         flat_h, flat_id = before.reshape(n, HIDDEN), ids.T.ravel()
         of = flat_id // self.members
-        d_class = np.exp(_log_softmax(flat_h @ p["cw"] + p["cb"]))
-        d_class[np.arange(n), of] -= 1
-        d_class /= rows
+        share = weight.T.ravel() / rows
+        _, d_class, _ = _weights(flat_h, p["cw"], p["cb"])
+        d_class *= (share / (d_class @ np.ones(self.classes, np.float32)))[:, None]
+        d_class[np.arange(n), of] -= share
         grad = {"cw": flat_h.T @ d_class, "cb": d_class.sum(0)}
         d_flat = d_class @ p["cw"].T
         order = np.argsort(of, kind="stable")
         ends = np.searchsorted(of[order], np.arange(self.classes + 1))
         for c in np.flatnonzero(np.diff(ends)):
             some = order[ends[c] : ends[c + 1]]
-            d = np.exp(_log_softmax(flat_h[some] @ p["mw"][c] + p["mb"][c]))
-            d[np.arange(len(some)), flat_id[some] - c * self.members] -= 1
-            d /= rows
+            _, d, _ = _weights(flat_h[some], p["mw"][c], p["mb"][c])
+            d *= (share[some] / (d @ np.ones(self.members, np.float32)))[:, None]
+            d[np.arange(len(some)), flat_id[some] - c * self.members] -= share[some]
             d_flat[some] += d @ p["mw"][c].T
             for k, g in (("mw", flat_h[some].T @ d), ("mb", d.sum(0))):
                 squares[k][c] += g**2
@@ -177,8 +198,8 @@ class Model:
         flat_x = d_x.reshape(n, -1)
         grad["w"], grad["b"] = e.reshape(n, -1).T @ flat_x, flat_x.sum(0)
         touched, slot = np.unique(ids.ravel(), return_inverse=True)
-        d_e = np.zeros((len(touched), WIDTH), np.float32)
-        np.add.at(d_e, slot, flat_x @ p["w"].T)
+        cell = (slot.ravel()[:, None] * WIDTH + np.arange(WIDTH)).ravel()
+        d_e = np.bincount(cell, (flat_x @ p["w"].T).ravel(), len(touched) * WIDTH).reshape(-1, WIDTH).astype(np.float32)
         squares["e"][touched] += d_e**2
         p["e"][touched] -= rate * d_e / np.sqrt(squares["e"][touched])
         for k, g in grad.items():

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +21,10 @@ from parcelspark.llm.recurrent_lm import Model
 #: The end of a document among the words; no word can be this.
 END = b"\n"
 
-#: Words with an id of their own in the model.
-VOCABULARY = 2000
+#: Words with an id of their own in the model: 90 times the fifth root of the training tokens, as other words appear
+#: ever more slowly.
+def own_ids(tokens: int) -> int:
+    return int(90 * tokens**0.2)
 
 #: Ids that all other words share.
 SHARED = 16
@@ -29,11 +32,10 @@ SHARED = 16
 #: The most frequent words, whose counts every task holds; the counts of all others come by a join.
 KNOWN_TO_ALL = 200_000
 
-#: Tokens that the model is trained on in a round, about: a fixed number and a share of the training tokens.
-FIT_TOKENS, FIT_SHARE = 1_500_000, 1 / 64
-ROUNDS = 2
+#: Tokens of the documents that give all tasks a common start, about; then each trains on all of its own.
+START_TOKENS = 1_500_000
 
-#: Tokens that a task scores at once.
+#: Tokens that a task trains on, or scores, at once.
 AT_ONCE = 3_000_000
 
 
@@ -47,18 +49,33 @@ def shared_id(word: bytes) -> int:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """counts: of the most frequent words; ids: of the words with an id of their own; tokens and words: totals;
-    behind: log10 of (tokens + words + 1) for each shared id, and of the whole corpus."""
+    """place: of the most frequent words, the first `own` of which are ids of their own; counts: of these words;
+    tokens and words: totals; behind: log10 of (tokens + words + 1) for each shared id, and of the whole corpus."""
 
-    counts: dict[bytes, int]
-    ids: dict[bytes, int]
+    place: dict[bytes, int]
+    counts: np.ndarray
+    own: int
     tokens: int
     words: int
     behind: list[float]
 
-    def id_of(self, word: bytes) -> int:
-        own = self.ids.get(word)
-        return len(self.ids) + shared_id(word) if own is None else own
+    def size(self) -> int:
+        return self.own + SHARED
+
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """Place of each word, -1 for one that is not among the most frequent."""
+        return np.fromiter(map(self.place.get, words, repeat(-1)), np.int32, len(words))
+
+    def id_of_place(self) -> np.ndarray:
+        """The model's id of each of the most frequent words."""
+        return np.array([i if i < self.own else self.own + shared_id(w) for w, i in self.place.items()], np.int32)
+
+    def ids(self, words: list[bytes], places: np.ndarray, of_place: np.ndarray) -> np.ndarray:
+        """The model's ids of words with these places."""
+        out = of_place[places] if len(of_place) else np.zeros(len(words), np.int32)
+        for i in np.flatnonzero(places < 0).tolist():
+            out[i] = self.own + shared_id(words[i])
+        return out
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -94,54 +111,50 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     common = counts.where(bins >= least).collect() if least is not None else []
     common.sort(key=lambda r: (-r["c"], bytes(r["word"])))
     known = {bytes(r["word"]): r["c"] for r in common}
-    own = list(known)[:VOCABULARY]
     of = F.pmod(F.crc32(F.expr("substring(word, -2)")), F.lit(SHARED)).cast("int").alias("of")
-    apart = F.col("word").isin([F.lit(w) for w in own]) if own else F.lit(False)
-    rows = counts.groupBy(of).agg(
-        F.sum("c").alias("c"), F.count(F.lit(1)).alias("v"),
-        F.sum(F.when(apart, 0).otherwise(F.col("c"))).alias("cs"), F.sum(F.when(apart, 0).otherwise(1)).alias("vs"),
-    ).collect()
+    rows = counts.groupBy(of).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()
     tokens, words = sum(r["c"] for r in rows), sum(r["v"] for r in rows)
+    own = list(known)[: own_ids(tokens)]
     behind = [0.0] * (SHARED + 1)
-    for r in rows:
-        behind[r["of"]] = math.log10(r["cs"] + r["vs"] + 1)
+    for r in rows:  # less the words with an id of their own, which are known here
+        mine = [known[w] for w in own if shared_id(w) == r["of"]]
+        behind[r["of"]] = math.log10(r["c"] - sum(mine) + r["v"] - len(mine) + 1)
     behind[SHARED] = math.log10(tokens + words + 1)
-    return Vocabulary(known, {w: i for i, w in enumerate(own)}, tokens, words, behind)
-
-
-def _ids(text: str | None, known: Vocabulary) -> np.ndarray:
-    words = [*lower_words(text), END]
-    return np.fromiter(map(known.id_of, words), np.int64, len(words))
+    return Vocabulary({w: i for i, w in enumerate(known)}, np.array(list(known.values()), np.int64), len(own), tokens, words, behind)
 
 
-def train(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> Model:
-    """Train the model on a share of the training documents, by their hash.
+def train(docs: DataFrame, known: Vocabulary) -> Model:
+    """Train the model on all training documents, once, at any size of the corpus.
 
-    In a round every task goes on from the model of the round before with its own documents; the models are averaged
-    by tokens, in two steps, and only the one average goes to the driver. The share falls to FIT_SHARE as the corpus
-    grows; small corpora are used whole, several times over.
+    Training in parallel needs a common start: documents with about START_TOKENS tokens, those of the lowest hashes,
+    give it in a first round. In the second every task goes on from there with all documents of its own. After a
+    round the tasks' models are averaged by tokens, in two steps, and only the one average goes to the driver.
     """
-    model = Model(len(known.ids) + SHARED)
-    share = min(1.0, (FIT_TOKENS + FIT_SHARE * known.tokens) / max(1, known.tokens))
-    epochs = int(min(4, max(1, FIT_TOKENS // max(1, known.tokens))))
-    chosen = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(share * (1 << 20))
-    sample = docs.where(is_training(F.col("doc_id")) & chosen).select("text")
+    model = Model(known.size())
+    training = docs.where(is_training(F.col("doc_id")))
+    share = min(1.0, START_TOKENS / max(1, known.tokens))
+    lowest = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))
+    # few tasks for the start, as it is small
+    rounds = [(training.where(lowest).select("text").coalesce(8), 0.1), (training.select("text"), 0.1)]
     vocabulary_ = docs.sparkSession.sparkContext.broadcast(known)
-    for i in range(rounds):
+    for sample, rate in rounds:
         start = model.pack()
 
-        def run(batches: Iterator[pa.RecordBatch], start: bytes = start, i: int = i) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], start: bytes = start, rate: float = rate) -> Iterator[pa.RecordBatch]:
             known = vocabulary_.value
-            mine = Model(len(known.ids) + SHARED).unpack(start)
-            tokens = 0
+            of_place = known.id_of_place()
+            mine = Model(known.size()).unpack(start)
+            squares, tokens, texts, size = mine.memory(), 0, [], 0
             for batch in batches:
-                texts, size = [], 0
-                for k, text in enumerate(batch.column(0)):
-                    texts.append(_ids(text.as_py(), known))
-                    size += len(texts[-1])
-                    if size > 1_000_000 or k + 1 == len(batch):
-                        tokens += mine.train(texts, epochs, 0.1 / (1 + i))
+                for text in batch.column(0):
+                    words = [*lower_words(text.as_py()), END]
+                    texts.append(known.ids(words, known.places(words), of_place))
+                    size += len(words)
+                    if size > AT_ONCE:
+                        tokens += mine.train(texts, rate=rate, squares=squares)
                         texts, size = [], 0
+            if texts:
+                tokens += mine.train(texts, rate=rate, squares=squares)
             if tokens:
                 task = TaskContext.get().partitionId()
                 yield pa.RecordBatch.from_arrays(
@@ -170,7 +183,7 @@ def _rare(docs: DataFrame, known) -> DataFrame:
     """(h, g, word, n): words of each text whose counts tasks do not hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = known.value.counts
+        counts = known.value.place
         for batch in batches:
             h, g = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for at in range(0, len(batch), 500):
@@ -198,30 +211,30 @@ def _common(docs: DataFrame, known, model) -> DataFrame:
     words (all, and those that share an id), the shared ids' terms, and the model's score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, m = known.value, Model(len(known.value.ids) + SHARED).unpack(model.value)
-        own = len(v.ids)
-        log = {w: math.log10(c + 1) for w, c in v.counts.items()}
+        v, m = known.value, Model(known.value.size()).unpack(model.value)
+        own, of_place = v.own, v.id_of_place()
+        log = np.append(np.log10(v.counts + 1.0), 0.0)  # the last for a word that is not held
+        behind = np.append(np.zeros(own), v.behind[:SHARED])
         keys: list[pa.RecordBatch] = []
         texts, rows, size = [], [], 0
 
         def flush() -> pa.RecordBatch:
             columns = [pa.concat_arrays([k.column(i) for k in keys]) for i in range(3)]
             held_out = [remainder(d, 7) == 2 for d in columns[0].to_pylist()]
-            n, k, all_logs, shared_logs, behind = zip(*rows)
+            n, k, all_logs, shared_logs, behind_logs = zip(*rows)
             columns += [pa.array(held_out, pa.bool_()), pa.array(n, pa.int64()), pa.array(k, pa.int64())]
-            columns += [pa.array(x, pa.float64()) for x in (all_logs, shared_logs, behind)] + [pa.array(m.score(texts))]
+            columns += [pa.array(x, pa.float64()) for x in (all_logs, shared_logs, behind_logs)] + [pa.array(m.score(texts))]
             return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in batches:
             keys.append(batch.select(["doc_id", "h", "g"]))
             for text in batch.column("text"):
                 words = [*lower_words(text.as_py()), END]
-                logs = [log[w] for w in words if w in log]
-                ids = np.fromiter(map(v.id_of, words), np.int32, len(words))
-                shared = ids[ids >= own] - own
-                first = [log[w] for w in words if w in log and w not in v.ids] if len(shared) else []
-                behind = float(np.dot(np.bincount(shared, minlength=SHARED), v.behind[:SHARED]))
-                rows.append((len(words), len(logs), math.fsum(logs), math.fsum(first), behind))
+                places = v.places(words)
+                ids = v.ids(words, places, of_place)
+                logs = log[places]
+                shared = float(logs[places >= own].sum())
+                rows.append((len(words), int((places >= 0).sum()), float(logs.sum()), shared, float(behind[ids].sum())))
                 texts.append(ids)
                 size += len(words)
             if size > AT_ONCE:  # many texts side by side keep the long ones cheap

@@ -83,6 +83,76 @@ def test_the_state_is_carried_over_windows():
     assert tail(other) != pytest.approx(tail(text), abs=1e-7)
 
 
+def test_a_score_equals_a_loop_over_one_state():
+    """Token by token: gates, class and member softmax, state carried on; as the model is described."""
+    model = recurrent_lm.Model(40, seed=3)
+    p, size, h = {k: v.astype(float) for k, v in model.p.items()}, model.members, recurrent_lm.HIDDEN
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    draw = np.random.default_rng(5)
+    for n in (1, 2, 63, 64, 65, 200):
+        text, state, total = draw.integers(0, 40, n), np.zeros(h), 0.0
+        for i in text:
+            classes, members = state @ p["cw"] + p["cb"], state @ p["mw"][i // size] + p["mb"][i // size]
+            total += classes[i // size] - np.log(np.exp(classes).sum()) + members[i % size] - np.log(np.exp(members).sum())
+            x, past = p["e"][i] @ p["w"] + p["b"], state @ p["u"]
+            z, r = sigmoid(x[:h] + past[:h]), sigmoid(x[h : 2 * h] + past[h : 2 * h])
+            state = state + z * (np.tanh(x[2 * h :] + r * past[2 * h :]) - state)
+        assert model.score([text])[0] == pytest.approx(total / np.log(10), rel=1e-4)
+
+
+def test_large_weights_do_not_overflow():
+    model = recurrent_lm.Model(20)
+    text = np.arange(20)
+    model.p["cb"][:] = 50 * np.arange(len(model.p["cb"]))
+    model.p["mb"][:-1] += 90 * np.arange(model.members)
+    assert np.isfinite(model.score([text])).all()
+    model.train([text] * 5)
+    assert np.isfinite(model.score([text])).all()
+
+
+def test_no_token_is_left_out_of_training():
+    """Every token of every text is a target and, but for the last, an input of some window, and filling is none."""
+    for n in (1, 2, 31, 33, 1000, 20_001):
+        model = recurrent_lm.Model(30)
+        draw = np.random.default_rng(n)
+        texts = [draw.integers(0, 30, n), np.array([], int), np.array([3, 4])]
+        seen = np.zeros(30, int)
+        window = model._window
+
+        def watched(ids, fresh, h, squares, rate, weight):
+            np.add.at(seen, ids[weight > 0], 1)
+            return window(ids, fresh, h, squares, rate, weight)
+
+        model._window = watched
+        assert model.train(texts) == n + 2
+        assert (seen == np.bincount(np.concatenate(texts).astype(int), minlength=30)).all()
+    model = recurrent_lm.Model(30)
+    before = model.pack()
+    still = np.zeros((1, recurrent_lm.HIDDEN), np.float32)
+    model._window(np.arange(20)[None, :], np.eye(1, 20, dtype=bool), still, model.memory(), 0.1, np.zeros((1, 20), np.float32))
+    assert model.pack() == before
+
+
+def test_all_training_documents_are_trained_on_at_every_size(spark, monkeypatch):
+    docs = plain(spark, SF_DIR)
+    rows = [len(lower(r.text).split()) + 1 for r in docs.collect() if not held_out(r.doc_id)]
+    for start in (1000, 10_000_000):
+        monkeypatch.setattr(scoring, "START_TOKENS", start)
+        seen = []
+        known = scoring.vocabulary(scoring.word_counts(docs).cache())
+        taken, scoring.checkpoint = scoring.checkpoint, lambda df: (seen.append(out := taken(df)), out)[1]
+        try:
+            scoring.train(docs, known)
+        finally:
+            scoring.checkpoint = taken
+        assert seen[1].agg({"weight": "sum"}).first()[0] == pytest.approx(known.tokens)
+        assert known.tokens == pytest.approx(sum(rows), rel=0.01)
+
+
+def test_the_vocabulary_grows_with_the_corpus():
+    assert scoring.own_ids(10**6) < scoring.own_ids(10**8) < scoring.own_ids(10**10) < 20_000
+
+
 def test_training_learns_what_follows_what():
     text = np.array([0, 1, 2, 3, 4] * 400)
     model = recurrent_lm.Model(30)
