@@ -102,7 +102,7 @@ def features(words: list[bytes]) -> Hashed:
         first = np.repeat(starts, many) + inside
         out[np.repeat(filled, many) + inside] = buckets.at(first, first + g)
         filled = filled + many
-    return Hashed((out % np.uint64(BUCKETS)).astype(np.int64), begin)
+    return Hashed((out % np.uint64(BUCKETS)).astype(np.int32), begin)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -141,6 +141,12 @@ class Network:
         gates = np.matmul(x, self.p["win"]) + self.p["bin"]
         return np.concatenate([gates[0], gates[1], (x @ self.p["ax"])[:, None], (x @ self.p["vx"])[:, None]], 1)
 
+    def projected(self, words: Hashed) -> np.ndarray:
+        """What the window pass needs of words, a few thousand at a time: their n-grams take more room than they do."""
+        n = len(words.starts)
+        parts = [self.project(self.inputs(words.take(np.arange(i, min(i + 8192, n))))) for i in range(0, n, 8192)]
+        return np.concatenate([np.zeros((0, 6 * HIDDEN + 2), np.float32), *parts])
+
     def forward(self, words: np.ndarray, at: np.ndarray, mask: np.ndarray, keep: bool = False):
         """Logit of each window. words: projected words; at (windows x WINDOW): their rows; mask: where a word is."""
         n, steps, h3 = len(at), at.shape[1], 3 * HIDDEN
@@ -239,7 +245,13 @@ class Vocabulary:
     def take_new(self) -> Hashed:
         """Hashed inputs of the words added since the last call."""
         new, self.new = self.new, []
-        return features(new) if new else Hashed(np.zeros(0, np.int64), np.zeros(0, np.int64))
+        parts = [features(new[i : i + 8192]) for i in range(0, len(new), 8192)]
+        before = np.cumsum([0, *(len(p.ids) for p in parts)])
+        none = np.zeros(0, np.int64)
+        return Hashed(
+            np.concatenate([none.astype(np.int32), *(p.ids for p in parts)]),
+            np.concatenate([none, *(p.starts + n for p, n in zip(parts, before))]),
+        )
 
 
 def train_network(texts: list[list[bytes]], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 1) -> Network:
@@ -262,7 +274,7 @@ def train_network(texts: list[list[bytes]], labels: np.ndarray, epochs: int = EP
     ids = vocabulary.take_new()
     squares = {k: np.full_like(q, 1e-6) for k, q in net.p.items()}
     for epoch in range(epochs):
-        words = net.project(net.inputs(ids))
+        words = net.projected(ids)
         logit = draw.standard_normal(len(at)) if epoch == 0 else np.concatenate(
             [net.forward(words, at[i : i + 2048], mask[i : i + 2048]) for i in range(0, len(at), 2048)]
         )
@@ -344,10 +356,7 @@ class Scorer:
 
     def _project(self) -> None:
         """Projected inputs for the words that are new."""
-        new = self.vocabulary.take_new()
-        n = len(new.starts)
-        parts = [self.net.project(self.net.inputs(new.take(np.arange(i, min(i + 8192, n))))) for i in range(0, n, 8192)]
-        self.words = np.concatenate([self.words, *parts])
+        self.words = np.concatenate([self.words, self.net.projected(self.vocabulary.take_new())])
 
     def scores(self, texts: list[list[bytes]]) -> np.ndarray:
         """Score of each text: that of its most toxic window; texts without words get what an empty window gets."""
