@@ -93,7 +93,16 @@ def _hashed(vectors: DataFrame, probes: int) -> DataFrame:
                             moved[np.arange(len(moved)), border % FUNCTIONS] += np.where(border < FUNCTIONS, -1, 1)
                         yield pa.RecordBatch.from_arrays([pa.array(_named(moved, table)), node, vec], ["bucket", "node", "vec"])
 
-    return vectors.mapInArrow(run, "bucket long, node long, vec array<float>")
+    return vectors.mapInArrow(run, "bucket long, node long, vec array<double>")
+
+
+def _best(rough: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the `keep` largest of each row, and of all that rounding may hide among them: whatever is
+    within 1e-9 of the last of these."""
+    if rough.shape[1] <= keep:
+        return np.divmod(np.arange(rough.size), rough.shape[1])
+    last = -np.partition(-rough, keep - 1, axis=1)[:, keep - 1]
+    return np.nonzero(rough >= last[:, None] - 1e-9)
 
 
 def _compare(probes: DataFrame, index: DataFrame, keep: int) -> DataFrame:
@@ -129,15 +138,19 @@ def _compare(probes: DataFrame, index: DataFrame, keep: int) -> DataFrame:
                 for i in range(0, len(q), 512):
                     some = q[i : i + 512]
                     rough = (some / q_norm[i : i + 512, None]) @ (v / v_norm[:, None]).T
-                    n = min(keep + 8, len(v))
-                    best = np.argpartition(-rough, n - 1, axis=1)[:, :n]
+                    row, column = _best(rough, keep)
                     # each pair's score is the same wherever it is computed
-                    exact = (some[:, None, :] * v[best]).sum(-1) / (q_norm[i : i + 512, None] * v_norm[best])
-                    order = np.lexsort((v_node[at][best], -exact), axis=1)[:, :keep]
-                    best, exact = np.take_along_axis(best, order, 1), np.take_along_axis(exact, order, 1)
-                    parts[0].append(np.repeat(q_node[rows[i : i + 512]], best.shape[1]))
-                    parts[1].append(v_node[at][best].ravel())
-                    parts[2].append(exact.ravel())
+                    exact = np.concatenate([
+                        np.einsum("ij,ij->i", some[row[j : j + 65536]], v[column[j : j + 65536]])
+                        for j in range(0, len(row), 65536)
+                    ]) / (q_norm[i + row] * v_norm[column])
+                    order = np.lexsort((v_node[at][column], -exact, row))
+                    row, column, exact = row[order], column[order], exact[order]
+                    first = np.searchsorted(row, np.arange(len(some)))
+                    ahead = np.arange(len(row)) - first[row] < keep
+                    parts[0].append(q_node[rows[i + row[ahead]]])
+                    parts[1].append(v_node[at][column[ahead]])
+                    parts[2].append(exact[ahead])
         columns = [np.concatenate(p) if p else np.zeros(0) for p in parts]
         return pa.table({"query": columns[0].astype(np.int64), "node": columns[1].astype(np.int64), "score": columns[2].astype(np.float64)})
 
@@ -153,43 +166,45 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, probes: int = PROBES
     divisible by `every`, by cosine in double precision, ties to the smaller id.
 
     Rows without an id, and vectors that are null, empty, all zero, or hold a null, NaN or infinity take no part;
-    vectors of different lengths are never neighbours. An id that repeats counts once, with the least of its vectors.
-    Equal vectors are one node in the index, with their smallest ids, so that a vector that very many rows share is
+    vectors of different lengths are never neighbours. Rows that repeat an id are rows of their own, as queries and as
+    candidates: a query leaves out its own row only. Equal vectors are one node in the index, with their smallest ids, so that a vector that very many rows share is
     compared once. A query for which the tables give fewer than k rows is compared with all vectors, in blocks. Other
     columns are ignored; an empty table gives an empty table.
     """
-    floats = F.col("embedding").cast("array<float>")
+    floats = F.col("embedding").cast("array<double>")
     fine = F.size("vec") > 0
     fine &= ~F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("vec", lambda x: x != 0)
     rows = vectors.where("vec_id is not null").select(F.col("vec_id").cast("long"), floats.alias("vec")).where(fine)
-    rows = rows.groupBy("vec_id").agg(F.min("vec").alias("vec"))
-    named = checkpoint(rows.select("vec_id", "vec", F.xxhash64("vec").alias("h"), F.hash("vec").alias("g")))
+    named = rows.select("vec_id", "vec", F.xxhash64("vec").alias("h"), F.hash("vec").alias("g"))
+    # the checkpoint fixes where a row lies; numbers of rows rise with their ids, so that ties of nodes go to the smaller id
+    named = checkpoint(named.repartitionByRange("vec_id", "h").sortWithinPartitions("vec_id", "h"))
+    named = named.withColumn("row", F.monotonically_increasing_id()).withColumn("id", F.struct("vec_id", "row"))
     # the smallest ids of each distinct vector, in two steps, so that no list holds all ids of a common one
     some_ids = lambda c: F.slice(F.array_sort(c), 1, k + 1)
-    parts = named.groupBy("h", "g", F.pmod(F.xxhash64("vec_id"), F.lit(256)).alias("salt")).agg(
-        F.min("vec").alias("vec"), some_ids(F.collect_list("vec_id")).alias("ids")
+    parts = named.groupBy("h", "g", F.pmod(F.xxhash64("row"), F.lit(256)).alias("salt")).agg(
+        F.min("vec").alias("vec"), some_ids(F.collect_list("id")).alias("ids")
     )
     nodes = parts.groupBy("h", "g").agg(F.min("vec").alias("vec"), some_ids(F.flatten(F.collect_list("ids"))).alias("ids"))
-    nodes = checkpoint(nodes.select("h", "g", F.col("ids")[0].alias("node"), "vec", "ids"))
-    asked = named.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "h", "g")
-    asked = checkpoint(asked.join(nodes.select("h", "g", F.col("node").alias("query")), ["h", "g"]).select("query_id", "query"))
+    nodes = checkpoint(nodes.select("h", "g", F.col("ids")[0]["row"].alias("node"), "vec", "ids"))
+    asked = named.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("row").alias("query_row"), "h", "g")
+    asked = checkpoint(asked.join(nodes.select("h", "g", F.col("node").alias("query")), ["h", "g"]).select("query_id", "query_row", "query"))
     distinct = asked.select(F.col("query").alias("node")).distinct()
     all_vectors = nodes.select("node", "vec")
     ask_vectors = all_vectors.join(distinct, "node", "left_semi")
 
     def expand(found: DataFrame, queries: DataFrame) -> DataFrame:
-        ids = found.join(nodes.select("node", "ids"), "node").select("query", "score", F.explode("ids").alias("vec_id"))
-        pairs = queries.join(ids, "query").where("vec_id <> query_id")
-        order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+        ids = found.join(nodes.select("node", "ids"), "node").select("query", "score", F.explode("ids").alias("id"))
+        pairs = queries.join(ids, "query").where("id.row <> query_row").withColumn("vec_id", F.col("id.vec_id"))
+        order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "id")
         return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
     columns = ["query_id", "rank", "vec_id", "score"]
-    found = checkpoint(expand(_compare(_hashed(ask_vectors, probes), _hashed(all_vectors, 1), k + 1), asked).select(columns))
-    counts = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
-    few = checkpoint(asked.join(counts, "query_id", "left_anti"))
+    found = checkpoint(expand(_compare(_hashed(ask_vectors, probes), _hashed(all_vectors, 1), k + 1), asked).select("query_row", *columns))
+    counts = found.groupBy("query_row").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+    few = checkpoint(asked.join(counts, "query_row", "left_anti"))
     if few.isEmpty():
-        return found
+        return found.select(columns)
     one = F.lit(0).cast("long").alias("bucket")
     rest = all_vectors.join(few.select(F.col("query").alias("node")).distinct(), "node", "left_semi")
     again = expand(_compare(rest.select(one, "node", "vec"), all_vectors.select(one, "node", "vec"), k + 1), few)
-    return found.join(few, "query_id", "left_anti").select(columns).union(again.select(columns))
+    return found.join(few, "query_row", "left_anti").select(columns).union(again.select(columns))

@@ -42,13 +42,41 @@ def test_awkward_vectors(spark):
     for r in sorted(neighbours.search(table).collect(), key=lambda r: (r.query_id, r["rank"])):
         found.setdefault(r.query_id, []).append((r.vec_id, r.score))
     assert set(found) == {0, 50, 100}  # 450 has no candidate of its length
-    fine = [r for r in rows[:120]]
+    fine = [*rows[:120], rows[3]]  # the row that repeats is a candidate of its own
     for query, of in found.items():
         want = nearest([r[0] for r in fine], [r[1] for r in fine], query)
         assert [i for i, _ in of] == [i for i, _ in want]  # many ties: the smaller ids
         assert np.allclose([s for _, s in of], [s for _, s in want], atol=1e-12)
 
 
+def test_a_repeated_id_is_two_candidates(spark):
+    """The contract: every row but the query's own."""
+    rows = [(0, [1.0, 0.0, 0.0]), (7, [0.0, 1.0, 0.0]), (7, [1.0, 0.01, 0.0]), (9, [0.9, 0.1, 0.4]), (0, [1.0, 0.02, 0.0])]
+    found = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert len(found) == 8 and {r.query_id for r in found} == {0}
+    best = sorted((r for r in found if r["rank"] == 1), key=lambda r: r.score)
+    assert [r.vec_id for r in best] == [7, 7]
+    assert any(r.vec_id == 0 and r.score > 0.999 for r in found)
+
+
+def test_more_ties_than_are_kept_go_to_the_smaller_ids(spark):
+    """Different vectors of one cosine, many more than fit: by sign patterns around an axis."""
+    rows = [(100 + i, [3.0, *(1.0 if i >> b & 1 else -1.0 for b in range(6))]) for i in range(64)]
+    rows = [(i, v) for i, v in rows[::-1] if i % 50] + [(50, [1.0] + [0.0] * 6)]
+    found = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    of = sorted((r["rank"], r.vec_id) for r in found if r.query_id == 50)
+    assert [i for _, i in of] == [101, 102, 103, 104, 105]
+
+
+def test_scores_are_double_on_the_vectors_as_given(spark):
+    draw = np.random.default_rng(2)
+    x = draw.standard_normal((40, 9))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    for r in neighbours.search(table).collect():
+        q, v = x[r.query_id], x[r.vec_id]
+        assert abs(r.score - q @ v / (np.linalg.norm(q) * np.linalg.norm(v))) < 1e-15
+
+
 def test_few_candidates_give_all_and_empty_tables_none(spark):
     schema = "vec_id long, embedding array<float>"
     table = spark.createDataFrame([(0, [1.0, 0.0]), (1, [-1.0, 0.1]), (2, [0.0, 1.0])], schema)
