@@ -25,15 +25,27 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder of the session, spark.checkpoint.dir; only where none is set (tests on one machine) a
-    temporary one is made."""
+    """The shared folder of the session, spark.checkpoint.dir. Where none is set a temporary one is made on a local
+    master; a cluster, whose machines do not share one, raises an error."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="parcelspark-"))
     return context.getCheckpointDir()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def has_words(text: Column) -> Column:
+    return text.rlike(r"[^\x20\x09-\x0D]")
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and go on from there; shuffle files that led to it are removed."""
     spark = df.sparkSession

@@ -34,8 +34,8 @@ PORTION = 1 << 19
 #: Length of the stretches whose state maps are composed.
 STRETCH = 128
 
-#: Pre-tokens whose counts a task keeps at most; then it starts again with none.
-MEMO = 500_000
+#: Pre-tokens whose counts a task keeps at most, and states of the inner machine; then it starts again with none.
+MEMO, STATES = 500_000, 100_000
 
 LETTER, NUMBER, OTHER, SHORT, LONG, BLANK, LAST_SPACE, LAST_BLANK, BREAK = range(9)
 FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHERS, IN_BLANKS, AFTER_SPACE, ONE_MORE, TWO_MORE = range(8)
@@ -151,12 +151,22 @@ class Bpe:
         self.vocabulary, self.ranks = vocabulary, ranks
         self.heads = {t[:i] for t in vocabulary for i in range(1, len(t))}
         self.longest = max(map(len, vocabulary))
+        self._start()
+
+    def _start(self) -> None:
         self.fits: dict[tuple[bytes, bytes], bool] = {}
         self.states: list[tuple] = []
         self.steps: list[dict[int, tuple[int, int]]] = []
         self.index: dict[tuple, int] = {}
         self._state((b"", ((0, None, 0),)))
 
+    def forget(self, state: int) -> int:
+        """Drop what has been compiled, which is compiled again when it is needed; gives the number that the state
+        has from now on."""
+        key = self.states[state]
+        self._start()
+        return self._state(key)
+
     def _state(self, key: tuple) -> int:
         if key not in self.index:
             self.index[key] = len(self.states)
@@ -201,7 +211,13 @@ class Bpe:
         """(state after the bytes, change of the count of tokens)."""
         total, steps = 0, self.steps
         for byte in data:
-            state, change = steps[state].get(byte) or self.compile(state, byte)
+            step = steps[state].get(byte)
+            if step is None:
+                if len(steps) >= STATES:
+                    state = self.forget(state)
+                    steps = self.steps
+                step = self.compile(state, byte)
+            state, change = step
             total += change
         return state, total
 

@@ -5,11 +5,13 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from parcelspark.llm import packing, quality, simhash
-from tests.llm.data import SF_DIR, documents, plain
+from parcelspark.llm.common import scratch_folder
+from tests.llm.data import PASSAGE, SF_DIR, documents, plain, word_list
 from tests.llm.test_repeats import removed_of
 
 OPERATORS = ["op1_simhash_near_dedup", "op2_toxicity", "op3_token_counts", "op4_best_fit_packing", "op5_lm_scores",
-             "op6_html_extraction", "op7_quality_rules", "op8_nearest_neighbours", "op9_mix_sources", "op10_suffix_array_dedup"]
+             "op6_html_extraction", "op7_quality_rules", "op8_nearest_neighbours", "op9_mix_sources", "op10_suffix_array_dedup",
+             "op11_warc", "op12_hard_negatives", "op13_importance_resampling"]
 STAGES = dict(corpus_pipeline.STAGES)
 
 
@@ -20,9 +22,9 @@ def test_all_are_registered():
 
 @pytest.mark.parametrize("name", OPERATORS)
 def test_queries_run_over_the_sample(spark, name):
-    rows = {"op6_html_extraction": 50, "op8_nearest_neighbours": 50}.get(name, 200)
-    found = entry.queries()[name](spark, SF_DIR)
-    assert found.count() >= rows if name == "op4_best_fit_packing" else found.count() == rows
+    rows = {"op6_html_extraction": 50, "op8_nearest_neighbours": 50, "op11_warc": 50, "op12_hard_negatives": 1}.get(name, 200)
+    found = entry.queries()[name](spark, SF_DIR).count()
+    assert found >= rows if name in ("op4_best_fit_packing", "op12_hard_negatives") else found == rows
 
 
 @pytest.mark.parametrize("name", [n for n in STAGES if n != "best_fit_packing"])
@@ -55,11 +57,43 @@ def test_repeated_strings_leave_the_texts(spark):
     want = {}
     for r, d, f in zip(rows, data, flags):
         text = bytes(b for b, x in zip(d, f) if not x).decode("utf-8", "ignore")
-        if not sum(f) or text.strip(" "):
+        if not sum(f) or word_list(text):
             want[r.doc_id] = (text, len(text))
     assert {r.doc_id: (r.text, r.n_chars) for r in STAGES["suffix_array_dedup"](spark, docs, SF_DIR).collect()} == want
 
 
+def test_a_text_of_which_only_blanks_are_left_goes(spark):
+    long = (PASSAGE + " ") * 2
+    docs = spark.createDataFrame([(0, long), (1, "\n" + long), (2, "own words " + long), (3, "\n")], "doc_id long, text string")
+    kept = {r.doc_id: r.text for r in STAGES["suffix_array_dedup"](spark, docs, SF_DIR).collect()}
+    assert set(kept) == {2, 3} and kept[2].startswith("own words")
+
+
+def test_stages_that_are_done_with_leave_nothing_behind(spark):
+    import os
+
+    folder = scratch_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    corpus_pipeline.run(spark, SF_DIR).count()
+    (made,) = [f for f in set(os.listdir(folder)) - before if f.startswith("pipeline-")]
+    assert os.listdir(f"{folder}/{made}") == ["4-best_fit_packing"]
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(Session())
+
+
 def test_run_equals_its_stages_one_after_another(spark):
     docs = plain(spark, SF_DIR)
     for name, stage in corpus_pipeline.STAGES[:-1]:

@@ -62,3 +62,19 @@ def test_an_empty_table_gives_an_empty_table(spark):
 
 def test_counts_have_the_declared_type(counter):
     assert counter.counts(["a"]).dtype == np.int64 and len(counter.counts([])) == 0
+
+
+def test_what_a_long_lived_worker_holds_is_bounded(library, monkeypatch):
+    """Words that never come again, and one word without an end: states are dropped, counts stay right."""
+    monkeypatch.setattr(tokens, "STATES", 2000)
+    monkeypatch.setattr(tokens, "MEMO", 500)
+    text = open(PATH, encoding="utf-8").read()
+    counter = tokens.Counter(text, tokens.character_classes(text))
+    draw = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    word = lambda n: "".join(draw.choice(letters, n))
+    texts = [" ".join(word(int(draw.integers(3, 12))) for _ in range(3000)), word(30_000), "and the end of it"]
+    monkeypatch.setattr(tokens, "PORTION", 7000)
+    assert counter.counts(texts).tolist() == [expected(library, t) for t in texts]
+    assert len(counter.bpe.states) <= 2001 and len(counter.bpe.index) <= 2001 and len(counter.memo) <= 500
+    assert len(counter.bpe.fits) < 20_000
