@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelspark.llm import mixing, packing, quality, repeats, simhash
-from parcelspark.llm.common import read, scratch_folder
+from parcelspark.llm.common import has_words, read, remove, scratch_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """
     found = repeats.remove_repeats(docs, length=200, as_text=True)
     text = F.when(F.col("_n_removed") == 0, F.col("text")).otherwise(F.col("_kept"))
-    kept = found.withColumn("text", text).where((F.col("_n_removed") == 0) | (F.trim("text") != ""))
+    kept = found.withColumn("text", text).where((F.col("_n_removed") == 0) | has_words(F.col("text")))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(*docs.columns)
@@ -55,13 +55,16 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each result is written to the shared folder and read again as the next input."""
+    """All stages over the documents; each result is written to the shared folder, read again as the next input, and
+    removed when that is written. The last one stays."""
     docs = read(spark, sf_dir, "documents")
-    folder = f"{scratch_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder, before = f"{scratch_folder(spark)}/pipeline-{uuid.uuid4().hex}", None
     for i, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{i}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
 
 
