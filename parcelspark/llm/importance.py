@@ -294,14 +294,20 @@ def resample(
     return among.unionByName(others).select("doc_id", "n_features", "weight", "score", "rank")
 
 
-#: DuckDB has no crc32: its table is made from the polynomial, and each distinct word is folded over it.
-ORACLE_SQL = r"""
-WITH steps AS (SELECT range AS i, range::BIGINT AS c FROM range(256)),
+#: DuckDB has no crc32: its table `tab` (with the list t) is made from the polynomial, and hexadecimal digits x are folded
+#: over it.
+CRC_TABLE_SQL = """steps AS (SELECT range AS i, range::BIGINT AS c FROM range(256)),
 bits AS (
     SELECT i, list_reduce(list_concat([c], [x::BIGINT FOR x IN range(8)]),
         lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c FROM steps
 ),
-tab AS (SELECT list(c ORDER BY i) AS t FROM bits),
+tab AS (SELECT list(c ORDER BY i) AS t FROM bits)"""
+CRC_SQL = """xor(list_reduce(
+        list_concat([4294967295::BIGINT], [('0x' || substr(x, 2 * k + 1, 2))::BIGINT FOR k IN range(length(x) // 2)]),
+        lambda c, b: xor(c // 256, t[(xor(c, b) % 256) + 1])), 4294967295)"""
+
+ORACLE_SQL = rf"""
+WITH {CRC_TABLE_SQL},
 found AS (
     SELECT 'd' AS side, doc_id AS id, unnest(regexp_extract_all(translate(coalesce(text, ''),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents
@@ -311,9 +317,7 @@ found AS (
 ),
 distinct_words AS (SELECT DISTINCT w, hex(encode(w)) AS x FROM found),
 hashed AS (
-    SELECT w, xor(list_reduce(
-        list_concat([4294967295::BIGINT], [('0x' || substr(x, 2 * k + 1, 2))::BIGINT FOR k IN range(length(x) // 2)]),
-        lambda c, b: xor(c // 256, t[(xor(c, b) % 256) + 1])), 4294967295) % 10000 AS bucket
+    SELECT w, {CRC_SQL} % 10000 AS bucket
     FROM distinct_words, tab
 ),
 placed AS (SELECT side, id, bucket FROM found JOIN hashed USING (w)),

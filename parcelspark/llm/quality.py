@@ -143,3 +143,31 @@ def judge(docs: DataFrame, trees: boosting.Trees, threshold: float = THRESHOLD)
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.mapInArrow(run, schema)
+
+
+#: The counts and the base rules; the verdict of the trees has no SQL.
+COUNTS_SQL = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+lines AS (
+    SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+    FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+),
+grams AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d)
+),
+repeated AS (
+    SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+    FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1)
+    GROUP BY doc_id
+),
+counts AS (
+    SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+        len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+        coalesce(n_repeat_words, 0) AS n_repeat_words
+    FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN repeated USING (doc_id)
+)
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts
+"""

@@ -44,6 +44,9 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORACLE["op10_suffix_array_dedup"] = repeats.ORACLE_SQL
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document, whether it fails the base rules, and the verdict of the trees."""
@@ -55,6 +58,15 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op7_quality_rules counts, and its base rules, which SQL can express."""
+    return op7_quality_rules(spark, sf_dir).select("doc_id", *quality.COUNTS, "base_failed")
+
+
+ORACLE["quality_counts"] = quality.COUNTS_SQL
+
+
 @query
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes, with its source's size and target."""
@@ -102,6 +114,15 @@ def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def lm_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op5_lm_scores gives by counts, which SQL can express; scores to three places."""
+    return op5_lm_scores(spark, sf_dir).drop("score").withColumn("base_score", F.round("base_score", 3))
+
+
+ORACLE["lm_base_scores"] = scoring.BASE_SQL
+
+
 @query
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""

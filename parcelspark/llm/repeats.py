@@ -444,3 +444,29 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, as_t
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return joined.mapInArrow(run, schema)
+
+
+#: Every string of 200 bytes by its digest; runs of those that start twice are merged to spans.
+ORACLE_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+strings AS (
+    SELECT doc_id, i, md5(substr(x, 2 * i + 1, 400)) AS h FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 199)) AS i FROM d)
+),
+starts AS (SELECT doc_id, i FROM strings QUALIFY count(*) OVER (PARTITION BY h) > 1),
+runs AS (
+    SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run
+    FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS fresh FROM starts)
+),
+spans AS (SELECT doc_id, run, min(i) AS a, max(i) + 200 AS b FROM runs GROUP BY doc_id, run),
+pieces AS (
+    SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans
+),
+kept AS (
+    SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+        string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS front, max(b) AS last
+    FROM pieces JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, length(x) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(CASE WHEN last IS NULL THEN x ELSE front || substr(x, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

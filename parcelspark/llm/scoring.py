@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.llm.common import checkpoint, lower_words, remainder, remainder_column, text_batches
+from parcelspark.llm.importance import CRC_SQL, CRC_TABLE_SQL
 from parcelspark.llm.recurrent_lm import Model
 
 #: The end of a document among the words; no word can be this.
@@ -281,3 +282,21 @@ def score(docs: DataFrame) -> DataFrame:
         (F.col("all_logs") + more - F.col("n") * F.lit(known.behind[SHARED])).alias("base_score"),
         (F.col("score") + F.col("shared_logs") + more - F.col("behind")).alias("score"),
     )
+
+
+#: The columns that come from counts, scores to three places; the model has no SQL.
+BASE_SQL = rf"""
+WITH {CRC_TABLE_SQL},
+d AS (
+    SELECT doc_id, hex(encode(doc_id::VARCHAR)) AS x, list_append(regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), chr(10)) AS w
+    FROM documents
+),
+held AS (SELECT doc_id, w, {CRC_SQL} % 7 = 2 AS held_out FROM d, tab),
+tokens AS (SELECT doc_id, held_out, unnest(w) AS w FROM held),
+counts AS (SELECT w, count(*) FILTER (NOT held_out) AS c FROM tokens GROUP BY w),
+total AS (SELECT sum(c) AS n, count(*) FILTER (c > 0) AS v FROM counts)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (c > 0) AS n_known, any_value(n)::BIGINT AS train_tokens,
+    round(sum(log10((c + 1) / (n + v + 1))), 3) AS base_score
+FROM tokens JOIN counts USING (w), total GROUP BY doc_id, held_out
+"""
