@@ -1,10 +1,12 @@
-"""Repeated byte strings by bucket-pointer refinement.
+"""Repeated byte strings by refinement of buckets, after the bucket-pointer method.
 
 Every byte of a string that starts in two places of the corpus is found, for strings of `length` bytes. Suffixes are
 put into buckets by their first bytes, and buckets are refined by the bucket identifiers of later offsets: the bucket
 of p + q bytes at x is named by (bucket of p bytes at x, bucket of q bytes at x + p). The names of one step are reused
-in the next, so `length` bytes take a logarithmic number of steps. An identifier is a hash of its bytes and so the
-same in every task, without a global numbering.
+in the next, so `length` bytes take a logarithmic number of steps. Where the method numbers buckets by sorting all
+suffixes in each round, an identifier here is a hash of the bucket's bytes: the same in every task, without a global
+numbering, and without moving every suffix of the corpus in every round. Strings count as equal if two identifiers are:
+that of their anchor, with its place, and that of all their bytes.
 
 Only few suffixes need to be sorted. Each string of `length` bytes has an anchor, its leftmost q-gram with the smallest
 identifier; equal strings have equal anchors at equal places. Neighbouring strings with one anchor form a run. A run
@@ -195,9 +197,10 @@ def _run_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
 COPIED, OPEN, WITNESS = 0, 1, 2
 
 
-def _repeated(rows: DataFrame) -> DataFrame:
-    """Buckets a that have several of the rows (a, n)."""
-    return checkpoint(rows.groupBy("a").agg(F.sum("n").alias("n")).where("n > 1").select("a"))
+def _repeated(rows: DataFrame, *by: str) -> DataFrame:
+    """Buckets (by their names: a) that have several of the rows (a, n)."""
+    by = by or ("a",)
+    return checkpoint(rows.groupBy(*by).agg(F.sum("n").alias("n")).where("n > 1").select(*by))
 
 
 def _refine(rows: DataFrame, of: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -323,7 +326,8 @@ def _cut(opened: DataFrame, length: int, gram: int, size: int) -> DataFrame:
 
 
 def _strings(opened: DataFrame, stretches: DataFrame, length: int, gram: int) -> DataFrame:
-    """(a, n, h, g, start, old): each string of the open stretches of open runs, a its bucket beside the anchor's."""
+    """(a, k, n, h, g, start, old): each string of the open stretches of open runs; a the bucket of its anchor and the
+    anchor's place in it, k that of all its bytes."""
     of_run = stretches.groupBy("h", "g", "run").agg(
         F.collect_list(F.struct("start", "end", (F.col("old") | F.col("witness")).alias("old"))).alias("at")
     ).select("h", "g", F.col("run").alias("start"), *(F.col(f"at.{c}").alias(c + "s") for c in ("start", "end", "old")))
@@ -344,12 +348,12 @@ def _strings(opened: DataFrame, stretches: DataFrame, length: int, gram: int) ->
             at, old = at[of], old[of]
             place = start - batch.column("start").to_numpy()[at] + starts[at]
             anchor = starts[at] + batch.column("before").to_numpy()[at]
-            name = _pair(buckets.at(anchor, anchor + gram), (anchor - place).astype(np.uint64))
-            a = _pair(name, buckets.at(place, place + length))
+            a = _pair(buckets.at(anchor, anchor + gram), (anchor - place).astype(np.uint64))
+            k = buckets.at(place, place + length)
             h, g = batch.column("h").to_numpy()[at], batch.column("g").to_numpy()[at]
-            yield _batch([a, np.ones(len(a), np.int64), h, g, start, old], ["a", "n", "h", "g", "start", "old"])
+            yield _batch([a, k, np.ones(len(a), np.int64), h, g, start, old], ["a", "k", "n", "h", "g", "start", "old"])
 
-    return joined.mapInArrow(run, "a long, n long, h long, g int, start long, old boolean")
+    return joined.mapInArrow(run, "a long, k long, n long, h long, g int, start long, old boolean")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -375,7 +379,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     by_stretch = stretches.where("not old").join(several, ["a", "k"], "left_semi")
 
     strings = checkpoint(_strings(opened, still_open, length, gram))
-    by_string = strings.where("not old").join(_repeated(strings), "a", "left_semi")
+    by_string = strings.where("not old").join(_repeated(strings, "a", "k"), ["a", "k"], "left_semi")
 
     spans = (
         found.where("text is null").select("h", "g", "start", "end")
