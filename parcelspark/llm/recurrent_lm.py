@@ -20,7 +20,11 @@ WINDOW = 64
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """In place."""
+    np.negative(x, x)
+    np.exp(x, x)
+    x += 1
+    return np.reciprocal(x, x)
 
 
 def _weights(h: np.ndarray, w: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -70,8 +74,13 @@ class Model:
         gate = _sigmoid(x[:, : 2 * HIDDEN] + uh[:, : 2 * HIDDEN])
         z, r = gate[:, :HIDDEN], gate[:, HIDDEN:]
         uc = uh[:, 2 * HIDDEN :]
-        c = 2 * _sigmoid(2 * (x[:, 2 * HIDDEN :] + r * uc)) - 1
-        return h + z * (c - h), z, r, c, uc
+        c = r * uc
+        c += x[:, 2 * HIDDEN :]
+        c = np.tanh(c, c)
+        new = c - h
+        new *= z
+        new += h
+        return new, z, r, c, uc
 
     def log_probabilities(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural logarithm of the probability of each id from the state before it."""
@@ -81,14 +90,20 @@ class Model:
             some = slice(at, at + (1 << 15))
             logits, _, total = _weights(h[some], self.p["cw"], self.p["cb"])
             out[some] = logits[np.arange(len(total)), of[some]] - total
-        order = np.argsort(of, kind="stable")
-        ends = np.searchsorted(of[order], np.arange(self.classes + 1))
+        order, ends = self._by_class(of)
+        h, member, sums = h[order], (ids - of * self.members)[order], out[order]
         for c in np.flatnonzero(np.diff(ends)):
-            some = order[ends[c] : ends[c + 1]]
+            some = slice(ends[c], ends[c + 1])
             logits, _, total = _weights(h[some], self.p["mw"][c], self.p["mb"][c])
-            out[some] += logits[np.arange(len(some)), ids[some] - c * self.members] - total
+            sums[some] += logits[np.arange(len(total)), member[some]] - total
+        out[order] = sums
         return out
 
+    def _by_class(self, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Order of places by class, and where each class begins in it."""
+        order = np.argsort(of.astype(np.int16 if self.classes < 1 << 15 else np.int64), kind="stable")
+        return order, np.searchsorted(of[order], np.arange(self.classes + 1))
+
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """log10 of the probability of each text's ids; the state starts at zero and runs through the whole text."""
         total = np.zeros(len(texts))
@@ -156,7 +171,8 @@ class Model:
         x = e @ p["w"] + p["b"]
         kept, before = [], np.empty((steps, rows, HIDDEN), np.float32)
         for t in range(steps):
-            h = np.where(fresh[:, t, None], np.float32(0), h)
+            if fresh[:, t].any():
+                h = np.where(fresh[:, t, None], np.float32(0), h)
             before[t] = h
             new, z, r, c, uc = self._step(x[:, t], h)
             kept.append((h, z, r, c, uc))
@@ -170,31 +186,45 @@ class Model:
         d_class[np.arange(n), of] -= share
         grad = {"cw": flat_h.T @ d_class, "cb": d_class.sum(0)}
         d_flat = d_class @ p["cw"].T
-        order = np.argsort(of, kind="stable")
-        ends = np.searchsorted(of[order], np.arange(self.classes + 1))
+        order, ends = self._by_class(of)
+        sorted_h, sorted_share, member = flat_h[order], share[order], (flat_id - of * self.members)[order]
+        sorted_d = np.empty_like(sorted_h)
         for c in np.flatnonzero(np.diff(ends)):
-            some = order[ends[c] : ends[c + 1]]
-            _, d, _ = _weights(flat_h[some], p["mw"][c], p["mb"][c])
-            d *= (share[some] / (d @ np.ones(self.members, np.float32)))[:, None]
-            d[np.arange(len(some)), flat_id[some] - c * self.members] -= share[some]
-            d_flat[some] += d @ p["mw"][c].T
-            for k, g in (("mw", flat_h[some].T @ d), ("mb", d.sum(0))):
+            some = slice(ends[c], ends[c + 1])
+            _, d, _ = _weights(sorted_h[some], p["mw"][c], p["mb"][c])
+            d *= (sorted_share[some] / (d @ np.ones(self.members, np.float32)))[:, None]
+            d[np.arange(len(d)), member[some]] -= sorted_share[some]
+            sorted_d[some] = d @ p["mw"][c].T
+            for k, g in (("mw", sorted_h[some].T @ d), ("mb", np.ones(len(d), np.float32) @ d)):
                 squares[k][c] += g**2
                 p[k][c] -= rate * g / np.sqrt(squares[k][c])
+        d_flat[order] += sorted_d
         d_before = d_flat.reshape(steps, rows, HIDDEN)
         d_x = np.empty_like(x)
         d_h = np.zeros((rows, HIDDEN), np.float32)
         grad["u"] = np.zeros_like(p["u"])
         for t in range(steps - 1, -1, -1):
             last, z, r, c, uc = kept[t]
-            d_c = d_h * z * (1 - c * c)
-            d_z = d_h * (c - last) * z * (1 - z)
-            d_r = d_c * uc * r * (1 - r)
-            d_x[:, t] = np.concatenate([d_z, d_r, d_c], 1)
-            d_u = np.concatenate([d_z, d_r, d_c * r], 1)
-            grad["u"] += last.T @ d_u
-            d_h = d_h * (1 - z) + d_u @ p["u"].T + d_before[t]
-            d_h = np.where(fresh[:, t, None], np.float32(0), d_h)
+            hz = d_h * z
+            d = np.empty((rows, 3 * HIDDEN), np.float32)
+            d_z, d_r, d_c = d[:, :HIDDEN], d[:, HIDDEN : 2 * HIDDEN], d[:, 2 * HIDDEN :]
+            np.multiply(c, c, d_c)
+            np.subtract(1, d_c, d_c)
+            d_c *= hz
+            np.subtract(c, last, d_z)
+            d_z *= hz
+            d_z *= 1 - z
+            np.multiply(d_c, uc, d_r)
+            d_r *= r
+            d_r *= 1 - r
+            d_x[:, t] = d
+            d_c *= r
+            grad["u"] += last.T @ d
+            d_h -= hz
+            d_h += d @ p["u"].T
+            d_h += d_before[t]
+            if fresh[:, t].any():
+                d_h[fresh[:, t]] = 0
         flat_x = d_x.reshape(n, -1)
         grad["w"], grad["b"] = e.reshape(n, -1).T @ flat_x, flat_x.sum(0)
         touched, slot = np.unique(ids.ravel(), return_inverse=True)

@@ -22,10 +22,10 @@ from parcelspark.llm.recurrent_lm import Model
 #: The end of a document among the words; no word can be this.
 END = b"\n"
 
-#: Words with an id of their own in the model: 90 times the fifth root of the training tokens, as other words appear
+#: Words with an id of their own in the model: 50 times the fifth root of the training tokens, as other words appear
 #: ever more slowly.
 def own_ids(tokens: int) -> int:
-    return int(90 * tokens**0.2)
+    return int(50 * tokens**0.2)
 
 #: Ids that all other words share.
 SHARED = 16
@@ -180,27 +180,10 @@ def train(docs: DataFrame, known: Vocabulary) -> Model:
     return model
 
 
-def _rare(docs: DataFrame, known) -> DataFrame:
-    """(h, g, word, n): words of each text whose counts tasks do not hold."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = known.value.place
-        for batch in batches:
-            h, g = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for at in range(0, len(batch), 500):
-                rows, words, many = [], [], []
-                for i in range(at, min(at + 500, len(batch))):
-                    found = Counter(w for w in (*lower_words(batch.column(2)[i].as_py()), END) if w not in counts)
-                    rows += [i] * len(found)
-                    words += found
-                    many += found.values()
-                rows = np.array(rows, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[rows]), pa.array(g[rows]), pa.array(words, pa.binary()), pa.array(many, pa.int64())],
-                    ["h", "g", "word", "n"],
-                )
-
-    return _keyed(docs).select("h", "g", "text").mapInArrow(run, "h long, g int, word binary, n long")
+def _rare(rows: DataFrame) -> DataFrame:
+    """(h, g, word, n): words of each document whose counts tasks do not hold."""
+    words = F.explode(F.arrays_zip("rare", "rare_n")).alias("w")
+    return rows.select("h", "g", words).select("h", "g", F.col("w.rare").alias("word"), F.col("w.rare_n").alias("n"))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -209,7 +192,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _common(docs: DataFrame, known, model) -> DataFrame:
     """One row for each document with all that needs no join: tokens, known ones, sums of log10(c + 1) over common
-    words (all, and those that share an id), the shared ids' terms, and the model's score."""
+    words (all, and those that share an id), the shared ids' terms, the model's score, and the words that do need one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, m = known.value, Model(known.value.size()).unpack(model.value)
@@ -217,7 +200,7 @@ def _common(docs: DataFrame, known, model) -> DataFrame:
         log = np.append(np.log10(v.counts + 1.0), 0.0)  # the last for a word that is not held
         behind = np.append(np.zeros(own), v.behind[:SHARED])
         keys: list[pa.RecordBatch] = []
-        texts, rows, size = [], [], 0
+        texts, rows, rare, size = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
             columns = [pa.concat_arrays([k.column(i) for k in keys]) for i in range(3)]
@@ -225,6 +208,8 @@ def _common(docs: DataFrame, known, model) -> DataFrame:
             n, k, all_logs, shared_logs, behind_logs = zip(*rows)
             columns += [pa.array(held_out, pa.bool_()), pa.array(n, pa.int64()), pa.array(k, pa.int64())]
             columns += [pa.array(x, pa.float64()) for x in (all_logs, shared_logs, behind_logs)] + [pa.array(m.score(texts))]
+            columns += [pa.array([list(r) for r in rare], pa.list_(pa.binary()))]
+            columns += [pa.array([list(r.values()) for r in rare], pa.list_(pa.int64()))]
             return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in batches:
@@ -237,16 +222,17 @@ def _common(docs: DataFrame, known, model) -> DataFrame:
                 shared = float(logs[places >= own].sum())
                 rows.append((len(words), int((places >= 0).sum()), float(logs.sum()), shared, float(behind[ids].sum())))
                 texts.append(ids)
+                rare.append(Counter([words[i] for i in np.flatnonzero(places < 0).tolist()]))
                 size += len(words)
             if size > AT_ONCE:  # many texts side by side keep the long ones cheap
                 yield flush()
-                keys, texts, rows, size = [], [], [], 0
+                keys, texts, rows, rare, size = [], [], [], [], 0
         if rows:
             yield flush()
 
     schema = (
         "doc_id long, h long, g int, held_out boolean, n long, k long, "
-        "all_logs double, shared_logs double, behind double, score double"
+        "all_logs double, shared_logs double, behind double, score double, rare array<binary>, rare_n array<long>"
     )
     names = [c.split()[0] for c in schema.split(", ")]
     return _keyed(docs).mapInArrow(run, schema)
@@ -270,7 +256,7 @@ def score(docs: DataFrame) -> DataFrame:
     # sums over equal texts are divided by their number, as each brings its words
     copies = rows.groupBy("h", "g").agg(F.count(F.lit(1)).alias("copies"))
     rare = (
-        _rare(docs, shared).join(counts, "word").groupBy("h", "g")
+        _rare(rows).join(counts, "word").groupBy("h", "g")
         .agg(F.sum("n").alias("more_k"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more"))
         .join(copies, ["h", "g"])
         .select("h", "g", (F.col("more_k") / F.col("copies")).cast("long").alias("more_k"), (F.col("more") / F.col("copies")).alias("more"))
