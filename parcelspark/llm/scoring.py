@@ -33,6 +33,9 @@ SHARED = 16
 #: The most frequent words, whose counts every task holds; the counts of all others come by a join.
 KNOWN_TO_ALL = 200_000
 
+#: Distinct words that a task counts before it hands them on.
+COUNTED = 200_000
+
 #: Tokens of the documents that give all tasks a common start, about; then each trains on all of its own.
 START_TOKENS = 1_500_000
 
@@ -83,14 +86,21 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c): tokens of the training documents, ends included; summed in tasks before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[bytes] = Counter()
+
+        def flush() -> pa.RecordBatch:
+            words, n = pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())
+            found.clear()
+            return pa.RecordBatch.from_arrays([words, n], ["word", "n"])
+
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                found: Counter[bytes] = Counter()
-                for text in batch.column(0)[at : at + 500]:
-                    found.update(lower_words(text.as_py()))
-                    found[END] += 1
-                words = pa.array(list(found), pa.binary())
-                yield pa.RecordBatch.from_arrays([words, pa.array(list(found.values()), pa.int64())], ["word", "n"])
+            for text in batch.column(0):
+                found.update(lower_words(text.as_py()))
+                found[END] += 1
+            if len(found) > COUNTED:
+                yield flush()
+        if found:
+            yield flush()
 
     rows = docs.where(is_training(F.col("doc_id"))).select("text").mapInArrow(run, "word binary, n long")
     return rows.groupBy("word").agg(F.sum("n").alias("c"))
@@ -124,36 +134,39 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary({w: i for i, w in enumerate(known)}, np.array(list(known.values()), np.int64), len(own), tokens, words, behind)
 
 
-def train(docs: DataFrame, known: Vocabulary) -> Model:
-    """Train the model on all training documents, once, at any size of the corpus.
+def _texts(column: pa.ListArray) -> Iterator[np.ndarray]:
+    """Ids of each text of a column."""
+    flat, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+    return (flat[x:y] for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist()))
+
+
+def train(rows: DataFrame, known: Vocabulary) -> Model:
+    """Train the model on all training documents of encoded rows, once, at any size of the corpus.
 
     Training in parallel needs a common start: documents with about START_TOKENS tokens, those of the lowest hashes,
     give it in a first round. In the second every task goes on from there with all documents of its own. After a
     round the tasks' models are averaged by tokens, in two steps, and only the one average goes to the driver.
     """
     model = Model(known.size())
-    training = docs.where(is_training(F.col("doc_id")))
+    training = rows.where("not held_out")
     share = min(1.0, START_TOKENS / max(1, known.tokens))
-    lowest = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))
+    lowest = F.pmod(F.xxhash64("doc_id", "h"), F.lit(1 << 30)) < int(share * (1 << 30))
     # few tasks for the start, as it is small
-    rounds = [(training.where(lowest).select("text").coalesce(8), 0.1), (training.select("text"), 0.1)]
-    vocabulary_ = docs.sparkSession.sparkContext.broadcast(known)
+    size = known.size()
+    rounds = [(training.where(lowest).select("ids").coalesce(8), 0.1), (training.select("ids"), 0.1)]
     for sample, rate in rounds:
         start = model.pack()
 
         def run(batches: Iterator[pa.RecordBatch], start: bytes = start, rate: float = rate) -> Iterator[pa.RecordBatch]:
-            known = vocabulary_.value
-            of_place = known.id_of_place()
-            mine = Model(known.size()).unpack(start)
-            squares, tokens, texts, size = mine.memory(), 0, [], 0
+            mine = Model(size).unpack(start)
+            squares, tokens, texts, held = mine.memory(), 0, [], 0
             for batch in batches:
-                for text in batch.column(0):
-                    words = [*lower_words(text.as_py()), END]
-                    texts.append(known.ids(words, known.places(words), of_place))
-                    size += len(words)
-                    if size > AT_ONCE:
+                for ids in _texts(batch.column(0)):
+                    texts.append(ids)
+                    held += len(ids)
+                    if held > AT_ONCE:
                         tokens += mine.train(texts, rate=rate, squares=squares)
-                        texts, size = [], 0
+                        texts, held = [], 0
             if texts:
                 tokens += mine.train(texts, rate=rate, squares=squares)
             if tokens:
@@ -190,30 +203,18 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), F.hash("text").alias("g"), "text")
 
 
-def _common(docs: DataFrame, known, model) -> DataFrame:
-    """One row for each document with all that needs no join: tokens, known ones, sums of log10(c + 1) over common
-    words (all, and those that share an id), the shared ids' terms, the model's score, and the words that do need one."""
+def _encoded(docs: DataFrame, known) -> DataFrame:
+    """One row for each document with its ids and all that needs neither join nor model: tokens, known ones, sums of
+    log10(c + 1) over common words (all, and those that share an id), the shared ids' terms, and the words that do
+    need a join."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, m = known.value, Model(known.value.size()).unpack(model.value)
+        v = known.value
         own, of_place = v.own, v.id_of_place()
         log = np.append(np.log10(v.counts + 1.0), 0.0)  # the last for a word that is not held
         behind = np.append(np.zeros(own), v.behind[:SHARED])
-        keys: list[pa.RecordBatch] = []
-        texts, rows, rare, size = [], [], [], 0
-
-        def flush() -> pa.RecordBatch:
-            columns = [pa.concat_arrays([k.column(i) for k in keys]) for i in range(3)]
-            held_out = [remainder(d, 7) == 2 for d in columns[0].to_pylist()]
-            n, k, all_logs, shared_logs, behind_logs = zip(*rows)
-            columns += [pa.array(held_out, pa.bool_()), pa.array(n, pa.int64()), pa.array(k, pa.int64())]
-            columns += [pa.array(x, pa.float64()) for x in (all_logs, shared_logs, behind_logs)] + [pa.array(m.score(texts))]
-            columns += [pa.array([list(r) for r in rare], pa.list_(pa.binary()))]
-            columns += [pa.array([list(r.values()) for r in rare], pa.list_(pa.int64()))]
-            return pa.RecordBatch.from_arrays(columns, names)
-
         for batch in batches:
-            keys.append(batch.select(["doc_id", "h", "g"]))
+            texts, rows, rare = [], [], []
             for text in batch.column("text"):
                 words = [*lower_words(text.as_py()), END]
                 places = v.places(words)
@@ -223,21 +224,54 @@ def _common(docs: DataFrame, known, model) -> DataFrame:
                 rows.append((len(words), int((places >= 0).sum()), float(logs.sum()), shared, float(behind[ids].sum())))
                 texts.append(ids)
                 rare.append(Counter([words[i] for i in np.flatnonzero(places < 0).tolist()]))
-                size += len(words)
-            if size > AT_ONCE:  # many texts side by side keep the long ones cheap
-                yield flush()
-                keys, texts, rows, rare, size = [], [], [], [], 0
-        if rows:
-            yield flush()
+            columns = [batch.column(c) for c in ("doc_id", "h", "g")]
+            columns.append(pa.array([remainder(d, 7) == 2 for d in columns[0].to_pylist()], pa.bool_()))
+            n, k, all_logs, shared_logs, behind_logs = zip(*rows) if rows else ((),) * 5
+            columns += [pa.array(n, pa.int64()), pa.array(k, pa.int64())]
+            columns += [pa.array(x, pa.float64()) for x in (all_logs, shared_logs, behind_logs)]
+            offsets = pa.array(np.cumsum([0, *n]), pa.int32())
+            flat = np.concatenate([np.zeros(0, np.int32), *texts])
+            columns.append(pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32())))
+            columns.append(pa.array([list(r) for r in rare], pa.list_(pa.binary())))
+            columns.append(pa.array([list(r.values()) for r in rare], pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = (
-        "doc_id long, h long, g int, held_out boolean, n long, k long, "
-        "all_logs double, shared_logs double, behind double, score double, rare array<binary>, rare_n array<long>"
+        "doc_id long, h long, g int, held_out boolean, n long, k long, all_logs double, shared_logs double, "
+        "behind double, ids array<int>, rare array<binary>, rare_n array<long>"
     )
     names = [c.split()[0] for c in schema.split(", ")]
     return _keyed(docs).mapInArrow(run, schema)
 
 
+def _scored(rows: DataFrame, known: Vocabulary, model: Model) -> DataFrame:
+    """Encoded rows, but for ids and rare words, with the model's score."""
+    packed, size = rows.sparkSession.sparkContext.broadcast(model.pack()), known.size()
+    plain = [c for c in rows.columns if c not in ("ids", "rare", "rare_n")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Model(size).unpack(packed.value)
+        held: list[pa.RecordBatch] = []
+        texts, tokens = [], 0
+
+        def flush() -> pa.RecordBatch:
+            columns = [pa.concat_arrays([b.column(c) for b in held]) for c in plain]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(m.score(texts))], [*plain, "score"])
+
+        for batch in batches:
+            held.append(batch.select(plain))
+            texts += _texts(batch.column("ids"))
+            tokens += len(batch.column("ids").values)
+            if tokens > AT_ONCE:  # many texts side by side keep the long ones cheap
+                yield flush()
+                held, texts, tokens = [], [], 0
+        if texts:
+            yield flush()
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in plain)
+    return rows.select(*plain, "ids").mapInArrow(run, f"{kinds}, score double")
+
+
 def score(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of docs (doc_id, text).
 
@@ -250,13 +284,12 @@ def score(docs: DataFrame) -> DataFrame:
     context = text_batches(docs).sparkSession.sparkContext
     counts = checkpoint(word_counts(docs))
     known = vocabulary(counts)
-    model = train(docs, known)
-    shared = context.broadcast(known)
-    rows = checkpoint(_common(docs, shared, context.broadcast(model.pack())))
+    encoded = checkpoint(_encoded(docs, context.broadcast(known)))
+    rows = checkpoint(_scored(encoded, known, train(encoded, known)))
     # sums over equal texts are divided by their number, as each brings its words
     copies = rows.groupBy("h", "g").agg(F.count(F.lit(1)).alias("copies"))
     rare = (
-        _rare(rows).join(counts, "word").groupBy("h", "g")
+        _rare(encoded).join(counts, "word").groupBy("h", "g")
         .agg(F.sum("n").alias("more_k"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more"))
         .join(copies, ["h", "g"])
         .select("h", "g", (F.col("more_k") / F.col("copies")).cast("long").alias("more_k"), (F.col("more") / F.col("copies")).alias("more"))

@@ -142,7 +142,7 @@ def test_all_training_documents_are_trained_on_at_every_size(spark, monkeypatch)
         known = scoring.vocabulary(scoring.word_counts(docs).cache())
         taken, scoring.checkpoint = scoring.checkpoint, lambda df: (seen.append(out := taken(df)), out)[1]
         try:
-            scoring.train(docs, known)
+            scoring.train(scoring._encoded(docs, spark.sparkContext.broadcast(known)).cache(), known)
         finally:
             scoring.checkpoint = taken
         assert seen[1].agg({"weight": "sum"}).first()[0] == pytest.approx(known.tokens)
