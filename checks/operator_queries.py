@@ -517,7 +517,7 @@ def _(spark, sf):
         .groupBy("o_orderpriority")
         .agg(
             F.avg(clock.elapsed("DAY", F.col("o_orderdate"), F.col("l_shipdate"))).cast("decimal(38,0)").alias("avg_days"),
-            F.avg(took).alias("avg_seconds"),
+            M.mean_interval(took).alias("avg_seconds"),
             F.count("*").alias("n"),
         )
         .withColumn("avg_days", F.col("avg_days").cast("long"))

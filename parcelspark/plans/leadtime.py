@@ -13,7 +13,7 @@ from parcelspark.functions.jsontext import json_int
 from parcelspark.operators.dims import station_dim
 from parcelspark.operators.events import dwell_hours, first, found_in_window, milestones, neighbours
 from parcelspark.operators.lookup import as_keys, keyed
-from parcelspark.operators.metrics import pivot_sums
+from parcelspark.operators.metrics import mean_interval, pivot_sums
 from parcelspark.operators.rules import flow_by_mention, function_of_leg, stations_of_leg, type_by_code
 from parcelspark.plans.base import Context, has
 from parcelspark.settings import Settings
@@ -132,8 +132,8 @@ def partner_leadtime_summary(
             F.count("_received").alias("_3pl_received_vol"),
             F.avg(elapsed("MINUTE", received, delivered)).cast("decimal(38,0)").alias("avg_leadtime_rec_to_del"),
             F.avg(elapsed("MINUTE", over, delivered)).cast("decimal(38,0)").alias("avg_leadtime_handover_to_del"),
-            F.avg(delivered - received).alias("leadtime_rec_to_del"),
-            F.avg(delivered - over).alias("leadtime_handover_to_del"),
+            mean_interval(delivered - received).alias("leadtime_rec_to_del"),
+            mean_interval(delivered - over).alias("leadtime_handover_to_del"),
         )
         .orderBy("date_3pl_received")
     )

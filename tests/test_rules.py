@@ -202,3 +202,18 @@ def test_backlog_columns_are_consistent():
     for part in ("FM Module Forward", "FM Module Return", "LM Module Forward", "LM Module Return"):
         pieces = [set(columns[f"{part} {p}"]) for p in ("Incoming", "Inbound", "Processing", "Outbound")]
         assert sum(map(len, pieces)) == len(set(columns[f"{part} Total"]))
+
+
+def test_a_mean_interval_whose_sum_exceeds_64_bits(spark):
+    took = spark.sql("SELECT id, timestamp_ntz'9999-12-31 00:00:00' - timestamp_ntz'0001-01-01 00:00:00' AS d FROM range(100)")
+    assert took.agg(M.mean_interval(F.col("d"))).first()[0] == took.first().d
+
+
+def test_a_mean_interval_is_that_of_avg(spark):
+    micros = [(0, 0), (0, 1), (1, -1), (1, 0), (2, 86_400_000_001), (2, 5), (2, -8), (3, None), (4, 7), (4, None)]
+    rows = spark.createDataFrame(micros, "k int, us long").withColumn("d", F.expr("make_dt_interval(0, 0, 0, us / 1000000.0)"))
+    for d in (F.col("d"), F.expr("date_add(date'2024-01-01', k) - date'2023-12-30'")):
+        found = rows.groupBy("k").agg(M.mean_interval(d).alias("mean"), F.avg(d).alias("avg"))
+        assert found.schema["mean"].dataType == found.schema["avg"].dataType
+        assert all(r.mean == r.avg for r in found.collect())
+    assert rows.where("k > 9").agg(M.mean_interval(F.col("d"))).first()[0] is None
