@@ -145,34 +145,64 @@ class PreTokens:
 
 
 class Bpe:
-    """The inner machine."""
+    """The inner machine. Tokens are numbered in the order in which merges make them, bytes first; the heads of tokens
+    are nodes of a tree, numbered too."""
 
     def __init__(self, vocabulary: set[bytes], ranks: dict[tuple[bytes, bytes], int]):
         self.vocabulary, self.ranks = vocabulary, ranks
-        self.heads = {t[:i] for t in vocabulary for i in range(1, len(t))}
-        self.longest = max(map(len, vocabulary))
+        merges = sorted(ranks, key=ranks.__getitem__)
+        self.texts = list(dict.fromkeys([*(t for t in vocabulary if len(t) == 1), *(a + b for a, b in merges), *vocabulary]))
+        self.number = number = {t: i for i, t in enumerate(self.texts)}
+        n = len(self.texts)
+        #: Of each token the two that make it, itself for a byte; of two tokens (first * n + second) what they make.
+        self.left, self.right, self.made = list(range(n)), list(range(n)), {}
+        for a, b in merges:
+            if a in number and b in number:
+                i = number[a + b]
+                self.left[i], self.right[i], self.made[number[a] * n + number[b]] = number[a], number[b], i
+        #: Whether each token is made by one merge at most, of tokens made before it.
+        self.plain = len(self.made) == len(ranks) == len(set(self.made.values())) and all(
+            i > max(self.left[i], self.right[i]) for i in self.made.values()
+        )
+        self.child: dict[int, int] = {}  # by node * 256 + byte
+        self.token, self.inner = [-1], [True]  # token that ends at a node; whether a longer one goes on
+        for t in vocabulary:
+            node = 0
+            for byte in t:
+                self.inner[node] = True
+                node = self.child.setdefault(node << 8 | byte, len(self.token))
+                if node == len(self.token):
+                    self.token.append(-1)
+                    self.inner.append(False)
+            self.token[node] = number[t]
+        self.token.append(-1)  # the last stands for no node
+        self.inner.append(False)
         self._start()
 
     def _start(self) -> None:
-        self.fits: dict[tuple[bytes, bytes], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.states: list[tuple] = []
         self.steps: list[dict[int, tuple[int, int]]] = []
         self.index: dict[tuple, int] = {}
-        self._state((b"", ((0, None, 0),)))
+        self._state(((0, -1, 0),))
 
     def forget(self, state: int) -> int:
         """Drop what has been compiled, which is compiled again when it is needed; gives the number that the state
         has from now on."""
-        key = self.states[state]
+        key, fits = self.states[state], self.fits
         self._start()
+        if len(fits) < 4 * STATES:
+            self.fits = fits
         return self._state(key)
 
     def _state(self, key: tuple) -> int:
-        if key not in self.index:
-            self.index[key] = len(self.states)
+        """Number of a state: for each end of the bytes read that could still begin a token, longest first, its node,
+        the last token before it (-1: none) and the count of tokens up to there."""
+        at = self.index.setdefault(key, len(self.states))
+        if at == len(self.states):
             self.states.append(key)
             self.steps.append({})
-        return self.index[key]
+        return at
 
     def merge(self, data: bytes) -> list[bytes]:
         """Tokens by merging the best pair again and again; for the few short strings that the compiler asks for."""
@@ -184,26 +214,51 @@ class Bpe:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
-    def _fit(self, a: bytes | None, b: bytes) -> bool:
-        """Whether token b can follow token a: the two come out when their bytes are merged."""
-        key = (a or b"", b)
-        if key not in self.fits:
-            self.fits[key] = self.merge(key[0] + b) == ([a, b] if a else [b])
-        return self.fits[key]
+    def _apart(self, a: int, b: int) -> bool:
+        """Whether no merge reaches over the border of two tokens, each of which its own bytes give: the merges beside
+        the border are undone, latest first, and what meets there must not have been merged before."""
+        made, left, right, n = self.made, self.left, self.right, len(self.texts)
+        before = n
+        while True:
+            if made.get(a * n + b, n) < before:
+                return False
+            if a > b and right[a] != a or left[b] == b:
+                if right[a] == a:
+                    return True
+                before, a = a, right[a]
+            else:
+                before, b = b + 1, left[b]  # of equal merges the left one comes first
+
+    def _fit(self, a: int, b: int) -> bool:
+        """Whether token b can follow token a (-1: none): the two come out when their bytes are merged."""
+        key = (a + 1) * len(self.texts) + b
+        found = self.fits.get(key)
+        if found is None:
+            if a >= 0 and self.plain:
+                found = self._fit(-1, b) and self._apart(a, b)
+            else:
+                tokens = [self.texts[i] for i in (a, b) if i >= 0]
+                found = self.merge(b"".join(tokens)) == tokens
+            self.fits[key] = found
+        return found
+
+    def _ending(self, state: int, byte: int) -> tuple[int, int]:
+        """Token that ends with the byte (-1: none) and the change of the count, of a state."""
+        for node, last, count in self.states[state]:
+            token = self.token[self.child.get(node << 8 | byte, -1)]
+            if token >= 0 and self._fit(last, token):
+                return token, count + 1
+        return -1, 0
 
     def compile(self, state: int, byte: int) -> tuple[int, int]:
         """Add the transition of a state on a byte: (next state, change of the count)."""
-        seen, ends = self.states[state]
-        seen += bytes([byte])
-        token, change = None, 0
-        for length, last, count in ends:  # longest first
-            token = seen[len(seen) - length - 1 :]
-            if token in self.vocabulary and self._fit(last, token):
-                change = count + 1
-                break
-        kept = [(n + 1, last, count - change) for n, last, count in ends if seen[len(seen) - n - 1 :] in self.heads]
-        kept.append((0, token, 0))
-        made = self._state((seen[len(seen) - kept[0][0] :], tuple(kept)))
+        token, change = self._ending(state, byte)
+        kept = [
+            (to, last, count - change)
+            for node, last, count in self.states[state]
+            if self.inner[to := self.child.get(node << 8 | byte, -1)]
+        ]
+        made = self._state((*kept, (0, token, 0)))
         self.steps[state][byte] = made, change
         return made, change
 
@@ -221,6 +276,12 @@ class Bpe:
             total += change
         return state, total
 
+    def count(self, data: bytes) -> int:
+        """Tokens of a whole pre-token. Nothing follows its last byte, whose state is not made."""
+        state, total = self.run(data[:-1])
+        step = self.steps[state].get(data[-1])
+        return total + (step or self._ending(state, data[-1]))[1]
+
 
 def _byte_of_char() -> dict[str, int]:
     """Which byte a character of a byte-level vocabulary stands for: printable ones for themselves, the others for
@@ -255,7 +316,7 @@ class Counter:
     def _count(self, token: bytes) -> int:
         n = self.memo.get(token)
         if n is None:
-            n = self.bpe.run(token)[1]
+            n = self.bpe.count(token)
             if len(self.memo) >= MEMO:
                 self.memo.clear()
             self.memo[token] = n

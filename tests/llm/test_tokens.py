@@ -78,3 +78,52 @@ def test_what_a_long_lived_worker_holds_is_bounded(library, monkeypatch):
     assert counter.counts(texts).tolist() == [expected(library, t) for t in texts]
     assert len(counter.bpe.states) <= 2001 and len(counter.bpe.index) <= 2001 and len(counter.memo) <= 500
     assert len(counter.bpe.fits) < 20_000
+
+
+def made_up(pairs):
+    """A machine over a, b and c whose merges join tokens made before, by their places."""
+    made = [b"a", b"b", b"c"]
+    ranks = {}
+    for x, y in pairs:
+        a, b = made[x % len(made)], made[y % len(made)]
+        if a + b not in made:
+            ranks[a, b] = len(ranks)
+            made.append(a + b)
+    return tokens.Bpe(set(made), ranks)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 40), st.integers(0, 40)), max_size=30), st.lists(st.text("abc", min_size=1, max_size=20), max_size=20))
+def test_any_merges(pairs, words):
+    machine = made_up(pairs)
+    assert machine.plain
+    for word in map(str.encode, words):
+        assert machine.count(word) == machine.run(word)[1] == len(machine.merge(word))
+    valid = [t for t in range(len(machine.texts)) if machine.merge(machine.texts[t]) == [machine.texts[t]]]
+    for a in valid:
+        for b in valid:
+            both = [machine.texts[a], machine.texts[b]]
+            assert machine._fit(a, b) == (machine.merge(b"".join(both)) == both)
+
+
+def test_a_token_that_two_merges_make():
+    ranks = {p: i for i, p in enumerate([(b"a", b"b"), (b"b", b"c"), (b"ab", b"c"), (b"a", b"bc")])}
+    machine = tokens.Bpe({b"a", b"b", b"c", b"ab", b"bc", b"abc"}, ranks)
+    assert not machine.plain
+    for word in (b"abc", b"abcabc", b"bcabca", b"cabbc", b"aabcc"):
+        assert machine.count(word) == len(machine.merge(word))
+
+
+def test_pairs_of_tokens_are_not_merged_anew(library, monkeypatch):
+    """Each token is merged once at most, however many words hold it, and no state is made after a word's last byte."""
+    text = open(PATH, encoding="utf-8").read()
+    counter = tokens.Counter(text, tokens.character_classes(text))
+    asked, merge = [], counter.bpe.merge
+    monkeypatch.setattr(counter.bpe, "merge", lambda data: (asked.append(data), merge(data))[1])
+    draw = np.random.default_rng(5)
+    parts = ["tion", "ing", "en", "ed", "re", "the", "bo", "ch", "au", "ly"]
+    texts = [" ".join("".join(draw.choice(parts, draw.integers(2, 6))) for _ in range(3000))]
+    assert counter.counts(texts).tolist() == [expected(library, t) for t in texts]
+    assert len(asked) == len(set(asked)) and set(asked) <= counter.bpe.vocabulary
+    counter.bpe._start()
+    assert counter.bpe.count(b" tionq") == 2 and len(counter.bpe.states) == 1 + len(b" tion")
