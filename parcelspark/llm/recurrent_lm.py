@@ -18,6 +18,9 @@ STEPS, STREAMS, UPDATES = 32, 512, 200
 #: Steps of a window in scoring; the state goes on to the next window.
 WINDOW = 64
 
+#: Rows of logits that are computed at once.
+ROWS = 1 << 11
+
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     """In place."""
@@ -27,17 +30,29 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, x)
 
 
-def _weights(h: np.ndarray, w: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Logits h @ w + b; their exponentials, scaled by a factor a row; the logarithm of the exponentials' sum. A state
-    lies within -1 and 1, so that small weights need no scaling."""
+def _logits(h: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """h @ w + b, less a number a row where exponentials could overflow. A state lies within -1 and 1, so that small
+    weights cannot."""
     logits = h @ w
     logits += b
-    if np.abs(w).sum(0).max(initial=0) + np.abs(b).max(initial=0) < 80:
-        e = np.exp(logits)
-        return logits, e, np.log(e @ np.ones(e.shape[1], np.float32))
-    top = logits.max(1)
-    e = np.exp(logits - top[:, None])
-    return logits, e, np.log(e.sum(1)) + top
+    if np.abs(w).sum(0).max(initial=0) + np.abs(b).max(initial=0) >= 80:
+        logits -= logits.max(1)[:, None]
+    return logits
+
+
+def _log_shares(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Logarithm of the softmax of each row at one place; the logits are used up."""
+    found = logits[np.arange(len(at)), at]
+    found -= np.log(np.exp(logits, logits) @ np.ones(logits.shape[1], np.float32))
+    return found
+
+
+def _gradient(logits: np.ndarray, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """In place: derivative of the weighted loss by the logits, with the right place of each row."""
+    np.exp(logits, logits)
+    logits *= (weight / (logits @ np.ones(logits.shape[1], np.float32)))[:, None]
+    logits[np.arange(len(at)), at] -= weight
+    return logits
 
 
 class Model:
@@ -85,24 +100,24 @@ class Model:
     def log_probabilities(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural logarithm of the probability of each id from the state before it."""
         out = np.empty(len(ids))
-        of = ids // self.members
-        for at in range(0, len(ids), 1 << 15):
-            some = slice(at, at + (1 << 15))
-            logits, _, total = _weights(h[some], self.p["cw"], self.p["cb"])
-            out[some] = logits[np.arange(len(total)), of[some]] - total
-        order, ends = self._by_class(of)
-        h, member, sums = h[order], (ids - of * self.members)[order], out[order]
+        order, ids, of, ends = self._by_id(ids)
+        h, member, sums = np.take(h, order, 0), ids - of * self.members, np.empty(len(ids))
+        for at in range(0, len(ids), ROWS):
+            some = slice(at, at + ROWS)
+            sums[some] = _log_shares(_logits(h[some], self.p["cw"], self.p["cb"]), of[some])
         for c in np.flatnonzero(np.diff(ends)):
-            some = slice(ends[c], ends[c + 1])
-            logits, _, total = _weights(h[some], self.p["mw"][c], self.p["mb"][c])
-            sums[some] += logits[np.arange(len(total)), member[some]] - total
+            for at in range(ends[c], ends[c + 1], ROWS):
+                some = slice(at, min(at + ROWS, ends[c + 1]))
+                sums[some] += _log_shares(_logits(h[some], self.p["mw"][c], self.p["mb"][c]), member[some])
         out[order] = sums
         return out
 
-    def _by_class(self, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Order of places by class, and where each class begins in it."""
-        order = np.argsort(of.astype(np.int16 if self.classes < 1 << 15 else np.int64), kind="stable")
-        return order, np.searchsorted(of[order], np.arange(self.classes + 1))
+    def _by_id(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Order of places by id; ids and their classes in it; where each class begins in it."""
+        order = np.argsort(ids.astype(np.int16 if self.size < 1 << 15 else np.int64), kind="stable")
+        ids = ids[order]
+        of = ids // self.members
+        return order, ids, of, np.searchsorted(of, np.arange(self.classes + 1))
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """log10 of the probability of each text's ids; the state starts at zero and runs through the whole text."""
@@ -119,10 +134,10 @@ class Model:
             for t in range(begin, min(begin + WINDOW, int(lengths[0]))):
                 n = int(np.searchsorted(-lengths, -t, "left"))  # texts longer than t
                 now = flat[start[:n] + t]
-                states.append(h[:n].copy())
+                states.append(h[:n])
                 ids.append(now)
                 owner.append(n)
-                h[:n] = self._step(inputs[now], h[:n])[0]
+                h = self._step(np.take(inputs, now, 0), h[:n])[0]
             logs = self.log_probabilities(np.concatenate(states), np.concatenate(ids))
             at = 0
             for n in owner:
@@ -167,46 +182,43 @@ class Model:
         """One update from a window; gives the state after it. A text's first token sees the zero state."""
         p = self.p
         rows, steps = ids.shape
-        e = p["e"][ids]
-        x = e @ p["w"] + p["b"]
+        n = rows * steps
+        flat_id, anew = ids.T.ravel(), fresh.any(0)  # step by step from here on
+        x = np.take(p["e"] @ p["w"] + p["b"], flat_id, 0).reshape(steps, rows, -1)
         kept, before = [], np.empty((steps, rows, HIDDEN), np.float32)
         for t in range(steps):
-            if fresh[:, t].any():
+            if anew[t]:
                 h = np.where(fresh[:, t, None], np.float32(0), h)
             before[t] = h
-            new, z, r, c, uc = self._step(x[:, t], h)
+            new, z, r, c, uc = self._step(x[t], h)
             kept.append((h, z, r, c, uc))
             h = new
-        n = rows * steps
-        flat_h, flat_id = before.reshape(n, HIDDEN), ids.T.ravel()
-        of = flat_id // self.members
-        share = weight.T.ravel() / rows
-        _, d_class, _ = _weights(flat_h, p["cw"], p["cb"])
-        d_class *= (share / (d_class @ np.ones(self.classes, np.float32)))[:, None]
-        d_class[np.arange(n), of] -= share
-        grad = {"cw": flat_h.T @ d_class, "cb": d_class.sum(0)}
-        d_flat = d_class @ p["cw"].T
-        order, ends = self._by_class(of)
-        sorted_h, sorted_share, member = flat_h[order], share[order], (flat_id - of * self.members)[order]
-        sorted_d = np.empty_like(sorted_h)
+        order, sorted_id, of, ends = self._by_id(flat_id)
+        sorted_h, share = np.take(before.reshape(n, HIDDEN), order, 0), (weight.T.ravel() / rows)[order]
+        member, sorted_d = sorted_id - of * self.members, np.empty_like(sorted_h)
+        grad = {k: np.zeros_like(p[k]) for k in ("cw", "cb", "u")}
+        for at in range(0, n, ROWS):
+            some = slice(at, at + ROWS)
+            d = _gradient(_logits(sorted_h[some], p["cw"], p["cb"]), of[some], share[some])
+            grad["cw"] += sorted_h[some].T @ d
+            grad["cb"] += np.ones(len(d), np.float32) @ d
+            np.matmul(d, p["cw"].T, sorted_d[some])
         for c in np.flatnonzero(np.diff(ends)):
             some = slice(ends[c], ends[c + 1])
-            _, d, _ = _weights(sorted_h[some], p["mw"][c], p["mb"][c])
-            d *= (sorted_share[some] / (d @ np.ones(self.members, np.float32)))[:, None]
-            d[np.arange(len(d)), member[some]] -= sorted_share[some]
-            sorted_d[some] = d @ p["mw"][c].T
+            d = _gradient(_logits(sorted_h[some], p["mw"][c], p["mb"][c]), member[some], share[some])
+            sorted_d[some] += d @ p["mw"][c].T
             for k, g in (("mw", sorted_h[some].T @ d), ("mb", np.ones(len(d), np.float32) @ d)):
                 squares[k][c] += g**2
                 p[k][c] -= rate * g / np.sqrt(squares[k][c])
-        d_flat[order] += sorted_d
-        d_before = d_flat.reshape(steps, rows, HIDDEN)
-        d_x = np.empty_like(x)
+        d_before = np.empty((n, HIDDEN), np.float32)
+        d_before[order] = sorted_d
+        d_before = d_before.reshape(steps, rows, HIDDEN)
+        d_x = np.empty((steps, rows, 3 * HIDDEN), np.float32)
         d_h = np.zeros((rows, HIDDEN), np.float32)
-        grad["u"] = np.zeros_like(p["u"])
         for t in range(steps - 1, -1, -1):
             last, z, r, c, uc = kept[t]
             hz = d_h * z
-            d = np.empty((rows, 3 * HIDDEN), np.float32)
+            d = d_x[t]
             d_z, d_r, d_c = d[:, :HIDDEN], d[:, HIDDEN : 2 * HIDDEN], d[:, 2 * HIDDEN :]
             np.multiply(c, c, d_c)
             np.subtract(1, d_c, d_c)
@@ -217,19 +229,19 @@ class Model:
             np.multiply(d_c, uc, d_r)
             d_r *= r
             d_r *= 1 - r
-            d_x[:, t] = d
-            d_c *= r
-            grad["u"] += last.T @ d
+            d_u = d.copy()
+            d_u[:, 2 * HIDDEN :] *= r
+            grad["u"] += last.T @ d_u
             d_h -= hz
-            d_h += d @ p["u"].T
+            d_h += d_u @ p["u"].T
             d_h += d_before[t]
-            if fresh[:, t].any():
+            if anew[t]:
                 d_h[fresh[:, t]] = 0
-        flat_x = d_x.reshape(n, -1)
-        grad["w"], grad["b"] = e.reshape(n, -1).T @ flat_x, flat_x.sum(0)
-        touched, slot = np.unique(ids.ravel(), return_inverse=True)
-        cell = (slot.ravel()[:, None] * WIDTH + np.arange(WIDTH)).ravel()
-        d_e = np.bincount(cell, (flat_x @ p["w"].T).ravel(), len(touched) * WIDTH).reshape(-1, WIDTH).astype(np.float32)
+        # sums over the places of each id give the gradients of what the ids have in common
+        begins = np.flatnonzero(np.diff(sorted_id, prepend=-1))
+        touched, sums = sorted_id[begins], np.add.reduceat(np.take(d_x.reshape(n, -1), order, 0), begins)
+        grad["w"], grad["b"] = p["e"][touched].T @ sums, sums.sum(0)
+        d_e = sums @ p["w"].T
         squares["e"][touched] += d_e**2
         p["e"][touched] -= rate * d_e / np.sqrt(squares["e"][touched])
         for k, g in grad.items():

@@ -74,13 +74,6 @@ class Vocabulary:
         """The model's id of each of the most frequent words."""
         return np.array([i if i < self.own else self.own + shared_id(w) for w, i in self.place.items()], np.int32)
 
-    def ids(self, words: list[bytes], places: np.ndarray, of_place: np.ndarray) -> np.ndarray:
-        """The model's ids of words with these places."""
-        out = of_place[places] if len(of_place) else np.zeros(len(words), np.int32)
-        for i in np.flatnonzero(places < 0).tolist():
-            out[i] = self.own + shared_id(words[i])
-        return out
-
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c): tokens of the training documents, ends included; summed in tasks before the shuffle."""
@@ -214,16 +207,23 @@ def _encoded(docs: DataFrame, known) -> DataFrame:
         log = np.append(np.log10(v.counts + 1.0), 0.0)  # the last for a word that is not held
         behind = np.append(np.zeros(own), v.behind[:SHARED])
         for batch in batches:
-            texts, rows, rare = [], [], []
+            texts, rows, rare, rare_n, rare_at = [], [], [], [], [0]
             for text in batch.column("text"):
                 words = [*lower_words(text.as_py()), END]
                 places = v.places(words)
-                ids = v.ids(words, places, of_place)
                 logs = log[places]
+                ids = of_place[places] if len(of_place) else np.zeros(len(words), np.int32)
+                unheld = np.flatnonzero(places < 0)
+                if len(unheld):
+                    those = [words[i] for i in unheld.tolist()]
+                    ids[unheld] = [own + shared_id(w) for w in those]
+                    those = Counter(those)
+                    rare += those
+                    rare_n += those.values()
+                rare_at.append(len(rare))
                 shared = float(logs[places >= own].sum())
-                rows.append((len(words), int((places >= 0).sum()), float(logs.sum()), shared, float(behind[ids].sum())))
+                rows.append((len(words), len(words) - len(unheld), float(logs.sum()), shared, float(behind[ids].sum())))
                 texts.append(ids)
-                rare.append(Counter([words[i] for i in np.flatnonzero(places < 0).tolist()]))
             columns = [batch.column(c) for c in ("doc_id", "h", "g")]
             columns.append(pa.array([remainder(d, 7) == 2 for d in columns[0].to_pylist()], pa.bool_()))
             n, k, all_logs, shared_logs, behind_logs = zip(*rows) if rows else ((),) * 5
@@ -232,8 +232,9 @@ def _encoded(docs: DataFrame, known) -> DataFrame:
             offsets = pa.array(np.cumsum([0, *n]), pa.int32())
             flat = np.concatenate([np.zeros(0, np.int32), *texts])
             columns.append(pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32())))
-            columns.append(pa.array([list(r) for r in rare], pa.list_(pa.binary())))
-            columns.append(pa.array([list(r.values()) for r in rare], pa.list_(pa.int64())))
+            rare_at = pa.array(rare_at, pa.int32())
+            columns.append(pa.ListArray.from_arrays(rare_at, pa.array(rare, pa.binary())))
+            columns.append(pa.ListArray.from_arrays(rare_at, pa.array(rare_n, pa.int64())))
             yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = (

@@ -159,3 +159,34 @@ def test_training_learns_what_follows_what():
     before = model.score([text[:50]])[0]
     model.train([text] * 8, epochs=3)
     assert model.score([text[:50]])[0] > before / 3
+
+
+def test_an_update_follows_the_slope_of_the_loss():
+    size, texts = 30, [np.array([3, 4, 3, 29, 7, 7, 0, 3] * 3), np.array([1, 2, 3, 28, 4, 4, 9, 11] * 3)]
+    loss = lambda m: -m.score(texts).sum() * math.log(10) / len(texts)
+    before, after = recurrent_lm.Model(size, seed=6), recurrent_lm.Model(size, seed=6)
+    ones = {k: np.ones_like(q) for k, q in after.p.items()}
+    still, fresh = np.zeros((2, recurrent_lm.HIDDEN), np.float32), np.eye(1, 24, dtype=bool).repeat(2, 0)
+    after._window(np.array(texts), fresh, still, ones, 1.0, np.ones((2, 24), np.float32))
+    draw = np.random.default_rng(1)
+    for k, q in before.p.items():
+        step = before.p[k] - after.p[k]  # g / sqrt(1 + g ** 2)
+        slope = step / np.sqrt(1 - step**2)
+        at = np.unravel_index([np.abs(slope).argmax(), *draw.integers(0, q.size, 3)], q.shape)
+        for i in zip(*at):
+            found = []
+            for move in (0.01, -0.01):
+                moved = recurrent_lm.Model(size, seed=6)
+                moved.p[k][i] += np.float32(move)
+                found.append(loss(moved))
+            assert slope[i] == pytest.approx((found[0] - found[1]) / 0.02, rel=0.02, abs=2e-3)
+
+
+def test_an_update_costs_by_ids_what_ids_have_in_common(monkeypatch):
+    """Training needs no logarithms, and adds up what comes back to the ids without a place for every component."""
+    model, called = recurrent_lm.Model(300), []
+    for name in ("log", "bincount"):
+        monkeypatch.setattr(np, name, lambda *a, f=getattr(np, name), name=name, **k: (called.append(name), f(*a, **k))[1])
+    draw = np.random.default_rng(7)
+    assert model.train([draw.integers(0, 300, 400) for _ in range(20)]) == 8000
+    assert not called
